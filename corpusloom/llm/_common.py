@@ -261,7 +261,7 @@ def by_bucket(df: DataFrame, fn: Callable[[int, Iterator[tuple[int, bytes]]], It
                 pass
 
     n = partitions(df.sparkSession)
-    return df.repartition(n, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(run, schema)
+    return df.repartitionById(n, F.col("bucket") % n).sortWithinPartitions("bucket", "kind").mapInArrow(run, schema)
 
 
 def row_id(*cols: str) -> F.Column:

@@ -4,20 +4,93 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import seed_extend, suffix_dedup
+import corpus_pipeline
+
+from . import _common, decontaminate, html_extract, near_dedup, quality, seed_extend, sentencepiece, suffix_dedup, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("passages")
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _common.scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents"))
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_extend.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_array_dedup, op10_substring_dedup)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_quality_classifier, op4_minhash_near_dedup, op5_toxicity, op6_benchmark_decontamination, op7_warc, op8_sentencepiece, op9_exact_topk, op10_substring_dedup)}
+QUERIES["pipeline"] = corpus_pipeline.run
+
+ORACLE = {
+    "op9_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+    "op10_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
+        h AS (SELECT doc_id, p, md5(array_to_string(list_slice(w, p, p + 49), ' ')) AS h FROM win),
+        least AS (SELECT h, min(doc_id) AS first FROM h GROUP BY h),
+        hit AS (SELECT h.doc_id, h.p FROM h JOIN least USING (h) WHERE first < h.doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM hit),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+        words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        x AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY sha1(h)) AS first FROM p)
+        SELECT page_id, payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31 AS BIGINT), 1)), '') AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to,
+            CASE WHEN page_id = first THEN TRUE END AS digest_ok
+        FROM x
+    """,
+}

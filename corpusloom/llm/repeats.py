@@ -28,7 +28,7 @@ from . import _common as C
 U64 = np.uint64
 NO_ID = np.iinfo(np.int64).max
 #: Bytes of text whose anchors are combined before they are shipped.
-COMBINE_BYTES = 16 << 20
+COMBINE_BYTES = 6 << 20
 COVERED, ASKED = 0, 1
 
 
@@ -185,17 +185,40 @@ def _anchors(plan: Plan, buckets: int, doc_buckets: int) -> Callable:
     return run
 
 
+#: Records that a reducer sorts at once.
+SORT_ROWS = 300_000
+
+
+def _by_key(parts: list[tuple], key: int, total: int) -> Iterator[list[np.ndarray]]:
+    """The rows of all parts (tuples of columns) in several goes, by the low bits of their column `key`."""
+    goes = 1
+    while goes * SORT_ROWS < total:
+        goes *= 2
+    for go in range(goes):
+        mine = [p[key] & p[key].dtype.type(goes - 1) == go for p in parts] if goes > 1 else None
+        cols = [np.concatenate([p[c][m] for p, m in zip(parts, mine)] if mine else [p[c] for p in parts]) for c in range(len(parts[0]))] if parts else []
+        if cols and len(cols[0]):
+            yield cols
+
+
 def _meet(doc_buckets: int) -> Callable:
     """All records of an anchor: spans that a smaller document has, and spans to ask for."""
 
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        parts, total = [], 0
         for kind, blob in rows:
             n, step, count, lead, ids, rid, key, w32, w8, left, right = C.unpack(blob)
             whole = (w32.astype(U64) << U64(24)) | (w8.astype(U64) << U64(16)) | (left.astype(U64) << U64(8)) | right
-            parts.append((np.repeat(ids, n), np.repeat(rid, n), np.cumsum(step, dtype=np.int64), count, lead, key, whole))
-        ids, rid, pos, count, lead, key, whole = (np.concatenate(x) for x in zip(*parts))
-        del parts
+            parts.append((np.repeat(ids, n), np.repeat(rid, n), np.cumsum(step, dtype=np.int32), count, lead, key, whole))
+            total += len(key)
+        out = []
+        for part in _by_key(parts, 5, total):
+            out += meet_part(part)
+        if out:
+            yield from C.packed_batches(iter(joined(out)))
+
+    def meet_part(part: list[np.ndarray]) -> list[tuple[np.ndarray, ...]]:
+        ids, rid, pos, count, lead, key, whole = part
         order = np.lexsort((ids, whole, key))
         ids, rid, pos, count, lead, key, whole = (x[order] for x in (ids, rid, pos, count, lead, key, whole))
         new = np.r_[True, (key[1:] != key[:-1]) | (whole[1:] != whole[:-1])]
@@ -211,9 +234,12 @@ def _meet(doc_buckets: int) -> Callable:
 
         ask = shared((whole[head] >> U64(8)) & U64(255)) | shared(whole[head] & U64(255))
         asked = ask[group] & ~over
-        out = [*replies(rid[over], pos[over], count[over], lead[over], COVERED, doc_buckets), *replies(rid[asked], pos[asked], count[asked], lead[asked], ASKED, doc_buckets)]
-        if out:
-            yield from C.packed_batches(iter(out))
+        return [(rid[x], pos[x], count[x], lead[x], kind) for x, kind in ((over, COVERED), (asked, ASKED)) if x.any()]
+
+    def joined(out: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
+        for kind in (COVERED, ASKED):
+            if found := [x[:4] for x in out if x[4] == kind]:
+                yield from replies(*(np.concatenate(x) for x in zip(*found)), kind, doc_buckets)
 
     return fn
 
@@ -229,19 +255,28 @@ def _packed_docs(doc_buckets: int) -> Callable:
                 for b, at in C.split(C.bucket_of(rid, doc_buckets)):
                     part = batch.take(pa.array(at))
                     data, off = C.text_bytes(part.column(2))
-                    yield b, 9, C.pack([np.diff(off).astype(np.int64), data, part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False), part.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.uint8)], [rid[at]])
+                    carried = np.frombuffer(_to_ipc(part.select(range(3, part.num_columns))) if part.num_columns > 3 else b"", np.uint8)
+                    yield b, 9, C.pack([np.diff(off).astype(np.int64), data, carried, part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False), part.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.uint8)], [rid[at]])
 
         yield from C.packed_batches(rows())
 
     return run
 
 
-def _docs(blob: bytes, most: int = C.RUN_BYTES) -> Iterator[tuple[np.ndarray, ...]]:
-    """doc_id, whether it is null, rid, bytes and offsets, in runs."""
-    size, data, ids, null, rid = C.unpack(blob)
+def _to_ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _docs(blob: bytes, most: int = C.RUN_BYTES) -> Iterator[tuple]:
+    """doc_id, whether it is null, rid, bytes, offsets and other columns (None: there are none), in runs."""
+    size, data, carried, ids, null, rid = C.unpack(blob)
+    rest = pa.ipc.open_stream(carried.tobytes()).read_next_batch() if len(carried) else None
     off = np.r_[0, np.cumsum(size)]
     for i, j in C.text_runs(off, most):
-        yield ids[i:j], null[i:j], rid[i:j], data[off[i] : off[j]], off[i : j + 1] - off[i]
+        yield ids[i:j], null[i:j], rid[i:j], data[off[i] : off[j]], off[i : j + 1] - off[i], rest and rest.slice(i, j - i)
 
 
 def _of_rows(rid: np.ndarray, got: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
@@ -255,7 +290,7 @@ def _send_asked(plan: Plan, buckets: int) -> Callable:
     """The symbols of the spans asked for, by their anchors."""
 
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        asked, got = [], None
+        asked, got, held = [], None, []
 
         def out() -> Iterator[tuple[int, int, bytes]]:
             nonlocal got
@@ -266,7 +301,7 @@ def _send_asked(plan: Plan, buckets: int) -> Callable:
                 got = got or read_replies(asked)
                 if not len(got[0]):
                     return
-                for ids, _, rid, data, off in _docs(blob):
+                for ids, _, rid, data, off, _ in _docs(blob):
                     row, pos, count, lead = _of_rows(rid, got)
                     if not len(row):
                         continue
@@ -277,8 +312,18 @@ def _send_asked(plan: Plan, buckets: int) -> Callable:
                     key = C.mix(C.span_hash(C.prefix(h1), m, m + plan.k))
                     if plan.by_word:
                         s, e = start[s], end[e - 1]
-                    for b, at in C.split(C.bucket_of(key, buckets)):
-                        yield b, 0, C.pack([ids[row[at]], pos[at].astype(np.int32), count[at].astype(np.uint8), lead[at].astype(np.uint8), (e - s)[at].astype(np.int32), data[C.ranges(s[at], (e - s)[at])]], [rid[row[at]], key[at]])
+                    held.append((ids[row], pos.astype(np.int32), count.astype(np.uint8), lead.astype(np.uint8), (e - s).astype(np.int32), data[C.ranges(s, e - s)], rid[row], key))
+                    if sum(len(x[5]) for x in held[-16:]) > 32 << 20:
+                        yield from ship(held)
+                        held.clear()
+            if held:
+                yield from ship(held)
+
+        def ship(held: list[tuple]) -> Iterator[tuple[int, int, bytes]]:
+            ids, pos, count, lead, size, text, rid, key = (np.concatenate(x) for x in zip(*held))
+            start = np.cumsum(size, dtype=np.int64) - size
+            for b, at in C.split(C.bucket_of(key, buckets)):
+                yield b, 0, C.pack([ids[at], pos[at], count[at], lead[at], size[at], text[C.ranges(start[at], size[at].astype(np.int64))]], [rid[at], key[at]])
 
         yield from C.packed_batches(out())
 
@@ -290,13 +335,21 @@ def _settle(find: Callable, doc_buckets: int) -> Callable:
     has it."""
 
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        ids, pos, count, lead, size, text, rid, key = (np.concatenate(x) for x in zip(*(C.unpack(blob) for _, blob in rows)))
-        count = count.astype(np.int64)
-        over = find(ids, count, lead.astype(np.int64), size.astype(np.int64), text, key)
-        start = C.ranges(pos.astype(np.int64), count)[over]
-        owner = np.repeat(np.arange(len(ids)), count)[over]
-        if len(start):
-            yield from C.packed_batches(replies(rid[owner], start, np.ones(len(start), np.int64), np.zeros(len(start), np.uint8), COVERED, doc_buckets))
+        parts, windows = [], 0
+        for _, blob in rows:
+            ids, pos, count, lead, size, text, rid, key = C.unpack(blob)
+            parts.append((ids, pos, count, lead, size, rid, key, np.cumsum(size, dtype=np.int64) - size, np.full(len(ids), len(parts)), text))
+            windows += int(count.sum())
+        out = []
+        for ids, pos, count, lead, size, rid, key, place, source in _by_key([p[:9] for p in parts], 6, windows):
+            text = np.concatenate([parts[p][9][C.ranges(place[source == p], size[source == p].astype(np.int64))] for p in np.unique(source)])
+            count = count.astype(np.int64)
+            over = find(ids, count, lead.astype(np.int64), size.astype(np.int64), text, key)
+            start = C.ranges(pos.astype(np.int64), count)[over]
+            out.append((rid[np.repeat(np.arange(len(ids)), count)[over]], start))
+        if any(len(x[0]) for x in out):
+            rid, start = (np.concatenate(x) for x in zip(*out))
+            yield from C.packed_batches(replies(rid, start, np.ones(len(start), np.int64), np.zeros(len(start), np.uint8), COVERED, doc_buckets))
 
     return fn
 
@@ -312,7 +365,7 @@ def _finish(plan: Plan, result: Callable) -> Callable:
                 covered.append(blob)
                 continue
             got = got or read_replies(covered)
-            for ids, null, rid, data, off in _docs(blob):
+            for ids, null, rid, data, off, rest in _docs(blob):
                 if plan.by_word:
                     start, end, o = C.words(data, off)
                 else:
@@ -320,19 +373,27 @@ def _finish(plan: Plan, result: Callable) -> Callable:
                 row, pos, count, _ = _of_rows(rid, got)
                 s = o[row] + pos
                 edge = np.bincount(s, minlength=o[-1] + 1) - np.bincount(s + count - 1 + plan.window, minlength=o[-1] + 1)
-                yield result(pa.array(ids, pa.int64(), mask=null.astype(bool)), data, off, start, end, o, np.cumsum(edge[:-1]) > 0)
+                out = result(pa.array(ids, pa.int64(), mask=null.astype(bool)), data, off, start, end, o, np.cumsum(edge[:-1]) > 0)
+                if rest is not None:
+                    out = pa.RecordBatch.from_arrays([*out.columns, *rest.columns], names=[*out.schema.names, *rest.schema.names])
+                yield out
 
     return fn
 
 
-def removed(docs: DataFrame, plan: Plan, find: Callable, result: Callable, schema: str) -> DataFrame:
-    """One row for each of docs (doc_id, text), made by `result`."""
+def removed(docs: DataFrame, plan: Plan, find: Callable, result: Callable, schema: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each of docs (doc_id, text), made by `result`, with the columns `carry` of docs behind."""
     spark = docs.sparkSession
-    n = 4 * C.partitions(spark)
+    n = C.partitions(spark)
     rows = C.has(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), C.row_id("doc_id", "text").alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
+    whole = rows
+    if carry:
+        whole = docs.select(docs["doc_id"].cast("long").alias("doc_id"), C.row_id("doc_id", "text").alias("rid"), F.coalesce(docs["text"], F.lit("")).alias("text"), *[docs[c] for c in carry])
+        schema += "".join(f", {docs.schema[c].name} {docs.schema[c].dataType.simpleString()}" for c in carry)
     sent = _stored_runs(rows.mapInArrow(_anchors(plan, n, n), C.PACKED_SQL), n)
-    packed = rows.mapInArrow(_packed_docs(n), C.PACKED_SQL)
-    asked = C.by_bucket(packed.unionByName(sent.where(F.col("kind") == ASKED)), _send_asked(plan, n), C.PACKED_SQL)
+    packed = whole.mapInArrow(_packed_docs(n), C.PACKED_SQL)
+    plain = rows.mapInArrow(_packed_docs(n), C.PACKED_SQL)
+    asked = C.by_bucket(plain.unionByName(sent.where(F.col("kind") == ASKED)), _send_asked(plan, n), C.PACKED_SQL)
     fine = C.by_bucket(asked, _settle(find, n), C.PACKED_SQL)
     return C.by_bucket(packed.unionByName(sent.where(F.col("kind") == COVERED)).unionByName(fine), _finish(plan, result), schema)
 

@@ -14,8 +14,10 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import _common as C
 from .repeats import Plan, removed
@@ -150,7 +152,18 @@ def _result(ids: pa.Array, data: np.ndarray, off: np.ndarray, start: np.ndarray,
     )
 
 
-def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes of each of docs (doc_id, text)."""
+def dedup(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes (kept) of each of docs (doc_id, text),
+    with the columns `carry` of docs behind."""
     k = max(1, min(16, window // 3))
-    return removed(docs, Plan(window, k, False), find(window), _result, RESULT)
+    return removed(docs, Plan(window, k, False), find(window), _result, RESULT, carry)
+
+
+def as_text(kept: str = "kept") -> F.Column:
+    """Remaining bytes as text: those of characters that were cut are left out."""
+
+    @F.pandas_udf("string")
+    def decode(x: pd.Series) -> pd.Series:
+        return x.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+    return decode(F.col(kept))
