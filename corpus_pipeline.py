@@ -26,7 +26,7 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Passages that an earlier document has are cut out of the texts; all documents stay."""
     names = docs.columns
     rest = tuple(c for c in names if c not in ("doc_id", "text", "n_chars"))
-    out = suffix_dedup.dedup(docs, carry=rest).withColumn("text", suffix_dedup.as_text())
+    out = suffix_dedup.dedup(docs, keep="text", carry=rest).withColumnRenamed("kept", "text")
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*names)
 
 

@@ -24,7 +24,7 @@ SEPARATORS = b" \t\n\x0b\x0c\r"
 _SEP = np.zeros(256, bool)
 _SEP[list(SEPARATORS)] = True
 #: Rows of one Arrow batch are worked on in runs of about so many bytes of text.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -18,7 +18,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), keep="")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return seed_extend.dedup(table(spark, sf_dir, "documents")).drop("kept")
+    return seed_extend.dedup(table(spark, sf_dir, "documents"), keep=False)
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_quality_classifier, op4_minhash_near_dedup, op5_toxicity, op6_benchmark_decontamination, op7_warc, op8_sentencepiece, op9_exact_topk, op10_substring_dedup)}

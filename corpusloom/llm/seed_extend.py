@@ -59,28 +59,31 @@ def find(window: int, k: int):
     return fn
 
 
-RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-
-
-def _result(ids: pa.Array, data: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarray, o: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
-    size = np.diff(o)
-    total = np.r_[0, np.cumsum(mask)]
-    gone = total[o[1:]] - total[o[:-1]]
-    s, e = start[~mask], end[~mask]
-    # the kept words, each with a blank behind
-    n = e - s + 1
-    out = np.full(int(n.sum()), 32, np.uint8)
-    place = np.cumsum(n) - n
-    out[C.ranges(place, n - 1)] = data[C.ranges(s, n - 1)]
-    edge = np.r_[place, len(out)][np.r_[0, np.cumsum(size - gone)]]
-    parts = [out[i : max(i, j - 1)].tobytes() for i, j in zip(edge[:-1], edge[1:])]
-    return pa.RecordBatch.from_arrays(
-        [ids, pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in parts]), pa.array(parts, pa.binary()).cast(pa.string())],
-        names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
-    )
-
-
-def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and the kept words of each of docs (doc_id, text)."""
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+
+
+def _result(keep: bool):
+    def fn(ids: pa.Array, data: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarray, o: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
+        size = np.diff(o)
+        total = np.r_[0, np.cumsum(mask)]
+        gone = total[o[1:]] - total[o[:-1]]
+        s, e = start[~mask], end[~mask]
+        # the kept words, each with a blank behind
+        n = e - s + 1
+        out = np.full(int(n.sum()), 32, np.uint8)
+        place = np.cumsum(n) - n
+        out[C.ranges(place, n - 1)] = data[C.ranges(s, n - 1)]
+        edge = np.r_[place, len(out)][np.r_[0, np.cumsum(size - gone)]]
+        parts = [out[i : max(i, j - 1)].tobytes() for i, j in zip(edge[:-1], edge[1:])]
+        cols = [ids, pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string())]
+        if keep:
+            cols.append(pa.array(parts, pa.binary()).cast(pa.string()))
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"][: len(cols)])
+
+    return fn
+
+
+def dedup(docs: DataFrame, window: int = WINDOW, keep: bool = True) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and, with keep, the kept words of each of docs (doc_id, text)."""
     k = max(1, min(8, window // 3))
-    return removed(docs, Plan(window, k, True), find(window, k), _result, RESULT)
+    return removed(docs, Plan(window, k, True), find(window, k), _result(keep), RESULT + ", kept string" * keep)

@@ -33,7 +33,7 @@ U64 = np.uint64
 #: Where public vocabulary files are; a parameter of every function.
 MODEL = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers") + "/piece_bpe_32k.model"
 UNIT_BYTES = 64
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 ALPHA = 1.0
 BYTE_WEIGHT = 1e-5
 _CUT = np.zeros(256, bool)

@@ -14,10 +14,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import _common as C
 from .repeats import Plan, removed
@@ -132,38 +130,33 @@ def find(window: int):
     return fn
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+#: What may stand behind: nothing, the remaining bytes, or those as text, without the bytes of characters that were cut.
+KEPT = {"": "", "bytes": ", kept binary", "text": ", kept string"}
+
+
+def _result(keep: str):
+    def fn(ids: pa.Array, data: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarray, o: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
+        size = np.diff(off)
+        total = np.r_[0, np.cumsum(mask)]
+        gone = total[off[1:]] - total[off[:-1]]
+        begins = mask.copy()
+        begins[1:] &= ~mask[:-1]
+        inner = off[:-1][size > 0]
+        begins[inner] = mask[inner]
+        runs = np.r_[0, np.cumsum(begins)]
+        kept, place = data[~mask], np.r_[0, np.cumsum(size - gone)]
+        parts = [kept[i:j].tobytes() for i, j in zip(place[:-1], place[1:])]
+        cols = [ids, pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs[off[1:]] - runs[off[:-1]], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in parts], pa.string())]
+        if keep:
+            cols.append(pa.array(parts, pa.binary()) if keep == "bytes" else pa.array([x.decode("utf-8", "ignore") for x in parts], pa.string()))
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: len(cols)])
 
-
-def _result(ids: pa.Array, data: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarray, o: np.ndarray, mask: np.ndarray) -> pa.RecordBatch:
-    size = np.diff(off)
-    total = np.r_[0, np.cumsum(mask)]
-    gone = total[off[1:]] - total[off[:-1]]
-    begins = mask.copy()
-    begins[1:] &= ~mask[:-1]
-    inner = off[:-1][(size > 0)]
-    begins[inner] = mask[inner]
-    runs = np.r_[0, np.cumsum(begins)]
-    kept, place = data[~mask], np.r_[0, np.cumsum(size - gone)]
-    parts = [kept[i:j].tobytes() for i, j in zip(place[:-1], place[1:])]
-    return pa.RecordBatch.from_arrays(
-        [ids, pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs[off[1:]] - runs[off[:-1]], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in parts]), pa.array(parts, pa.binary())],
-        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-    )
+    return fn
 
 
-def dedup(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the remaining bytes (kept) of each of docs (doc_id, text),
-    with the columns `carry` of docs behind."""
+def dedup(docs: DataFrame, window: int = WINDOW, keep: str = "bytes", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and what remains (see KEPT) of each of docs (doc_id, text), with
+    the columns `carry` of docs behind."""
     k = max(1, min(16, window // 3))
-    return removed(docs, Plan(window, k, False), find(window), _result, RESULT, carry)
-
-
-def as_text(kept: str = "kept") -> F.Column:
-    """Remaining bytes as text: those of characters that were cut are left out."""
-
-    @F.pandas_udf("string")
-    def decode(x: pd.Series) -> pd.Series:
-        return x.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return decode(F.col(kept))
+    return removed(docs, Plan(window, k, False), find(window), _result(keep), RESULT + KEPT[keep], carry)
