@@ -260,7 +260,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     out = None
     for index in indexes(benchmark):
-        part = rows.mapInArrow(_over(index, emit), RESULT)
+        part = C.map_batches(rows, _over(index, emit), RESULT)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], RESULT) if out is None else out
 
@@ -274,5 +274,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         yield batch.filter(pa.array(keep))
 
     for index in indexes(benchmark):
-        docs = docs.mapInArrow(_over(index, emit), docs.schema)
+        docs = C.map_batches(docs, _over(index, emit), docs.schema)
     return docs

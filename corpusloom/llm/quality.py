@@ -162,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     if not zeros or not ones:
         return Model(table, None, constant=float(ones > 0))
     few = texts.coalesce(max(1, min(16, C.partitions(docs.sparkSession))))  # so many tables are summed
-    for r in C.by_bucket(few.mapInArrow(_context, C.PACKED_SQL), _sum, C.PACKED_SQL).toLocalIterator():
+    for r in C.by_bucket(C.map_batches(few, _context, C.PACKED_SQL), _sum, C.PACKED_SQL).toLocalIterator():
         table = C.unpack(bytes(r.blob))[0].reshape(_ROWS, DIMS).copy()
     table /= np.linalg.norm(table, axis=1, keepdims=True) + 1e-6
 
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
                 x = pooled(table, data[off[i] : off[j]], off[i : j + 1] - off[i])
                 yield C.packed_batch([(0, 0, C.pack([batch.column(0).slice(i, j - i).to_numpy(zero_copy_only=False).astype(np.int32), x.ravel()]))])
 
-    got = [C.unpack(bytes(r.blob)) for r in texts.mapInArrow(features, C.PACKED_SQL).toLocalIterator()]
+    got = [C.unpack(bytes(r.blob)) for r in C.map_batches(texts, features, C.PACKED_SQL).toLocalIterator()]
     if not got:
         return Model(table, None, constant=1.0)
     y, x = np.concatenate([g[0] for g in got]) > 0, np.concatenate([g[1] for g in got]).reshape(-1, 2 * DIMS + 7)
@@ -191,5 +191,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 chance = model.chance(pooled(model.table, data[off[i] : off[j]], off[i : j + 1] - off[i]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(chance.astype(float))], names=["doc_id", "score"])
 
-    out = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")).mapInArrow(run, "doc_id long, score double")
+    out = C.map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")), run, "doc_id long, score double")
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -390,9 +390,9 @@ def removed(docs: DataFrame, plan: Plan, find: Callable, result: Callable, schem
     if carry:
         whole = docs.select(docs["doc_id"].cast("long").alias("doc_id"), C.row_id("doc_id", "text").alias("rid"), F.coalesce(docs["text"], F.lit("")).alias("text"), *[docs[c] for c in carry])
         schema += "".join(f", {docs.schema[c].name} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    sent = _stored_runs(rows.mapInArrow(_anchors(plan, n, n), C.PACKED_SQL), n)
-    packed = whole.mapInArrow(_packed_docs(n), C.PACKED_SQL)
-    plain = rows.mapInArrow(_packed_docs(n), C.PACKED_SQL)
+    sent = _stored_runs(C.map_batches(rows, _anchors(plan, n, n), C.PACKED_SQL), n)
+    packed = C.map_batches(whole, _packed_docs(n), C.PACKED_SQL)
+    plain = C.map_batches(rows, _packed_docs(n), C.PACKED_SQL)
     asked = C.by_bucket(plain.unionByName(sent.where(F.col("kind") == ASKED)), _send_asked(plan, n), C.PACKED_SQL)
     fine = C.by_bucket(asked, _settle(find, n), C.PACKED_SQL)
     return C.by_bucket(packed.unionByName(sent.where(F.col("kind") == COVERED)).unionByName(fine), _finish(plan, result), schema)

@@ -255,7 +255,7 @@ def encode(docs: DataFrame, model: str = MODEL, alpha: float = ALPHA, seed: int
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_pieces", "pieces", "lossless"][: len(cols)])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(docs["doc_id"].cast("string"), F.lit("\x00"))).alias("key"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_pieces long, pieces array<int>" + ", lossless boolean" * verify)
+    return C.map_batches(rows, run, "doc_id long, n_pieces long, pieces array<int>" + ", lossless boolean" * verify)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -269,4 +269,4 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
             text, at = join_pieces(v, flat[off[0] : off[-1]], off - off[0])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([text[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()).cast(pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), F.coalesce(encoded["pieces"], F.array().cast("array<int>")).alias("pieces")).mapInArrow(run, "doc_id long, text string")
+    return C.map_batches(encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), F.coalesce(encoded["pieces"], F.array().cast("array<int>")).alias("pieces")), run, "doc_id long, text string")

@@ -132,12 +132,12 @@ def search(rows: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0) -
     """query_id, rank, vec_id and score of the k best candidates of each row whose vec_id `every` divides."""
     vectors = quantised(rows, scale)
     spark = rows.sparkSession
-    queries = C.stored(vectors.where(F.col("vec_id") % every == 0).mapInArrow(_pack_queries, C.PACKED_SQL), "queries")
+    queries = C.stored(C.map_batches(vectors.where(F.col("vec_id") % every == 0), _pack_queries, C.PACKED_SQL), "queries")
     result = "query_id long, rank int, vec_id long, score long"
     out = None
     for n, (d, ids, flat) in enumerate(_blocks(queries)):
         block = spark.sparkContext.broadcast((d, ids, flat.reshape(len(ids), d)))
-        part = C.by_bucket(vectors.mapInArrow(_search(block, n, k), C.PACKED_SQL), _merge(k), result)
+        part = C.by_bucket(C.map_batches(vectors, _search(block, n, k), C.PACKED_SQL), _merge(k), result)
         if n % 16 == 15:
             part = C.stored(part, "top")
         out = part if out is None else out.unionByName(part)

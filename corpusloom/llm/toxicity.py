@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     texts, zeros, ones = labelled_texts(docs, labels, "toxic", rows)
     if not zeros or not ones:
         return Model()
-    table = C.by_bucket(texts.mapInArrow(_counts, C.PACKED_SQL), _odds(zeros, ones), "h long, odds double, z double, rate double").orderBy(F.desc("z"), "h").limit(MODEL_WORDS).toPandas()
+    table = C.by_bucket(C.map_batches(texts, _counts, C.PACKED_SQL), _odds(zeros, ones), "h long, odds double, z double, rate double").orderBy(F.desc("z"), "h").limit(MODEL_WORDS).toPandas()
     order = np.argsort(table["h"].to_numpy(np.int64).view(np.uint64))
     words, odds, rate = table["h"].to_numpy(np.int64).view(np.uint64)[order], table["odds"].to_numpy()[order], table["rate"].to_numpy()[order]
     model = Model(words, odds)
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         value = (p * np.exp(np.minimum(mid * odds, 500))).sum() + (1 - min(0.5, p.sum())) * math.exp(-mid * model.drift)
         lo, hi = (mid, hi) if value < 1 else (lo, mid)
     model.scale = max(lo, 0.2)
-    got = texts.mapInArrow(_features(model), "y int, x double, n double").toPandas()
+    got = C.map_batches(texts, _features(model), "y int, x double, n double").toPandas()
     y, x, n = (got["y"] > 0).to_numpy(float), got["x"].to_numpy(), got["n"].to_numpy()
     clean = x[y == 0]
     model.spread = max(0.05, float(clean.std()) * math.sqrt(6) / math.pi)
@@ -228,7 +228,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 chance = model.chance(x, np.array([len(f) for f in found], float))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(chance), pa.array([[{"start": a, "end": b, "log_odds": s} for a, b, s in f] for f in found], kind)], names=["doc_id", "score", "passages"])
 
-    out = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")).mapInArrow(run, RESULT)
+    out = C.map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")), run, RESULT)
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "passages")
 
 
@@ -242,4 +242,4 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
                 x, found = model.passages(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 yield batch.slice(i, j - i).filter(pa.array(model.chance(x, np.array([len(f) for f in found], float)) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return C.map_batches(docs, run, docs.schema)

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import _common as C
+
 MAGIC = b"WARC/1.0\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = 2048
@@ -136,4 +138,4 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives in a folder, payloads left out."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content").mapInArrow(_read, RESULT)
+    return C.map_batches(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content"), _read, RESULT)
