@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from .plans import claims, corpus, events, quality, terms  # noqa: F401
+from .registry import ORACLE, QUERIES  # noqa: F401

@@ -1 +1 @@
-
+"""Tables the queries read, and connectors."""
