@@ -1 +1,151 @@
+"""Claims: retrieval for chapters, support by text and number, markers, plausibility."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..functions.lists import RANGES
+from ..registry import query
+from ..sources.tables import load, vault
+from .corpus import VAULT, WORDS
+
+CHAPTERS = {"one": ["that", "with", "thth"], "two": ["ment", "elle", "pour"], "three": ["sich", "lich", "keit"]}
+_CH = "ch(chapter, words) AS (VALUES " + ", ".join(f"('{k}', [{', '.join(repr(w) for w in v)}])" for k, v in CHAPTERS.items()) + ")"
+
+
+def chapters(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(CHAPTERS.items()), "chapter string, words array<string>")
+
+
+def scored(docs: DataFrame) -> DataFrame:
+    """Chapters that have words in a text, with the score: two for each word. Chapters are a fixed list, so a text is
+    matched against them where it is."""
+    low = F.lower("text")
+    each = F.array(*[F.struct(F.lit(k).alias("chapter"), (2 * F.size(F.filter(X.arr(v), lambda w: F.contains(low, w)))).alias("score")) for k, v in CHAPTERS.items()])
+    return docs.select("*", F.explode(F.filter(each, lambda s: s["score"] > 0)).alias("s")).select("*", "s.chapter", "s.score").drop("s")
+
+
+_SC = f"{_CH}, sc AS (SELECT doc_id, text, chapter, 2 * len(list_filter(words, lambda w: contains(lower(text), w))) AS score FROM documents, ch), pos AS (SELECT * FROM sc WHERE score > 0)"
+
+
+@query(f"WITH {_SC}, r AS (SELECT chapter, doc_id, score, row_number() OVER (PARTITION BY chapter ORDER BY score DESC, doc_id) AS i FROM pos) SELECT chapter, doc_id, CAST(score AS INTEGER) AS score FROM r WHERE i <= 40")
+def claims_for_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 40 best claims of each chapter, ties in order of arrival."""
+    w = Window.partitionBy("chapter").orderBy(F.desc("score"), "doc_id")
+    return scored(load(spark, sf_dir, "documents").select("doc_id", "text")).select("chapter", "doc_id", "score").withColumn("i", F.row_number().over(w)).where("i <= 40").drop("i")
+
+
+_TOP = f"""{_SC}, n AS (SELECT *, score / sqrt(greatest(len({WORDS('text')}), 1)) AS rel FROM pos), c AS (SELECT *, max(rel) OVER (PARTITION BY chapter) AS best FROM n),
+    r AS (SELECT chapter, doc_id, length(text) AS chars, round(rel, 9) AS rel, row_number() OVER (PARTITION BY chapter ORDER BY round(rel, 9) DESC, doc_id) AS i FROM c WHERE rel >= 0.25 * best), top AS (SELECT * FROM r WHERE i <= 15)"""
+
+
+def top_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by score over the root of their length, at a quarter of the best or more, 15 for each chapter. The best is
+    found by an aggregate, not by a window over all files."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "text")
+    n = scored(d).select("chapter", "doc_id", F.length("text").alias("chars"), (F.col("score") / F.sqrt(F.greatest(X.word_count(F.col("text")), F.lit(1)))).alias("rel"))
+    best = n.groupBy("chapter").agg(F.max("rel").alias("best"))
+    w = Window.partitionBy("chapter").orderBy(F.desc("rel"), "doc_id")
+    return n.join(F.broadcast(best), "chapter").where("rel >= 0.25 * best").select("chapter", "doc_id", "chars", F.round("rel", 9).alias("rel")).withColumn("i", F.row_number().over(w)).where("i <= 15")
+
+
+@query(f"WITH {_TOP} SELECT chapter, doc_id, round(rel, 6) AS rel FROM top")
+def passage_topfiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_files(spark, sf_dir).select("chapter", "doc_id", F.round("rel", 6).alias("rel"))
+
+
+@query(f"WITH {_TOP}, b AS (SELECT chapter, doc_id, chars, coalesce(sum(chars) OVER (PARTITION BY chapter ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM top) SELECT chapter, doc_id, CAST(least(chars, 20000 - before) AS BIGINT) AS taken FROM b WHERE before < 20000")
+def passage_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20,000 characters for each chapter over its ranked files, the last one cut."""
+    w = Window.partitionBy("chapter").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    b = top_files(spark, sf_dir).withColumn("before", F.coalesce(F.sum("chars").over(w), F.lit(0)))
+    return b.where("before < 20000").select("chapter", "doc_id", F.least(F.col("chars").cast("long"), 20000 - F.col("before")).alias("taken"))
+
+
+@query("SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
+def claim_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage word for word. Both sides meet by the passage's second to sixth word (its first and
+    last may be parts of longer words in the document); the text decides. Passages of under seven words are compared
+    with every document, as no run of whole words is certain for them."""
+    b = load(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"), X.tokens(F.col("text")).alias("w"))
+    d = load(spark, sf_dir, "documents").select("doc_id", "text", X.tokens(F.col("text")).alias("t"))
+    long = b.where("size(w) >= 7").select("item_id", "passage", F.array_join(F.slice("w", 2, 5), " ").alias("seed"))
+    seeds = d.where("size(t) >= 5").select("doc_id", "text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("t") - 4), lambda i: F.array_join(F.slice("t", i, F.lit(5)), " ")))).alias("seed"))
+    hit = seeds.join(long, "seed").where(F.contains("text", "passage")).select("item_id", "doc_id")
+    short = b.where("size(w) < 7").select("item_id", "passage")
+    return hit.unionByName(d.join(short, F.contains(d["text"], short["passage"])).select("item_id", "doc_id"))
+
+
+@query("SELECT CAST(s AS BIGINT) AS size, CAST(q AS BIGINT) AS quantity, CAST(n * m AS BIGINT) AS pairs FROM (SELECT p_size AS s, count(*) AS n FROM part GROUP BY 1), (SELECT l_quantity AS q, count(*) AS m FROM lineitem GROUP BY 1) WHERE abs(s - q) <= 0.15 * q")
+def claim_number_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers within 15 % of each other: a band join by buckets on a logarithmic scale, each value with its neighbours.
+    Equal numbers are one row with a count before they meet."""
+    step = 0.1625  # -log(0.85): a pair within 15 % lies in neighbouring buckets
+    s = load(spark, sf_dir, "part").groupBy(F.col("p_size").cast("long").alias("size")).agg(F.count("*").alias("n")).where("size > 0").withColumn("bucket", F.floor(F.log("size") / step))
+    q = load(spark, sf_dir, "lineitem").groupBy(F.col("l_quantity").cast("long").alias("quantity")).agg(F.count("*").alias("m")).where("quantity > 0")
+    q = q.withColumn("bucket", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.floor(F.log("quantity") / step) + i)))
+    return s.join(q, "bucket").where(F.abs(F.col("size") - F.col("quantity")) <= 0.15 * F.col("quantity")).select("size", "quantity", (F.col("n") * F.col("m")).alias("pairs"))
+
+
+@query("SELECT doc_id FROM documents ANTI JOIN (SELECT doc_id FROM labels WHERE toxic = 0) l USING (doc_id) WHERE length(text) >= 500")
+def claim_dedup_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to extract claims from: long enough, and without claims so far."""
+    return load(spark, sf_dir, "documents").where(F.length("text") >= 500).join(load(spark, sf_dir, "labels").where("toxic = 0"), "doc_id", "left_anti").select("doc_id")
+
+
+@query(f"WITH {VAULT} SELECT source_name, CAST(count(*) AS BIGINT) AS missing FROM vault ANTI JOIN labels USING (doc_id) GROUP BY source_name")
+def repair_missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vault(spark, sf_dir).select("doc_id", "source_name").join(load(spark, sf_dir, "labels"), "doc_id", "left_anti").groupBy("source_name").agg(F.count("*").alias("missing"))
+
+
+TEXTS = ["Drill to 8 oz and 12 mm deep. [C7]", "Heat to 105 °F, then 40 °C. [C1, C2] More [C1] [C11] [C40].", "Nothing here [Note] [1].", "A laser of 900 mW and 3 in. [C1 C2]", "Use 5 mm (0.2 in) or 10 kg (22 lb)."]
+_TX = "t(id, text) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(TEXTS)) + ")"
+
+
+def fixture(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
+
+
+@query(f"WITH {_TX}, m AS (SELECT id, regexp_extract_all(text, '\\[C\\d+(?:[, ]+C\\d+)*\\]') AS m FROM t) SELECT id, array_to_string(list_transform(flatten(list_transform(m, lambda x: regexp_extract_all(x, '\\d+'))), lambda x: x), ',') AS ids FROM m")
+def marker_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture(spark).select("id", F.array_join(F.transform(X.marker_ids(F.col("text")), lambda x: x.cast("string")), ",").alias("ids"))
+
+
+@query(f"WITH {_TX} SELECT id, regexp_replace(regexp_replace(regexp_replace(text, '\\s*\\[C\\d+(?:[, ]+C\\d+)*\\]', '', 'g'), '[ \\t]{{2,}}', ' ', 'g'), ' +([.,;:!?])', '\\1', 'g') AS stripped FROM t")
+def marker_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture(spark).select("id", X.strip_markers(F.col("text")).alias("stripped"))
+
+
+@query()
+def specifics_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with units in the fixture and in all documents."""
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("id"), "text")
+    return fixture(spark).unionByName(docs).select("id", F.explode(X.specifics(F.col("text"))).alias("specific"))
+
+
+_RG = "r(unit, lo, hi) AS (VALUES " + ", ".join(f"('{u}', {lo}::DOUBLE, {hi}::DOUBLE)" for u, lo, hi in RANGES) + ")"
+
+
+@query(f"WITH {_TX}, {_RG}, s AS (SELECT id, unnest(regexp_extract_all(text, '\\d+(?:\\.\\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr)')) AS s FROM t), v AS (SELECT id, CAST(split_part(s, ' ', 1) AS DOUBLE) AS value, split_part(s, ' ', 2) AS unit FROM s) SELECT id, value, unit FROM v JOIN r USING (unit) WHERE value < lo OR value > hi")
+def plausibility_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers outside the plausible range of their unit; ranges are a fixed dimension."""
+    s = fixture(spark).select("id", F.explode(F.regexp_extract_all("text", F.lit(r"(\d+(?:\.\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr))"), 1)).alias("s"))
+    v = s.select("id", F.split_part("s", F.lit(" "), F.lit(1)).cast("double").alias("value"), F.split_part("s", F.lit(" "), F.lit(2)).alias("unit"))
+    return v.join(F.broadcast(spark.createDataFrame(RANGES, "unit string, lo double, hi double")), "unit").where("value < lo OR value > hi").select("id", "value", "unit")
+
+
+CONVERSIONS = [("mm", "in", 1 / 25.4, 0.0), ("in", "mm", 25.4, 0.0), ("kg", "lb", 2.20462, 0.0), ("g", "oz", 0.035274, 0.0), ("°C", "°F", 1.8, 32.0)]
+
+
+@query()
+def unit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs "a unit (b unit)" with the relative error of the conversion, and whether it is over 15 %; zeros are skipped."""
+    pair = r"(\d+(?:\.\d+)?) ?(mm|in|kg|g|°C) \((\d+(?:\.\d+)?) ?(in|mm|lb|oz|°F)\)"
+    s = fixture(spark).select("id", F.explode(F.regexp_extract_all("text", F.lit(f"({pair})"), 1)).alias("s"))
+    p = s.select("id", *[F.regexp_extract("s", pair, i).alias(n) for i, n in ((1, "a"), (2, "from"), (3, "b"), (4, "to"))])
+    j = p.join(F.broadcast(spark.createDataFrame(CONVERSIONS, "from string, to string, factor double, shift double")), ["from", "to"])
+    want = F.col("a").cast("double") * F.col("factor") + F.col("shift")
+    error = F.abs(F.col("b").cast("double") - want) / F.abs(want)
+    return j.where((F.col("a").cast("double") != 0) & (want != 0)).select("id", "from", "to", F.round(error, 6).alias("error"), (error > 0.15).alias("warn"))

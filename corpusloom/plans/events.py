@@ -1 +1,122 @@
+"""Event metrics and rules: counters, windows of rows, cycle-over-cycle ratios and alerts. A cycle is a day, the event
+type stands for the phase's type, the user for the source, and props' k for a filter's statistic."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.lists import DRIFT_WINDOW
+from ..registry import query
+from ..sources.tables import load
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "events")
+    return e.withColumn("cycle", F.date_format("ts", "yyyy-MM-dd")).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+
+
+EV = "e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS cycle, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"
+
+
+@query(f"WITH {EV} SELECT cycle, event_type, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY GROUPING SETS ((event_type), (cycle, event_type))")
+def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).groupingSets([["event_type"], ["cycle", "event_type"]], "cycle", "event_type").agg(F.count("*").alias("n")).select("cycle", "event_type", "n")
+
+
+@query(f"WITH {EV} SELECT cycle, CAST(count(*) AS BIGINT) AS n, CAST(sum(k) AS BIGINT) AS total FROM e GROUP BY cycle")
+def events_by_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).groupBy("cycle").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
+
+
+@query(f"WITH {EV}, p AS (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS saves, count(*) FILTER (event_type = 'error') AS rejects FROM e GROUP BY user_id) SELECT user_id, CAST(saves AS BIGINT) AS saves, CAST(rejects AS BIGINT) AS rejects, round(saves / (saves + rejects), 6) AS save_rate FROM p WHERE saves + rejects > 0")
+def agent_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = events(spark, sf_dir).groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("saves"), F.count_if(F.col("event_type") == "error").alias("rejects"))
+    return p.where("saves + rejects > 0").withColumn("save_rate", F.round(F.col("saves") / (F.col("saves") + F.col("rejects")), 6))
+
+
+@query(f"WITH {EV} SELECT cycle, event_type AS filter, CAST(sum(k) AS BIGINT) AS n FROM e GROUP BY cycle, event_type")
+def filter_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).groupBy("cycle", F.col("event_type").alias("filter")).agg(F.sum("k").alias("n"))
+
+
+@query(f"""WITH {EV}, s AS (SELECT cycle, event_type AS filter, sum(k) AS n FROM e GROUP BY ALL), q AS (SELECT cycle, avg(value) AS score FROM e GROUP BY cycle), c AS (SELECT cycle, lag(cycle) OVER (ORDER BY cycle) AS before, score, lag(score) OVER (ORDER BY cycle) AS was FROM q),
+    g AS (SELECT c.*, f.filter FROM c, (SELECT DISTINCT filter FROM s) f WHERE before IS NOT NULL)
+    SELECT g.cycle, g.filter, CAST(coalesce(p.n, 0) AS BIGINT) AS prev, CAST(coalesce(n.n, 0) AS BIGINT) AS curr, CASE WHEN coalesce(p.n, 0) = 0 THEN NULL ELSE round(coalesce(n.n, 0) / p.n, 6) END AS ratio, score < was AS quality_dropped
+    FROM g LEFT JOIN s p ON p.cycle = before AND p.filter = g.filter LEFT JOIN s n ON n.cycle = g.cycle AND n.filter = g.filter WHERE coalesce(p.n, 0) <> 0 OR coalesce(n.n, 0) <> 0""")
+def filter_ratio_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each filter's statistic against the cycle before; a missing one is 0, a ratio to 0 is null (infinite)."""
+    e = events(spark, sf_dir)
+    w = Window.orderBy("cycle")  # cycles are few: one row for each day
+    c = e.groupBy("cycle").agg(F.avg("value").alias("score")).select("cycle", F.lag("cycle").over(w).alias("before"), (F.col("score") < F.lag("score").over(w)).alias("quality_dropped"))
+    s = e.groupBy("cycle", F.col("event_type").alias("filter")).agg(F.sum("k").alias("n"))
+    now = s.join(c, "cycle").where("before IS NOT NULL").select("cycle", "before", "quality_dropped", "filter", F.col("n").alias("curr"))
+    old = c.where("before IS NOT NULL").join(s.select(F.col("cycle").alias("before"), "filter", F.col("n").alias("prev")), "before")
+    both = now.join(old.select("cycle", "filter", "prev", F.col("quality_dropped").alias("q2")), ["cycle", "filter"], "full")
+    prev, curr = F.coalesce("prev", F.lit(0)), F.coalesce("curr", F.lit(0))
+    return both.where((prev != 0) | (curr != 0)).select("cycle", "filter", prev.alias("prev"), curr.alias("curr"), F.when(prev != 0, F.round(curr / prev, 6)).alias("ratio"), F.coalesce("quality_dropped", "q2").alias("quality_dropped"))
+
+
+@query(f"""WITH {EV}, r AS (SELECT user_id, event_id, event_type, count(*) OVER w AS n, count(*) FILTER (event_type = 'error') OVER w AS bad FROM e WHERE event_type IN ('error', 'view') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS {DRIFT_WINDOW - 1} PRECEDING))
+    SELECT user_id, event_id, CAST(bad AS BIGINT) AS bad FROM r WHERE n >= 10 AND bad >= 7""")
+def pollution_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert rows: of the last 20 rejections, ten at least, seven or more are drift."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-(DRIFT_WINDOW - 1), 0)
+    r = events(spark, sf_dir).where(F.col("event_type").isin("error", "view"))
+    return r.select("user_id", "event_id", F.count("*").over(w).alias("n"), F.count_if(F.col("event_type") == "error").over(w).alias("bad")).where("n >= 10 AND bad >= 7").select("user_id", "event_id", "bad")
+
+
+SCORES = f"{EV}, q AS (SELECT user_id, cycle, avg(value) AS score FROM e GROUP BY ALL), d AS (SELECT user_id, cycle, score - lag(score) OVER (PARTITION BY user_id ORDER BY cycle) AS delta FROM q)"
+
+
+def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = events(spark, sf_dir).groupBy("user_id", "cycle").agg(F.avg("value").alias("score"))
+    return q.withColumn("delta", F.col("score") - F.lag("score").over(Window.partitionBy("user_id").orderBy("cycle")))
+
+
+@query(f"WITH {SCORES} SELECT user_id, round(min(delta), 6) AS worst FROM d GROUP BY user_id")
+def cycle_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deltas(spark, sf_dir).groupBy("user_id").agg(F.round(F.min("delta"), 6).alias("worst"))
+
+
+@query(f"WITH {SCORES} SELECT user_id, cycle, CASE WHEN abs(delta) < 0.02 THEN 'plateau' ELSE 'regression' END AS kind FROM d WHERE abs(delta) < 0.02 OR delta < -0.05")
+def plateau_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deltas(spark, sf_dir).where("abs(delta) < 0.02 OR delta < -0.05").select("user_id", "cycle", F.when(F.abs("delta") < 0.02, "plateau").otherwise("regression").alias("kind"))
+
+
+@query(f"WITH {EV} SELECT cycle, event_type AS kind, CAST(arg_min(event_id, event_id) AS BIGINT) AS first FROM e WHERE event_type IN ('error', 'signup') GROUP BY cycle, event_type")
+def alert_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first alert of a kind in a cycle."""
+    return events(spark, sf_dir).where(F.col("event_type").isin("error", "signup")).groupBy("cycle", F.col("event_type").alias("kind")).agg(F.min("event_id").alias("first"))
+
+
+@query(f"WITH {EV}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS i FROM e) SELECT user_id, CAST(count(*) AS BIGINT) AS n, round(avg(CASE WHEN event_type = 'view' THEN 1.0 ELSE 0.0 END), 6) AS reference_ratio, round(avg(coalesce(value, 0)), 6) AS density FROM n WHERE i <= 20 GROUP BY user_id")
+def drift_last20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = events(spark, sf_dir).withColumn("i", F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))).where(f"i <= {DRIFT_WINDOW}")
+    return n.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.avg((F.col("event_type") == "view").cast("double")), 6).alias("reference_ratio"), F.round(F.avg(F.coalesce("value", F.lit(0.0))), 6).alias("density"))
+
+
+@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS posts, md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest FROM conversations WHERE length(text) >= 40 GROUP BY conv_id")
+def thread_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads of posts that are long enough, in order."""
+    posts = load(spark, sf_dir, "conversations").where(F.length("text") >= 40)
+    lines = F.array_sort(F.collect_list(F.struct("turn", F.concat_ws(": ", "role", "text").alias("line"))))
+    return posts.groupBy("conv_id").agg(F.count("*").alias("posts"), lines.alias("l")).select("conv_id", "posts", F.md5(F.array_join(F.transform("l", lambda x: x["line"]), "\n")).alias("digest"))
+
+
+def _stream(spark: SparkSession, sf_dir: str, fn, mode: str) -> DataFrame:
+    from ..streaming import rules
+
+    return rules.drain(spark, f"{sf_dir}/events.parquet", fn, mode)
+
+
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type")
+def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters as a stream that has read all that is there."""
+    return _stream(spark, sf_dir, lambda e: e.groupBy("event_type").agg(F.count("*").alias("n")), "complete")
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS cycle, event_type AS kind FROM events WHERE event_type IN ('error', 'signup') GROUP BY ALL")
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream, each kind once in a cycle."""
+    return _stream(spark, sf_dir, lambda e: e.where(F.col("event_type").isin("error", "signup")).select(F.date_format("ts", "yyyy-MM-dd").alias("cycle"), F.col("event_type").alias("kind")).dropDuplicates(["cycle", "kind"]), "append")
