@@ -8,6 +8,7 @@ rows by bucket. A reducer streams bucket by bucket, so its memory follows the bu
 from __future__ import annotations
 
 import ctypes
+import re
 import struct
 import tempfile
 import uuid
@@ -253,6 +254,18 @@ def release() -> None:
         libc.malloc_trim(0)
 
 
+#: Bytes of an Arrow batch, beside which an executor must hold the JVM's copy and a task's own arrays.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of long texts get as small as BATCH_BYTES, unless the session already asks for smaller ones."""
+    size = re.fullmatch(r"(-?\d+)([kmg]?)b?", str(spark.conf.get(_BATCH_SETTING)).lower())
+    if size is None or not 0 < int(size[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[size[2]] <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """df.mapInArrow(fn, schema); a task's memory goes back when it ends."""
 
@@ -262,6 +275,7 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
         finally:
             release()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -289,6 +303,7 @@ def by_bucket(df: DataFrame, fn: Callable[[int, Iterator[tuple[int, bytes]]], It
             release()
 
     n = partitions(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.repartitionById(n, F.col("bucket") % n).sortWithinPartitions("bucket", "kind").mapInArrow(run, schema)
 
 
