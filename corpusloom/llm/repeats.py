@@ -88,7 +88,8 @@ def spans(plan: Plan, h1: np.ndarray, h2: np.ndarray, off: np.ndarray) -> tuple[
     left[ok] = (C.span_hash(pre, m[ok] - d, m[ok]) % U64(255)).astype(np.uint8) + 1
     ok = m + plan.k + d <= end
     right[ok] = (C.span_hash(pre, m[ok] + plan.k, m[ok] + plan.k + d) % U64(255)).astype(np.uint8) + 1
-    return doc, s - begin, count, m - s, gram[m], whole, left, right
+    # anchors are small hashes by choice: they are hashed anew, or most would fall in the first bucket
+    return doc, s - begin, count, m - s, C.mix(gram[m] ^ U64(0x94D049BB133111EB)), whole, left, right
 
 
 # --- replies: which windows of a row are covered (COVERED) or asked for (ASKED) ---------------------------------------
