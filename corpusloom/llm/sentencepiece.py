@@ -34,6 +34,7 @@ U64 = np.uint64
 MODEL = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers") + "/piece_bpe_32k.model"
 UNIT_BYTES = 64
 RUN_BYTES = 1 << 20
+SLOT_BITS = 18
 ALPHA = 1.0
 BYTE_WEIGHT = 1e-5
 _CUT = np.zeros(256, bool)
@@ -69,13 +70,26 @@ class Vocabulary:
         order = np.argsort(h)
         self.hash, self.id = h[order], ids[order]
         self.lengths = np.unique(self.sizes[ids]).tolist()
-        self.seen = np.zeros(1 << 22, bool)
-        self.seen[(self.hash >> U64(42)).astype(np.int64)] = True
+        # the first of the sorted hashes that begin with the same SLOT_BITS bits, and the most that do
+        head, first, run = np.unique((self.hash >> U64(64 - SLOT_BITS)).astype(np.int64), return_index=True, return_counts=True)
+        self.slot = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.slot[head] = first
+        self.run = int(run.max())
         rank = np.empty(n)
         rank[ids] = np.arange(len(ids))
         self.weight = np.full(n, BYTE_WEIGHT)
         self.weight[ids] = (rank[ids] + 3.0) ** -alpha
 
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these hashes are pieces', and the pieces' ids."""
+        i = self.slot[(h >> U64(64 - SLOT_BITS)).astype(np.int64)]
+        k = np.flatnonzero(i >= 0)
+        i, want = i[k], h[k]
+        for _ in range(1, self.run):
+            i = np.where((self.hash[i] < want) & (i + 1 < len(self.hash)), i + 1, i)
+        ok = np.flatnonzero(self.hash[i] == want)
+        return k[ok], self.id[i[ok]]
+
 
 @functools.lru_cache(4)
 def vocabulary(model: str = MODEL, alpha: float = ALPHA) -> Vocabulary:
@@ -132,13 +146,11 @@ class Lattice:
             if not len(at):
                 break
             h = C.span_hash(pre, at, at + size)
-            k = np.flatnonzero(v.seen[(h >> U64(42)).astype(np.int64)])
-            i = np.minimum(np.searchsorted(v.hash, h[k]), len(v.hash) - 1)
-            ok = v.hash[i] == h[k]
-            p = at[k[ok]]
+            k, found = v.find(h)
+            p = at[k]
             begins.append(p)
             lengths.append(np.full(len(p), size))
-            pieces.append(v.id[i[ok]])
+            pieces.append(found)
             covered[p[width[p] == size]] = True
         bare = np.flatnonzero(((text & 0xC0) != 0x80) & ~covered)
         p = C.ranges(bare, np.minimum(width[bare], left[bare]))
@@ -149,40 +161,49 @@ class Lattice:
         start = begin + unit[begin]
         end = start + np.concatenate(lengths)
         self.first, self.last = off[:-1] + np.arange(len(n)), off[1:] + np.arange(len(n))
+        # by end, then in the order found; of that order, by the place in the unit (units are short: a byte's radix sort)
+        bits = max(len(end), 1).bit_length()
+        by_end = np.sort(end << bits | np.arange(len(end))) & ((1 << bits) - 1)
+        start, end, piece = start[by_end], end[by_end], piece[by_end]
+        local = (end - self.first[unit[begin[by_end]]]).astype(np.uint8)
         # forward filtering, one byte further in every unit at a time
-        local = end - self.first[unit[begin]]
-        order = np.lexsort((end, local))
-        start, end, piece, local = start[order], end[order], piece[order], local[order]
+        order = np.argsort(local, kind="stable")
+        begins, ends, w = start[order], end[order], v.weight[piece][order]
         alpha = np.zeros(len(text) + len(n) + 1)
         alpha[self.first] = 1.0
-        w = v.weight[piece]
-        flow = np.zeros(len(w))
-        cut = np.searchsorted(local, np.arange(1, (local[-1] if len(local) else 0) + 2))
+        moved = np.zeros(len(w))
+        cut = np.r_[0, np.cumsum(np.bincount(local, minlength=1))]
         for i, j in zip(cut[:-1], cut[1:]):
             if i == j:
                 continue
-            f = alpha[start[i:j]] * w[i:j]
-            flow[i:j] = f
-            e = end[i:j]
+            f = alpha[begins[i:j]] * w[i:j]
+            moved[i:j] = f
+            e = ends[i:j]
             head = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
             alpha[e[head]] = np.add.reduceat(f, head)
+        flow = np.empty(len(w))
+        flow[order] = moved
         keep = np.flatnonzero(flow > 0)
-        keep = keep[np.argsort(end[keep], kind="stable")]
         self.start, self.piece, end = start[keep], piece[keep], end[keep]
         share = flow[keep] / alpha[end]
         head = np.flatnonzero(np.r_[True, end[1:] != end[:-1]]) if len(end) else np.zeros(0, np.int64)
-        self.rank = np.zeros(len(alpha), np.int64)
-        self.rank[end[head]] = np.arange(len(head))
-        self.head = np.r_[head, len(end)]
-        self.sum = np.cumsum(share)
-        # each node's shares add up to one: the running sum is the node's rank plus the sum inside the node
-        self.sum += np.repeat(np.arange(len(head)) - np.r_[0, self.sum[self.head[1:-1] - 1]] if len(head) else head, np.diff(self.head))
+        count = np.diff(np.r_[head, len(end)])
+        # of each node the first and the last edge, and of each edge the shares before it in its node
+        self.low, self.high = np.zeros(len(alpha), np.int64), np.zeros(len(alpha), np.int64)
+        self.low[end[head]], self.high[end[head]] = head, head + count - 1
+        before = np.cumsum(share) - share
+        self.before = before - np.repeat(before[head], count)
 
     def draw(self, node: np.ndarray, chance: np.ndarray) -> np.ndarray:
-        """An edge that ends in each node."""
-        r = self.rank[node]
-        e = np.searchsorted(self.sum, r + chance, "right")
-        return np.clip(e, self.head[r], self.head[r + 1] - 1)
+        """An edge that ends in each node: the last whose shares before it don't exceed the chance. Long pieces, which are
+        likely, are at a node's end, so the search goes down from there."""
+        e, low = self.high[node], self.low[node]
+        todo = np.flatnonzero((self.before[e] > chance) & (e > low))
+        while len(todo):
+            e[todo] -= 1
+            at = e[todo]
+            todo = todo[(self.before[at] > chance[todo]) & (at > low[todo])]
+        return e
 
 
 def sample_pieces(v: Vocabulary, data: np.ndarray, off: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
