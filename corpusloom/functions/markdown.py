@@ -10,6 +10,7 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 # Words that mark a practice as historical or modern.
 HISTORICAL = [
@@ -200,22 +201,27 @@ def drop_unsupported(md: str, claims: list[str]) -> tuple[str, int, int]:
     return re.sub(r"\n{3,}", "\n\n", "\n\n".join(x for x in out if x.strip())).strip(), seen, dropped
 
 
-@F.pandas_udf("text string, n int")
+# types as objects: a type as text needs a session when the module is imported
+_COUNTED = StructType().add("text", StringType()).add("n", IntegerType())
+_FILTERED = StructType().add("text", StringType()).add("seen", IntegerType()).add("dropped", IntegerType())
+
+
+@F.pandas_udf(_COUNTED)
 def tables_to_lists_udf(md: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([tables_to_lists(t or "") for t in md], columns=["text", "n"])
 
 
-@F.pandas_udf("text string, n int")
+@F.pandas_udf(_COUNTED)
 def link_terms_udf(md: pd.Series, terms: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([link_terms(t or "", [] if x is None else list(x)) for t, x in zip(md, terms, strict=True)], columns=["text", "n"])
 
 
-@F.pandas_udf("text string, n int")
+@F.pandas_udf(_COUNTED)
 def expand_acronyms_udf(md: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([expand_acronyms(t or "") for t in md], columns=["text", "n"])
 
 
-@F.pandas_udf("text string, seen int, dropped int")
+@F.pandas_udf(_FILTERED)
 def drop_unsupported_udf(md: pd.Series, claims: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([drop_unsupported(t or "", [] if c is None else [x or "" for x in c]) for t, c in zip(md, claims, strict=True)], columns=["text", "seen", "dropped"])
 
