@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import markdown as M
 from ..functions import text as X
 from ..registry import query
 from ..sources.tables import load
@@ -122,11 +123,12 @@ def claims_render(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHAPTERS = [
     ("a", "The awl is forged first [C1]. Then it is ground to a point [C2, C9]. Soak the hide for 12 hours in clean water before cutting."),
     ("b", "Two needles cross in each hole [C1] [C1]. Pull both tight [C3]."),
+    ("d", "It was written down in 1850 by one smith [C1]. The hide is tested by ASTM D2813 at the works."),
     ("c", "No marker is here, though 40 psi is named in this sentence."),
 ]
 CLAIMS = [("a", 1, False), ("a", 2, True), ("b", 1, True), ("b", 2, False), ("b", 3, False)]
 _CM = "ch(chapter, content) AS (VALUES " + ", ".join(f"('{c}', '{t}')" for c, t in CHAPTERS) + "), cl(chapter, n, low) AS (VALUES " + ", ".join(f"('{c}', {n}, {low})" for c, n, low in CLAIMS) + ")"
-_SPEC = r"\d+(?:\.\d+)? ?(?:hours|psi|mm|cm|oz|lb|kg|days|weeks)\b"
+_SPEC = f"(?i:{M.NUMBER_UNIT})|(?i:{M.YEAR})|{M.STANDARD}"
 
 
 def check_markers(chapters: DataFrame, claims: DataFrame, specific: str = _SPEC) -> DataFrame:
