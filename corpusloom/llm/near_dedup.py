@@ -11,7 +11,9 @@
    leave with one of them; later ones are the least documents. Groups that many texts meet in without being alike are parted by further bands first.
 4. Candidate pairs are verified by the exact weighted Jaccard similarity of their whole shingle sets. A leader's text is
    sent once to each task that needs it.
-5. Links and equal texts make classes (connected components, by label spreading with pointer jumping on tables in the
+5. A text that left with a leader may be alike to a third one that its leader isn't alike to. So the classes that the links
+   make so far go back to the bands, and all pairs of a band that are of different classes are candidates, too.
+6. Links and equal texts make classes (connected components, by label spreading with pointer jumping on tables in the
    shared folder). A row's class_id is the least doc_id of its class.
 
 Defined results: a null text is empty; texts without words are alike only if equal; a null doc_id counts as larger than
@@ -144,8 +146,8 @@ def _band_keys(sig: np.ndarray, bands: np.ndarray) -> np.ndarray:
     return h ^ C.mix(bands.astype(U64) + U64(77))
 
 
-def _bands(idf: np.ndarray, buckets: int):
-    """Band keys with document, text hash and eight bits of every sample; equal texts of a batch go once."""
+def _sketches(idf: np.ndarray, buckets: int):
+    """Document, text hash and signature of each text that has shingles, to the text's bucket; equal texts of a batch go once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, int, bytes]]:
@@ -156,28 +158,88 @@ def _bands(idf: np.ndarray, buckets: int):
                 keep = np.sort(order[np.r_[True, tid[order][1:] != tid[order][:-1]]]) if len(ids) else order
                 ids, tid = ids[keep], tid[keep]
                 data, off = C.text_bytes(batch.column(2).take(pa.array(keep)))
-                held = []
                 for i, j in C.text_runs(off):
                     doc, h, tf = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
                     sig = signatures(doc, h, tf * idf[_row(h)], j - i)
                     some = np.flatnonzero(sig.any(1))
-                    held.append((ids[i:j][some], tid[i:j][some], sig[some]))
-                if not held:
-                    continue
-                d, t, sig = (np.concatenate(x) for x in zip(*held))
-                key = _band_keys(sig, np.arange(BANDS))
-                low = (sig >> np.uint32(8)).astype(np.uint8)
-                bucket = C.bucket_of(key, buckets)
-                row = np.repeat(np.arange(len(d)), BANDS)
-                for b, at in C.split(bucket.ravel()):
-                    own = row[at]
-                    yield b, 0, C.pack([], [d[own], t[own], key.ravel()[at], low[own].ravel()])
+                    d, t, sig = ids[i:j][some], tid[i:j][some], sig[some]
+                    for b, at in C.split(C.bucket_of(t, buckets)):
+                        yield b, 1, C.pack([], [d[at], t[at], sig[at].ravel()])
+
+        yield from C.packed_batches(rows())
+
+    return run
+
+
+def _dealt(sig: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each bucket of bands: the rows of sig that have a band there, the bands' keys, eight bits of every sample."""
+    key = _band_keys(sig, np.arange(BANDS))
+    low = (sig >> np.uint32(8)).astype(np.uint8)
+    row = np.repeat(np.arange(len(sig)), BANDS)
+    for b, at in C.split(C.bucket_of(key, buckets).ravel()):
+        yield b, row[at], key.ravel()[at], low[row[at]].ravel()
+
+
+def _bands(buckets: int):
+    """Band keys with document, text hash and eight bits of every sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[int, int, bytes]]:
+            for batch in batches:
+                held = [C.unpack(x.as_py()) for x in batch.column(2)]
+                if held:
+                    d, t, sig = (np.concatenate(x) for x in zip(*held))
+                    for b, own, key, low in _dealt(sig.reshape(-1, BINS), buckets):
+                        yield b, 0, C.pack([], [d[own], t[own], key, low])
+
+        yield from C.packed_batches(rows())
+
+    return run
+
+
+def _packed_labels(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[int, int, bytes]]:
+            for batch in batches:
+                node, label = (batch.column(i).to_numpy(zero_copy_only=False).view(U64) for i in (0, 1))
+                for b, at in C.split(C.bucket_of(node, buckets)):
+                    yield b, 0, C.pack([], [node[at], label[at]])
 
         yield from C.packed_batches(rows())
 
     return run
 
 
+def _labelled_bands(buckets: int):
+    """Band keys with text hash, the label of the text's class so far (its own hash where it has none) and eight bits of every sample."""
+
+    def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list] = {0: [], 1: []}
+        for kind, blob in rows:
+            parts[kind].append(C.unpack(blob))
+        if not parts[1]:
+            return
+        _, t, sig = (np.concatenate(x) for x in zip(*parts[1]))
+        t, at = np.unique(t, return_index=True)
+        sig = sig.reshape(-1, BINS)[at]
+        label = t.copy()
+        if parts[0]:
+            node, value = (np.concatenate(x) for x in zip(*parts[0]))
+            order = np.argsort(node)
+            node, value = node[order], value[order]
+            place = np.minimum(np.searchsorted(node, t), len(node) - 1)
+            label = np.where(node[place] == t, value[place], t)
+
+        def out() -> Iterator[tuple[int, int, bytes]]:
+            for i in range(0, len(t), 4096):
+                for b, own, key, low in _dealt(sig[i : i + 4096], buckets):
+                    yield b, 0, C.pack([], [t[i : i + 4096][own], label[i : i + 4096][own], key, low])
+
+        yield from C.packed_batches(out())
+
+    return fn
+
+
 def _alike(low: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Sampled similarity of rows a with rows b."""
     out = np.empty(len(a), np.float32)
@@ -272,6 +334,43 @@ def _pairs(buckets: int):
     return fn
 
 
+def cross_pairs(group: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one group that have different labels, in parts. Rows are ordered by group, then by label."""
+    n = len(group)
+    if not n:
+        return
+    new = np.r_[True, group[1:] != group[:-1]]
+    step = new | np.r_[True, label[1:] != label[:-1]]
+    end = np.r_[np.flatnonzero(new)[1:], n][np.cumsum(new) - 1]
+    own = np.r_[np.flatnonzero(step)[1:], n][np.cumsum(step) - 1]
+    count = end - own
+    before = np.r_[0, np.cumsum(count)]
+    i = 0
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(before, before[i] + (1 << 20), "right")) - 1)
+        if before[j] > before[i]:
+            yield np.repeat(np.arange(i, j), count[i:j]), C.ranges(own[i:j], count[i:j])
+        i = j
+
+
+def _cross(buckets: int):
+    """Candidate pairs of texts that share a band and are of different classes so far, to the bucket of the larger hash."""
+
+    def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        tid, label, key, low = (np.concatenate(x) for x in zip(*(C.unpack(b) for _, b in rows)))
+        low = low.reshape(-1, BINS)
+        order = np.lexsort((tid, label, key))
+        tid, label, key = tid[order], label[order], key[order]
+        for a, b in cross_pairs(key, label):
+            hit = _alike(low, order[a], order[b]) >= MAYBE
+            x, y = tid[a[hit]], tid[b[hit]]
+            if len(x):
+                pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+                yield from C.packed_batches((t, 1, C.pack([], [pair[k, 0], pair[k, 1]])) for t, k in C.split(C.bucket_of(pair[:, 1], buckets)))
+
+    return fn
+
+
 def _distinct(buckets: int):
     """Pairs once (kind 1), and requests (kind 2): which texts each bucket needs, to the texts' buckets."""
 
@@ -396,7 +495,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified pairs of different texts (a, b: hashes of the texts) and their similarity."""
+    """Verified pairs of different texts (a, b: hashes of the texts) that connect each class: those with leaders, then those
+    between texts of a band that the links with leaders have left in different classes."""
     spark = docs.sparkSession
     n = C.partitions(spark)
     rows = _rows(docs)
@@ -405,11 +505,19 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         part = C.unpack(bytes(r.blob))[0]
         count[r.bucket * len(part) : (r.bucket + 1) * len(part)] = part
     idf = idf_table(count, total)
-    pairs = C.by_bucket(C.map_batches(rows, _bands(idf, n), C.PACKED_SQL), _pairs(n), C.PACKED_SQL)
-    pairs = C.stored(C.by_bucket(pairs, _distinct(n), C.PACKED_SQL), "pairs")
     texts = C.map_batches(rows, _packed_texts(n), C.PACKED_SQL)
-    leaders = C.by_bucket(texts.unionByName(pairs.where("kind = 2")), _answer(n), C.PACKED_SQL)
-    return C.by_bucket(texts.unionByName(pairs.where("kind = 1")).unionByName(leaders), _verify(idf, threshold), "a long, b long, similarity double")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = C.stored(C.by_bucket(pairs, _distinct(n), C.PACKED_SQL), name)
+        leaders = C.by_bucket(texts.unionByName(pairs.where("kind = 2")), _answer(n), C.PACKED_SQL)
+        out = C.by_bucket(texts.unionByName(pairs.where("kind = 1")).unionByName(leaders), _verify(idf, threshold), "a long, b long, similarity double")
+        return C.stored(C.map_batches(out.select("a", "b"), _forest, "a long, b long"), f"{name}_links")
+
+    sketches = C.stored(C.map_batches(rows, _sketches(idf, n), C.PACKED_SQL), "sketches")
+    first = verified(C.by_bucket(C.map_batches(sketches, _bands(n), C.PACKED_SQL), _pairs(n), C.PACKED_SQL), "pairs")
+    labels = C.map_batches(components(first), _packed_labels(n), C.PACKED_SQL)
+    bands = C.by_bucket(sketches.unionByName(labels), _labelled_bands(n), C.PACKED_SQL)
+    return first.unionByName(verified(C.by_bucket(bands, _cross(n), C.PACKED_SQL), "cross"))
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +559,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, tid and class_id of each of docs (doc_id, text)."""
-    found = components(C.map_batches(links(docs, threshold).select("a", "b"), _forest, "a long, b long"))
+    found = components(links(docs, threshold))
     rows = _rows(docs).select("doc_id", "tid")
     rows = rows.join(found, rows["tid"] == found["node"], "left").select("doc_id", "tid", F.coalesce("label", "tid").alias("label"))
     least = rows.groupBy("label").agg(F.min("doc_id").alias("class_id")).withColumnRenamed("label", "l")

@@ -124,3 +124,35 @@ def test_an_original_leads_copies_that_came_before_it(spark):
     assert len({c for _, c in want}) < 60
     got = N.classes(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "class_id").collect()
     assert sum(a != b for a, b in zip(sorted(map(tuple, got)), want)) == 0
+
+
+def test_copies_of_copies_are_linked_past_their_leader(spark):
+    """A text is alike to one copy of a large group only, and that copy leaves its bands with another leader."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 9)))
+
+    def edited(base, places):
+        t = list(base)
+        for p in places:
+            t[p] = word()
+        return t
+
+    rows = []
+    for i in range(2):
+        base = [word() for _ in range(200)]
+        copies = [edited(base, [r.randrange(5, 195)]) for _ in range(80)]
+        rows += [(1000 * i + k, " ".join(t), "x", 0) for k, t in enumerate([base, *copies])]
+        rows += [(1000 * i + 900 + k, " ".join(edited(copies[k], r.sample(range(8, 192), 3))), "x", 0) for k in range(20)]
+    r.shuffle(rows)
+    got = N.classes(spark.createDataFrame(rows, SCHEMA).repartition(5)).select("doc_id", "class_id").collect()
+    assert sorted(map(tuple, got)) == brute(rows)
+
+
+def test_cross_pairs_are_all_pairs_of_different_labels():
+    r = np.random.default_rng(2)
+    group, label = r.integers(0, 9, 200), r.integers(0, 4, 200)
+    order = np.lexsort((label, group))
+    group, label = group[order], label[order]
+    got = [p for a, b in N.cross_pairs(group, label) for p in zip(a.tolist(), b.tolist())]
+    assert sorted(got) == [(a, b) for a in range(200) for b in range(a + 1, 200) if group[a] == group[b] and label[a] != label[b]]
+    assert not list(N.cross_pairs(group[:0], label[:0]))
