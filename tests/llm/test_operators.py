@@ -48,6 +48,16 @@ def test_host_repeats_go_where_there_is_no_article(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_without_article_text_lose_what_their_host_repeats(spark):
+    menu = "home news sports about team contact imprint help more"
+    shell = "<body><div>{}</div>{}<p>{}</p></body>"
+    odd = ["<article></article>", "<script>x = '<article>'</script>", "<!-- <main > -->", "<article class=x><nav>a b</nav></article>", ""]
+    rows = [(i, f"http://h.org/{i}", shell.format(menu, o, f"page{i} says this")) for i, o in enumerate(odd)]
+    rows.append((9, "http://h.org/9", shell.format(menu, "<article>the story</article>", "rest")))
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {**{i: f"page{i} says this" for i in range(len(odd))}, 9: "the story"}
+
+
 def test_warc_round_trip(spark, tmp_path):
     evil = "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
     rows = [(1, "http://a/", "<p>é</p>", 0), (2, "http://b/\r\nX: y", "<p>é</p>", 0), (3, None, None, 0), (4, "u", "", 0), (5, "e", evil, 0), (6, "e", evil + "x", 0), (None, "n", "null id", 0)]
