@@ -21,11 +21,11 @@ def sample(labels: DataFrame, target: str, most: int) -> DataFrame:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, target: str, most: int) -> tuple[DataFrame, int, int]:
-    """y and text of the sample, and the numbers of labels 0 and 1 in it. The sample's ids are broadcast: their number is
+    """doc_id, y and text of the sample, and the numbers of labels 0 and 1 in it. The sample's ids are broadcast: their number is
     bounded by `most`, up to the hash's spread."""
     ids = [(r.doc_id, r.y) for r in sample(labels, target, most).toLocalIterator()]
     spark = docs.sparkSession
     frame = spark.createDataFrame(ids, "doc_id long, y int")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text")).where("doc_id IS NOT NULL")
     ones = sum(y > 0 for _, y in ids)
-    return rows.join(F.broadcast(frame), "doc_id").select("y", "text"), len(ids) - ones, ones
+    return rows.join(F.broadcast(frame), "doc_id").select("doc_id", "y", "text"), len(ids) - ones, ones

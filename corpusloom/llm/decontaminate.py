@@ -62,7 +62,8 @@ class Index:
         ids, question, answer, words = [], [], [], []
         for i, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
-            _, end, _, h, _ = tokens(raw, np.array([0, len(raw)]))
+            t = tokens(raw, np.array([0, len(raw)]))
+            end, h = t.end, t.words()
             if not len(h):
                 continue
             ends = [m.end() for m in re.finditer(rb"[.!?](?=\s)", text.strip().encode())]
@@ -191,7 +192,8 @@ class Index:
         """Text, item, score and overlaps of question and answer, of each text and item at their best window."""
         if not self.ids:
             return
-        _, _, first, h, _ = tokens(data, off)
+        t = tokens(data, off)
+        first, h = t.first, t.words()
         at, term = self.terms_of(h)
         if not len(at):
             return

@@ -158,6 +158,7 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 7, steps: int = 600) -> tupl
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     texts, zeros, ones = labelled_texts(docs, labels, "quality", rows)
+    texts = texts.select("y", "text")
     table = np.zeros((_ROWS, DIMS), np.float32)
     if not zeros or not ones:
         return Model(table, None, constant=float(ones > 0))

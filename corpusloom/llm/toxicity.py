@@ -1,14 +1,21 @@
 """Toxic passages: maximum-scoring segments of token log-odds, calibrated by their extreme-value distribution.
 
-fit() counts, in a bounded sample of labelled documents, the documents of each class that hold a word or a word's stem
-(its first bytes). Log-odds take an informative Dirichlet prior in proportion to the word's overall share. Words that
-differ clearly between the classes keep their log-odds, all others share a slightly negative one, so that long clean
-text lowers a sum. score() scans each text once for all maximal segments (Ruzzo and Tompa, 1999). A document's best
-segment, less the logarithm of the document's length, follows a Gumbel law over clean documents; the tail probability
-under that law is turned into the chance of label 1 by logistic regression.
+fit() takes a bounded sample of labelled documents, one of each group of near copies, and counts for every word and every
+prefix of it (PREFIXES bytes) the documents of each class that hold it. The log-odds of a prefix have a Dirichlet prior
+centred on those of its next shorter prefix, and what parts them is shrunk by the strength of its evidence: by
+1 - L^2 / G^2, with G^2 the likelihood ratio of the two and L^2 = c^2 2 ln(number of prefixes), which is what chance
+alone reaches among so many (0 below that). So each token has log-odds, negative ones too: those of its longest prefix
+that differs from the one before. c and the drift of a token without evidence are chosen by cross-validation among the
+sample's rows, and the calibration is fitted on scores by models that haven't seen the row.
+
+score() scans each text once for all maximal segments (Ruzzo and Tompa, 1999). A document's best segment, less the
+logarithm of the document's length, follows a Gumbel law over clean documents; the tail probability under that law is
+turned into the chance of label 1 by logistic regression.
 
 Defined results: a null or empty text has no passages and the score of a text without any; a null doc_id is scored like
-others and isn't held out; with labels of one class only, all scores are 0; repeated rows each get their result.
+others and isn't held out; with labels of one class only, or none, all scores are 0; repeated rows each get their result;
+other columns of any name are ignored (clean() keeps them); texts of any length are read whole, each by one task; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,10 +33,14 @@ from . import _common as C
 from ._labels import held_out, labelled_texts
 
 #: Labelled rows that the model is fitted on at most.
-SAMPLE_ROWS = 40_000
-#: Words and stems that a model keeps at most (those with the largest z).
-MODEL_WORDS = 200_000
-STEM_BYTES = 6
+SAMPLE_ROWS = 20_000
+#: Bytes of the prefixes of a word that have log-odds, besides the word.
+PREFIXES = (3, 4, 5, 6, 7, 8, 10)
+#: Strength of the Dirichlet prior, in documents.
+PRIOR = 1.0
+FOLDS = 4
+#: What cross-validation chooses from: the factor c of L, and the drift of a token.
+FACTORS, DRIFTS = (0.6, 0.8, 1.0), (0.02, 0.08)
 THRESHOLD = 0.3
 
 _TOKEN_SEP = np.ones(256, bool)
@@ -45,29 +56,49 @@ def lower(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Starts, ends and text of each token, its hash, and its stem's hash (0: no longer than a stem)."""
+@dataclass
+class Tokens:
+    """The tokens of some texts: starts and ends in the bytes, the first token of each text, and prefix sums of hashes."""
+
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    pre: np.ndarray
+
+    def levels(self, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of the tokens `at`, from the shortest prefix to the word: which have one of that length, and its hash."""
+        size = self.end[at] - self.start[at]
+        for n in PREFIXES:
+            k = np.flatnonzero(size >= n)
+            yield k, self._hash(at[k], self.start[at[k]] + n, n)
+        yield np.arange(len(at)), self._hash(at, self.end[at], 255)
+
+    def words(self) -> np.ndarray:
+        return C.span_hash(self.pre, self.start, self.end)
+
+    def _hash(self, at: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
+        return C.span_hash(self.pre, self.start[at], end) ^ C.T1[salt]
+
+
+def tokens(data: np.ndarray, off: np.ndarray) -> Tokens:
     low = lower(data)
     spaced = low.copy()
     spaced[_TOKEN_SEP[low]] = 32
-    start, end, first = C.words(spaced, off)
-    pre = C.prefix(C.T1[low])
-    word = C.span_hash(pre, start, end)
-    stem = np.zeros(len(start), np.uint64)
-    long = end - start > STEM_BYTES
-    stem[long] = C.span_hash(pre, start[long], start[long] + STEM_BYTES) ^ np.uint64(0x5851F42D4C957F2D)
-    return start, end, first, word, stem
+    return Tokens(*C.words(spaced, off), C.prefix(C.T1[low]))
 
 
 def maximal_segments(at: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring subsequences: tokens `at` have `score` (> 0), every other token has -drift. First and last
-    token, and the sum, of each. Linear in the number of scored tokens."""
+    """All maximal scoring subsequences: tokens `at` have `score`, every other token has -drift. First and last token,
+    and the sum, of each. Linear in the number of scored tokens."""
     total, last = 0.0, None
     held: list[list] = []  # first, last, sum before, sum after
     for p, s in zip(at.tolist(), score.tolist()):
         if last is not None:
             total -= drift * (p - last - 1)
         last = p
+        if s <= 0:
+            total += s
+            continue
         k = [p, p, total, total + s]
         total += s
         while True:
@@ -96,31 +127,40 @@ class Model:
         self.seen = np.zeros(1 << 16, bool)
         self.seen[(self.words >> np.uint64(48)).astype(np.int64)] = True
 
-    def look_up(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h))
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes have log-odds of their own, and those."""
         at = np.flatnonzero(self.seen[(h >> np.uint64(48)).astype(np.int64)])
-        if len(at) and len(self.words):
-            i = np.minimum(np.searchsorted(self.words, h[at]), len(self.words) - 1)
-            hit = self.words[i] == h[at]
-            out[at[hit]] = self.odds[i[hit]]
-        return out
-
-    def passages(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
+        if not len(self.words):
+            return at[:0], self.odds[:0]
+        i = np.minimum(np.searchsorted(self.words, h[at]), len(self.words) - 1)
+        hit = self.words[i] == h[at]
+        return at[hit], self.odds[i[hit]]
+
+    def token_odds(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens that have log-odds, and those."""
+        odds = np.full(len(t.start), np.nan)
+        every = np.arange(len(t.start))
+        for k, h in t.levels(every):  # longer prefixes replace shorter ones
+            hit, value = self.find(h)
+            odds[k[hit]] = value
+        at = np.flatnonzero(~np.isnan(odds))
+        return at, odds[at]
+
+    def passages(self, data: np.ndarray, off: np.ndarray, t: Tokens | None = None) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
         """Length-corrected best score and segments (bytes in the text, sum of log-odds) of each text."""
-        start, end, first, word, stem = tokens(data, off)
-        odds = self.look_up(word)
-        rest = np.flatnonzero((odds == 0) & (stem != 0))
-        odds[rest] = self.look_up(stem[rest])
-        at = np.flatnonzero(odds > 0)
-        cut = np.searchsorted(at, first)
-        n = np.diff(first)
+        t = t or tokens(data, off)
+        at, odds = self.token_odds(t)
+        odds = odds - self.drift
+        cut = np.searchsorted(at, t.first)
+        n = np.diff(t.first)
         best = np.zeros(len(n))
         found: list[list[tuple[int, int, float]]] = [[]] * len(n)
-        for i in np.flatnonzero(np.diff(cut)):
-            mine = at[cut[i] : cut[i + 1]]
-            seg = maximal_segments(mine, odds[mine], self.drift)
+        some = np.r_[0, np.cumsum(odds > 0)]
+        for i in np.flatnonzero(some[cut[1:]] > some[cut[:-1]]):
+            mine = slice(cut[i], cut[i + 1])
+            seg = maximal_segments(at[mine], odds[mine], self.drift)
             best[i] = max(s for _, _, s in seg)
-            found[i] = [(int(start[a] - off[i]), int(end[b] - off[i]), s) for a, b, s in seg]
+            found[i] = [(int(t.start[a] - off[i]), int(t.end[b] - off[i]), s) for a, b, s in seg]
         return self.scale * best - np.log(np.maximum(n, 1)), found
 
     def evidence(self, x: np.ndarray) -> np.ndarray:
@@ -133,74 +173,146 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a + b * self.evidence(x) + c * np.log1p(n), -60, 60)))
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, y, text and the least hash of three words running: near copies mostly share it."""
+    for batch in batches:
+        data, off = C.text_bytes(batch.column(2))
+        for i, j in C.text_runs(off):
+            part, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
+            start, end, first = C.words(part, o)
+            h, doc = C.word_hashes(part, start, end), np.repeat(np.arange(j - i), np.diff(first))
+            least = np.full(j - i, np.iinfo(np.uint64).max, np.uint64)
+            if len(h) >= 3:
+                g = C.mix(C.grams(h, 3))
+                at = np.flatnonzero(doc[: len(g)] == doc[2:])
+                np.minimum.at(least, doc[at], g[at])
+            few = np.flatnonzero(np.diff(first) < 3)
+            least[few] = C.mix(C.span_hash(C.prefix(C.T1[part]), o[few], o[few + 1]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(least.view(np.int64))], names=["doc_id", "y", "text", "sketch"])
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """Of each prefix its hash, that of the next shorter one, its level, and the documents that hold it by fold and class;
+    all prefixes that begin alike go to one bucket."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def combined() -> tuple[np.ndarray, ...]:
+        h, parent, root, level, code, n = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((code, h))
+        h, parent, root, level, code, n = (x[order] for x in (h, parent, root, level, code, n))
+        head = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (code[1:] != code[:-1])])
+        return h[head], parent[head], root[head], level[head], code[head], np.add.reduceat(n, head).astype(np.int32)
+
     for batch in batches:
-        y = batch.column(0).to_numpy(zero_copy_only=False)
-        data, off = C.text_bytes(batch.column(1))
+        y, fold = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        code_of = ((y > 0) + 2 * fold).astype(np.uint8)
+        data, off = C.text_bytes(batch.column(2))
         for i, j in C.text_runs(off):
-            _, _, first, word, stem = tokens(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            doc = np.repeat(np.arange(j - i), np.diff(first))
-            for h, d in ((word, doc), (stem[stem != 0], doc[stem != 0])):
-                h = h + (d + 1).astype(np.uint64) * C.BASE  # once in each document
-                h, k = np.unique(h, return_index=True)
-                d = d[k]
-                held.append((h - (d + 1).astype(np.uint64) * C.BASE, y[i:j][d]))
-    if held:
-        h, y = (np.concatenate(x) for x in zip(*held))
-        u, back = np.unique(h, return_inverse=True)
-        one = np.bincount(back, weights=y > 0, minlength=len(u)).astype(np.int32)
-        both = np.bincount(back, minlength=len(u)).astype(np.int32)
-        yield from C.packed_batches((b, 0, C.pack([one[at], both[at] - one[at]], [u[at]])) for b, at in C.split(C.bucket_of(u, 64)))
-
-
-def _odds(zeros: int, ones: int, prior: float = 10.0):
-    """Log-odds with an informative Dirichlet prior (Monroe, Colaresi and Quinn, 2008) of what keeps apart."""
-
-    def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        one, zero, h = (np.concatenate(x) for x in zip(*(C.unpack(b) for _, b in rows)))
-        u, back = np.unique(h, return_inverse=True)
-        a, b = np.bincount(back, weights=one), np.bincount(back, weights=zero)
-        alpha = prior * (a + b) / (zeros + ones)
-        odds = np.log((a + alpha) / (ones + prior - a - alpha)) - np.log((b + alpha) / (zeros + prior - b - alpha))
-        z = odds / np.sqrt(1 / (a + alpha) + 1 / (b + alpha))
-        keep = (z > 3) & (odds > 1.5) & (a >= 3)
-        yield pa.RecordBatch.from_arrays([pa.array(u[keep].view(np.int64)), pa.array(odds[keep]), pa.array(z[keep]), pa.array(b[keep] / max(1, zeros))], names=["h", "odds", "z", "rate"])
+            t = tokens(data[off[i] : off[j]], off[i : j + 1] - off[i])
+            doc = np.repeat(np.arange(j - i), np.diff(t.first))
+            last = np.zeros(len(doc), np.uint64)
+            root = None
+            for level, (k, h) in enumerate(t.levels(np.arange(len(doc)))):
+                if root is None:
+                    root = np.zeros(len(doc), np.uint64)
+                    root[k] = h
+                own = np.where(root[k] == 0, h, root[k])
+                once = h + (doc[k] + 1).astype(np.uint64) * C.BASE  # once in each document
+                _, u = np.unique(once, return_index=True)
+                held.append((h[u], last[k[u]], own[u], np.full(len(u), level, np.uint8), code_of[i:j][doc[k[u]]], np.ones(len(u), np.int32)))
+                last[k] = h
+            if sum(len(x[0]) for x in held[-64:]) > 1 << 20:
+                held = [combined()]
+    if held and sum(len(x[0]) for x in held):
+        h, parent, root, level, code, n = combined()
+        yield from C.packed_batches((b, 0, C.pack([level[at], code[at], n[at]], [h[at], parent[at]])) for b, at in C.split(C.bucket_of(root, 64)))
+
+
+def _totals(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """The counts of a bucket as one table, ordered by level; kind is the number of prefixes in two documents or more."""
+    level, code, n, h, parent = (np.concatenate(x) for x in zip(*(C.unpack(b) for _, b in rows)))
+    u, one, back = np.unique(h, return_index=True, return_inverse=True)
+    table = np.bincount(back * (2 * FOLDS) + code, weights=n, minlength=len(u) * 2 * FOLDS).astype(np.int32).reshape(len(u), -1)
+    keep = np.flatnonzero(table.sum(1) > 1)
+    keep = keep[np.argsort(level[one[keep]], kind="stable")]
+    yield C.packed_batch([(bucket, len(keep), C.pack([level[one[keep]], table[keep].ravel()], [u[keep], parent[one[keep]]]))])
+
+
+def _logit(p: np.ndarray) -> np.ndarray:
+    return np.log(p) - np.log1p(-p)
+
+
+def _odds(label_counts: np.ndarray, prefixes: int):
+    """Shrunken log-odds of the prefixes that differ from their next shorter one: for each model (a fold left out, or none:
+    FOLDS) and factor. label_counts: labelled documents by fold and class."""
+    limit = 2 * math.log(max(2, prefixes))
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(2):
+                level, table, h, parent = C.unpack(blob.as_py())
+                table = table.reshape(-1, FOLDS, 2)
+                order = np.argsort(h)
+                above = order[np.minimum(np.searchsorted(h[order], parent), max(0, len(h) - 1))]
+                has = h[above] == parent if len(h) else np.zeros(0, bool)
+                for fold in range(FOLDS + 1):
+                    rest = [f for f in range(FOLDS) if f != fold]
+                    b, a = table[:, rest].sum(1).T.astype(float)
+                    zeros, ones = label_counts[rest].sum(0)
+                    base = _logit(np.array((ones + 0.5) / (zeros + ones + 1.0)))
+                    for f, factor in enumerate(FACTORS):
+                        odds, own = np.full(len(h), float(base)), np.zeros(len(h), bool)
+                        for n in range(len(PREFIXES) + 1):
+                            at = np.flatnonzero(level == n)
+                            prior = np.where(has[at], odds[above[at]], base)
+                            p = 1 / (1 + np.exp(-prior))
+                            x, y = a[at], b[at]
+                            new = _logit((x + PRIOR * p) / (x + y + PRIOR))
+                            with np.errstate(divide="ignore", invalid="ignore"):
+                                g = 2 * (np.where(x > 0, x * np.log(x / ((x + y) * p)), 0) + np.where(y > 0, y * np.log(y / ((x + y) * (1 - p))), 0))
+                                keep = np.where(g > 0, np.maximum(0, 1 - factor**2 * limit / g), 0)
+                            odds[at] = prior + np.where(keep > 0, keep * (new - prior), 0)
+                            own[at] = keep > 0
+                        k = np.flatnonzero(own)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), fold), pa.int32()), pa.array(np.full(len(k), f), pa.int32()), pa.array(h[k].view(np.int64)), pa.array(odds[k] - base), pa.array(b[k] / max(1.0, zeros))], names=["fold", "factor", "h", "odds", "rate"])
 
     return fn
 
 
-def _features(model: Model):
+def _scale(odds: np.ndarray, rate: np.ndarray, drift: float, size: float) -> float:
+    """Karlin and Altschul's: the positive root of sum p exp(scale s) = 1 over a clean text's tokens."""
+    p = rate / max(1.0, size)
+    lo, hi = 1e-3, 5.0
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        value = (p * np.exp(np.minimum(mid * (odds - drift), 500))).sum() + (1 - min(0.5, p.sum())) * math.exp(-mid * drift)
+        lo, hi = (mid, hi) if value < 1 else (lo, mid)
+    return max(lo, 0.2)
+
+
+def _features(models: dict[int, list[Model]]):
+    """y, and the best score and the number of segments by each of the models that haven't seen the row's fold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, off = C.text_bytes(batch.column(1))
+            fold = batch.column(1).to_numpy(zero_copy_only=False)
+            data, off = C.text_bytes(batch.column(2))
             for i, j in C.text_runs(off):
-                x, found = model.passages(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(x), pa.array([float(len(f)) for f in found])], names=["y", "x", "n"])
+                part, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                t = tokens(part, o)
+                x, n = np.zeros((j - i, len(models[0]))), np.zeros((j - i, len(models[0])))
+                for f in np.unique(fold[i:j]):
+                    mine = fold[i:j] == f
+                    for m, model in enumerate(models[int(f)]):
+                        got, found = model.passages(part, o, t)
+                        x[mine, m], n[mine, m] = got[mine], np.array([len(s) for s in found], float)[mine]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(n.tolist(), pa.list_(pa.float64()))], names=["y", "x", "n"])
 
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    texts, zeros, ones = labelled_texts(docs, labels, "toxic", rows)
-    if not zeros or not ones:
-        return Model()
-    table = C.by_bucket(C.map_batches(texts, _counts, C.PACKED_SQL), _odds(zeros, ones), "h long, odds double, z double, rate double").orderBy(F.desc("z"), "h").limit(MODEL_WORDS).toPandas()
-    order = np.argsort(table["h"].to_numpy(np.int64).view(np.uint64))
-    words, odds, rate = table["h"].to_numpy(np.int64).view(np.uint64)[order], table["odds"].to_numpy()[order], table["rate"].to_numpy()[order]
-    model = Model(words, odds)
-    if not len(words):
-        return model
-    # Karlin and Altschul's scale: the positive root of sum p exp(scale s) = 1 over a clean text's tokens
-    p = rate / max(1.0, 300.0)
-    lo, hi = 1e-3, 5.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        value = (p * np.exp(np.minimum(mid * odds, 500))).sum() + (1 - min(0.5, p.sum())) * math.exp(-mid * model.drift)
-        lo, hi = (mid, hi) if value < 1 else (lo, mid)
-    model.scale = max(lo, 0.2)
-    got = C.map_batches(texts, _features(model), "y int, x double, n double").toPandas()
-    y, x, n = (got["y"] > 0).to_numpy(float), got["x"].to_numpy(), got["n"].to_numpy()
+def _calibrated(model: Model, y: np.ndarray, x: np.ndarray, n: np.ndarray) -> float:
+    """Sets the model's Gumbel law and weights; returns the mean log loss."""
     clean = x[y == 0]
     model.spread = max(0.05, float(clean.std()) * math.sqrt(6) / math.pi)
     model.place = float(clean.mean()) - 0.5772 * model.spread
@@ -210,7 +322,34 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         q = 1 / (1 + np.exp(-np.clip(f @ w, -30, 30)))
         w += np.linalg.solve((f * (q * (1 - q))[:, None]).T @ f + 1e-2 * np.eye(3), f.T @ (y - q) - 1e-2 * w)
     model.weights = tuple(map(float, w))
-    return model
+    q = np.clip(model.chance(x, n), 1e-6, 1 - 1e-6)
+    return float(-(y * np.log(q) + (1 - y) * np.log(1 - q)).mean())
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
+    texts = C.stored(C.map_batches(labelled_texts(docs, labels, "toxic", rows)[0], _sketches, "doc_id long, y int, text string, sketch long"), "labelled")
+    # one row of each group of near copies: copies are no further evidence
+    one = texts.groupBy("sketch", "y").agg(F.min("doc_id").alias("doc_id")).toPandas().sort_values(["doc_id", "sketch", "y"]).drop_duplicates("doc_id")
+    one["fold"] = (C.mix(one["sketch"].to_numpy(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(int)
+    label_counts = np.array([[((one["fold"] == f) & (one["y"] > 0).eq(bool(c))).sum() for c in (0, 1)] for f in range(FOLDS)])
+    if not label_counts.sum(0).all():
+        return Model()
+    ids = docs.sparkSession.createDataFrame([(int(d), int(f)) for d, f in zip(one["doc_id"], one["fold"])], "id long, fold int")
+    texts = texts.join(F.broadcast(ids), texts["doc_id"] == ids["id"]).select("y", "fold", "text")
+    table = C.stored(C.by_bucket(C.map_batches(texts, _counts, C.PACKED_SQL), _totals, C.PACKED_SQL), "counts")
+    prefixes = table.agg(F.sum("kind")).first()[0] or 0
+    got = C.map_batches(table, _odds(label_counts, prefixes), "fold int, factor int, h long, odds double, rate double").toPandas()
+    models: dict[int, list[Model]] = {}
+    for fold in range(FOLDS + 1):
+        models[fold] = []
+        for factor in range(len(FACTORS)):
+            mine = got[(got["fold"] == fold) & (got["factor"] == factor)].sort_values("h", key=lambda s: s.to_numpy(np.int64).view(np.uint64))
+            words, odds, rate = mine["h"].to_numpy(np.int64).view(np.uint64), mine["odds"].to_numpy(float), mine["rate"].to_numpy(float)
+            models[fold] += [Model(words, odds, drift, _scale(odds, rate, drift, 300.0)) for drift in DRIFTS]
+    unseen = C.map_batches(texts, _features({f: models[f] for f in range(FOLDS)}), "y int, x array<double>, n array<double>").toPandas()
+    y, x, n = (unseen["y"] > 0).to_numpy(float), np.stack(unseen["x"].to_list()), np.stack(unseen["n"].to_list())
+    loss = [_calibrated(m, y, x[:, i], n[:, i]) for i, m in enumerate(models[FOLDS])]
+    return models[FOLDS][int(np.argmin(loss))]
 
 
 RESULT = "doc_id long, score double, passages array<struct<start:int,end:int,log_odds:double>>"
