@@ -125,16 +125,16 @@ def without_plurals(names: DataFrame) -> DataFrame:
     return n.join(longer, "name", "left_anti")
 
 
-def stage(files: Column, grit: Column, textbook: Column, pdf: Column, rest: Column) -> Column:
+def stage(files: Column, grit: Column, book: Column, pdf: Column, rest: Column) -> Column:
     """Where a topic's build stands; rest: plan, materials and videos are there."""
     return (
-        F.when(files == 0, "empty vault").when(files < 10, "thin vault").when(~grit & ~textbook, "needs compile").when(textbook & ~pdf, "needs PDF export")
-        .when(textbook & pdf & rest, "complete").otherwise("partial compile")
+        F.when(files == 0, "empty vault").when(files < 10, "thin vault").when(~grit & ~book, "needs compile").when(book & ~pdf, "needs PDF export")
+        .when(book & pdf & rest, "complete").otherwise("partial compile")
     )
 
 
-def progress_bar(files: Column, grit: Column, textbook: Column, pdf: Column, rest: Column) -> Column:
-    return F.concat(*[F.when(done, f"[{c}]").otherwise("[ ]") for done, c in ((files > 0, "V"), (grit, "G"), (textbook, "T"), (pdf, "P"), (rest, "O"))])
+def progress_bar(files: Column, grit: Column, book: Column, pdf: Column, rest: Column) -> Column:
+    return F.concat(*[F.when(done, f"[{c}]").otherwise("[ ]") for done, c in ((files > 0, "V"), (grit, "G"), (book, "T"), (pdf, "P"), (rest, "O"))])
 
 
 def plain_headings(md: Column) -> Column:

@@ -104,7 +104,7 @@ _BODY = r"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '\\s*
 
 @query(f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, {_BODY} AS body, len({WORDS("coalesce(text, '')")}) AS words FROM conversations WHERE conv_id IS NOT NULL), n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, body) AS i FROM c)
 SELECT conv_id, CAST(count(*) AS BIGINT) AS chapters, md5('# ' || conv_id || ' — Complete Technical Guide' || {_NL} || '## Table of Contents' || {_NL} || string_agg(i || '. [' || role || '](#' || role || ')', chr(10) ORDER BY i) || {_NL} || '---' || {_NL} || string_agg('## ' || i || '. ' || role || {_NL} || body, {_NL} || '---' || {_NL} ORDER BY i) || {_NL} || '---' || {_NL} || '*~' || CAST(sum(words) AS BIGINT) || ' words | ' || count(*) || ' chapters*') AS digest FROM n GROUP BY conv_id""")
-def textbook_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def book_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Books of conversations: a turn is a chapter; claim markers are taken out as the book is written."""
     c = load(spark, sf_dir, "conversations").where("conv_id IS NOT NULL").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     return assemble(c, "conv_id", "turn", "role", "text").select("conv_id", "chapters", F.md5("markdown").alias("digest"))

@@ -82,7 +82,7 @@ def fact_report(topic: str, chapters: DataFrame, flagged: DataFrame) -> DataFram
     head = t.select(F.format_string("**%d claims checked** | **%d verified** | **%d tentative** | **%d flagged** | **Accuracy score: %.0f%%**", "n", "verified", "tentative", "flagged", 100 * F.col("score")).alias("md"))
     cells = {"Chapter": F.col("title"), "Claims": n, "Verified": F.col("verified"), "Tentative": F.col("tentative"), "Flagged": F.col("flagged"), "Score": percent(F.col("score"))}
     line = F.concat(F.lit("**"), "title", F.lit("** — "), "claim", F.when(F.size("keywords") > 0, F.concat(F.lit("\n  - Keywords searched: "), F.array_join("keywords", ", "))).otherwise(""))
-    return document(f"{topic.replace('_', ' ').title()} — Textbook Fact-Check Report", [("Totals", head, None), ("Per-Chapter Summary", table(chapters, cells, ["no"]), "*No chapters.*"), ("All Flagged Claims", bullets(flagged, line, ["no", "claim"]), None)])
+    return document(f"{topic.replace('_', ' ').title()} — Book Fact-Check Report", [("Totals", head, None), ("Per-Chapter Summary", table(chapters, cells, ["no"]), "*No chapters.*"), ("All Flagged Claims", bullets(flagged, line, ["no", "claim"]), None)])
 
 
 def fact_json(topic: str, chapters: DataFrame) -> DataFrame:

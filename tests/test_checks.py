@@ -153,7 +153,7 @@ def test_reports(spark, tmp_path):
     ch = spark.createDataFrame([(1, "One", 1, 1, 1, 0.5)], "no int, title string, verified int, tentative int, flagged int, score double")
     fl = spark.createDataFrame([(1, "One", "A claim", ["k", "l"])], "no int, title string, claim string, keywords array<string>")
     md = reports.fact_report("a_b", ch, fl).first().markdown
-    assert md.startswith("# A B — Textbook Fact-Check Report") and "**3 claims checked**" in md and "| One | 3 | 1 | 1 | 1 | 50% |" in md and "Keywords searched: k, l" in md
+    assert md.startswith("# A B — Book Fact-Check Report") and "**3 claims checked**" in md and "| One | 3 | 1 | 1 | 1 | 50% |" in md and "Keywords searched: k, l" in md
     assert json.loads(reports.fact_json("t", ch).first().json)["summary"]["total_claims"] == 3
     thin = spark.createDataFrame([(1, "Edges")], "no int, title string")
     missing = spark.createDataFrame([(2, ["a", "b", "c", "d", "e"])], "no int, topics array<string>")
