@@ -223,6 +223,13 @@ PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("blob", pa.bi
 PACKED_SQL = "bucket int, kind int, blob binary"
 
 
+def to_ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def packed_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     b, k, x = zip(*rows) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(x, pa.binary())], schema=PACKED)

@@ -256,7 +256,7 @@ def _packed_docs(doc_buckets: int) -> Callable:
                 for b, at in C.split(C.bucket_of(rid, doc_buckets)):
                     part = batch.take(pa.array(at))
                     data, off = C.text_bytes(part.column(2))
-                    carried = np.frombuffer(_to_ipc(part.select(range(3, part.num_columns))) if part.num_columns > 3 else b"", np.uint8)
+                    carried = np.frombuffer(C.to_ipc(part.select(range(3, part.num_columns))) if part.num_columns > 3 else b"", np.uint8)
                     yield b, 9, C.pack([np.diff(off).astype(np.int64), data, carried, part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False), part.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.uint8)], [rid[at]])
 
         yield from C.packed_batches(rows())
@@ -264,13 +264,6 @@ def _packed_docs(doc_buckets: int) -> Callable:
     return run
 
 
-def _to_ipc(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
 def _docs(blob: bytes, most: int = C.RUN_BYTES) -> Iterator[tuple]:
     """doc_id, whether it is null, rid, bytes, offsets and other columns (None: there are none), in runs."""
     size, data, carried, ids, null, rid = C.unpack(blob)

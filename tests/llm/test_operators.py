@@ -8,56 +8,11 @@ import random
 import numpy as np
 import pytest
 
-from corpusloom.llm import decontaminate, html_extract, quality, sentencepiece, topk, toxicity, warc
+from corpusloom.llm import decontaminate, quality, sentencepiece, topk, toxicity, warc
 
 DOCS = "doc_id long, text string, y int, score double, key string"
 
 
-def text_of(page):
-    inside, outside = html_extract.blocks(page)
-    return " ".join(inside or outside)
-
-
-@pytest.mark.parametrize(
-    "page, want",
-    [
-        ("", ""),
-        ("<p>a  <b>b</b>c\n d</p>e", "a bc d e"),
-        ('<nav>menu</nav><article><h1>T</h1><p>x &amp; y<script>var a="</p>";</script></p><div class="ad">buy</div><p>z</article><footer>f</footer>', "T x & y z"),
-        ('<header>site</header><div id="cookie-notice">ok</div><main>m<!-- c -->n<form>q</form></main><section class="comments">me too</section>', "mn"),
-        ('<div class="sidebar"><div>in</div><article>text</article>', "text"),
-        ("<article>cut off <b>here</b> and <p", "cut off here and"),
-        ('<article><p title="a > b">q</p><section class="reader-comments"><p>no</p></section></article>', "q"),
-        ("<article>&#233;&nbsp;&unknown; &lt;b&gt;</article>", "é &unknown; <b>"),
-        ("<style>p{}</style><title>t</title>plain", "plain"),
-    ],
-)
-def test_blocks(page, want):
-    assert text_of(page) == want
-
-
-def test_host_repeats_go_where_there_is_no_article(spark):
-    menu = "one two three four five six seven eight nine"
-    rows = [(i, f"http://h.example/{i}", f"<div>{menu}</div><div>w{i} own words and so on for {i * 7}</div>", 1) for i in range(5)]
-    rows += [(8, "http://other.example/", f"<div>{menu}</div>", 1), (9, None, None, 1), (None, "odd", "<article>x</article>", 1), rows[0]]
-    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string, host int")).collect()
-    assert len(got) == len(rows)
-    by = {r.page_id: r.text for r in got}
-    assert by[1] == "w1 own words and so on for 7" and by[8] == menu and by[9] == "" and by[None] == "x"
-    assert all(r.n_chars == len(r.text) for r in got)
-    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
-def test_pages_without_article_text_lose_what_their_host_repeats(spark):
-    menu = "home news sports about team contact imprint help more"
-    shell = "<body><div>{}</div>{}<p>{}</p></body>"
-    odd = ["<article></article>", "<script>x = '<article>'</script>", "<!-- <main > -->", "<article class=x><nav>a b</nav></article>", ""]
-    rows = [(i, f"http://h.org/{i}", shell.format(menu, o, f"page{i} says this")) for i, o in enumerate(odd)]
-    rows.append((9, "http://h.org/9", shell.format(menu, "<article>the story</article>", "rest")))
-    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
-    assert {r.page_id: r.text for r in got} == {**{i: f"page{i} says this" for i in range(len(odd))}, 9: "the story"}
-
-
 def test_warc_round_trip(spark, tmp_path):
     evil = "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
     rows = [(1, "http://a/", "<p>é</p>", 0), (2, "http://b/\r\nX: y", "<p>é</p>", 0), (3, None, None, 0), (4, "u", "", 0), (5, "e", evil, 0), (6, "e", evil + "x", 0), (None, "n", "null id", 0)]
