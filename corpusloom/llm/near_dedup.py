@@ -1,24 +1,35 @@
 """Near-duplicates by improved consistent weighted sampling (ICWS) over TF-IDF shingles, banded and verified.
 
-1. A shingle is five words (a shorter text is one shingle). Its document frequency is counted over all documents in
-   IDF_ROWS hashed rows; the table has that fixed size and is what tasks get. A shingle weighs its count in the text
-   times a smoothed inverse document frequency between 1 and 2, so that a group's own size moves its similarity little.
+1. A shingle is five words (a shorter text is one shingle). It weighs its count in the text times an inverse document
+   frequency, taken from the share of documents that hold it: 1 in all of them, 1 + SPAN where no more than FREQUENT do.
+   The shingles above that share are counted exactly, over all documents; they are at most a text's mean number of
+   shingles over FREQUENT, whatever the corpus, and that table is all that tasks get. SPAN is small, so that a group's
+   own size moves its similarity little.
 2. ICWS (Ioffe, 2010) draws consistent samples: two texts agree in a sample with the probability of their weighted
-   Jaccard similarity. Each shingle is drawn once, in one of BINS bins by its hash; empty bins borrow the next full one.
+   Jaccard similarity. Every occurrence of a shingle is drawn, so a count is so many elements. Texts of a weight up to
+   SMALL draw each element for each of BINS samples; from 0.8 of that weight on (the least that a partner can have) each
+   element is drawn once, in one of BINS bins by its hash, and empty bins borrow the next full one. Between the two a
+   text has both signatures, so that all pairs at the threshold have one in common.
 3. Bins make bands of ROWS. Texts that share a band meet; there, all others are compared by sampled similarity with a
-   leader, those close to it leave, the rest choose the next leader. The first leaders are central texts (most alike to
-   three others, judged by another half of the bins in other bands), so that an original leads its copies and doesn't
-   leave with one of them; later ones are the least documents. Groups that many texts meet in without being alike are parted by further bands first.
+   leader, those close to it leave, for LEADERS turns. The first leaders are central texts (most alike to three others,
+   judged by another half of the bins in other bands), so that an original leads its copies and doesn't leave with one
+   of them; later ones are the least documents.
 4. Candidate pairs are verified by the exact weighted Jaccard similarity of their whole shingle sets. A leader's text is
    sent once to each task that needs it.
-5. A text that left with a leader may be alike to a third one that its leader isn't alike to. So the classes that the links
-   make so far go back to the bands, and all pairs of a band that are of different classes are candidates, too.
+5. The classes that these links make go back to the bands, and there all pairs of texts of different classes with a
+   sampled similarity of MAYBE are verified, too: a link is found whoever led. In a group over PREFIX_FROM texts the pairs
+   come from a prefix filter on the samples, which finds the same pairs: two texts that agree in so many samples share one
+   of the rarest of each.
 6. Links and equal texts make classes (connected components, by label spreading with pointer jumping on tables in the
    shared folder). A row's class_id is the least doc_id of its class.
 
+What can be lost is a pair at the threshold that shares no band (0.488^21, or 3e-7, at a similarity of 0.8) or whose 63
+samples agree in under MAYBE (four standard deviations below 0.8).
+
 Defined results: a null text is empty; texts without words are alike only if equal; a null doc_id counts as larger than
 all others and class_id is null only where the whole class has null ids; repeated rows share a class and each get a row;
-an empty table gives an empty result; other columns are ignored. Texts are told apart by 64-bit hashes of their bytes.
+a text of any length is one record; an empty table gives an empty result; other columns of any name are ignored (dedup()
+keeps them). Texts are told apart by 64-bit hashes of their bytes.
 """
 
 from __future__ import annotations
@@ -35,15 +46,20 @@ from . import _common as C
 U64 = np.uint64
 SHINGLE = 5
 THRESHOLD = 0.8
-IDF_ROWS = 1 << 18
+#: Share of documents beyond which a shingle's frequency counts, and how much more than a shingle in all documents a rare one weighs.
+FREQUENT, SPAN = 1 / 512, 0.25
+#: Rows of hashed counts that tell which shingles can be frequent.
+COUNT_BITS = 21
 BINS, ROWS = 63, 3
 BANDS = BINS // ROWS
+#: Weight of a text up to which every sample is drawn from all its elements.
+SMALL = 400.0
 #: Sampled similarity from which a pair is verified, and from which a text leaves with its leader.
-MAYBE, CLOSE = 0.55, 0.9
-#: Texts of a group beyond which further bands part it.
-PART = 256
-#: Turns of a group whose leader is its central text.
-CENTRAL_TURNS = 2
+MAYBE, CLOSE = 0.6, 0.9
+#: Turns of a group in the first look, and those of them whose leader is its central text.
+LEADERS, CENTRAL_TURNS = 4, 2
+#: Texts of a group from which its pairs come from a prefix filter.
+PREFIX_FROM = 256
 #: The bins by which a text's place in its group is judged, in four ways.
 HALVES = np.array([[(b + way) % 4 < 2 for b in range(BINS)] for way in range(4)])
 NO_ID = np.iinfo(np.int64).max
@@ -73,30 +89,107 @@ def shingles(data: np.ndarray, off: np.ndarray, k: int = SHINGLE) -> tuple[np.nd
 
 
 def _row(h: np.ndarray) -> np.ndarray:
-    return (h >> U64(46)).astype(np.int64)
+    return (h >> U64(64 - COUNT_BITS)).astype(np.int64)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count, some = np.zeros(IDF_ROWS, np.int64), False
+def _row_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by hashed row of their shingles: no less than any shingle's documents."""
+    count, held = np.zeros(1 << COUNT_BITS, np.int32), []
     for batch in batches:
         data, off = C.text_bytes(batch.column(2))
         for i, j in C.text_runs(off):
-            _, h, _ = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
-            count += np.bincount(_row(h), minlength=IDF_ROWS)
-            some = True
-    if some:  # parts of the table, so that many tasks add up
-        part = IDF_ROWS // 64
+            held.append(_row(shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])[1]))
+            if len(held) >= 32:
+                count += np.bincount(np.concatenate(held), minlength=len(count)).astype(np.int32)
+                held = []
+    if held:
+        count += np.bincount(np.concatenate(held), minlength=len(count)).astype(np.int32)
+    if count.any():  # parts of the table, so that many tasks add up
+        part = len(count) // 64
         yield C.packed_batch([(b, 0, C.pack([count[b * part : (b + 1) * part]])) for b in range(64)])
 
 
-def _total(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-    total = sum(C.unpack(b)[0] for _, b in rows)
-    yield C.packed_batch([(bucket, 0, C.pack([total]))])
+def _full_rows(least: int):
+    def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        total = sum(C.unpack(b)[0].astype(np.int64) for _, b in rows)
+        at = np.flatnonzero(total >= least)
+        if len(at):
+            yield C.packed_batch([(bucket, 0, C.pack([(at + bucket * len(total)).astype(np.int32)]))])
+
+    return fn
+
+
+def _shingle_counts(full: np.ndarray):
+    """Documents of each shingle that falls in one of the full rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+
+        def combined() -> list:
+            h, n = (np.concatenate(x) for x in zip(*held))
+            u, back = np.unique(h, return_inverse=True)
+            return [(u, np.bincount(back, weights=n).astype(np.int64))]
+
+        for batch in batches:
+            data, off = C.text_bytes(batch.column(2))
+            for i, j in C.text_runs(off):
+                _, h, _ = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                h = h[full[_row(h)]]
+                if len(h):
+                    held.append((h, np.ones(len(h), np.int64)))
+                if len(held) >= 32:
+                    held = combined()
+        if held:
+            ((h, n),) = combined()
+            yield from C.packed_batches((b, 0, C.pack([n[at]], [h[at]])) for b, at in C.split(C.bucket_of(h * C.BASE, 64)))
+
+    return run
+
+
+def _frequent(least: int):
+    def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        n, h = (np.concatenate(x) for x in zip(*(C.unpack(b) for _, b in rows)))
+        u, back = np.unique(h, return_inverse=True)
+        n = np.bincount(back, weights=n).astype(np.int64)
+        if (n >= least).any():
+            yield C.packed_batch([(bucket, 0, C.pack([n[n >= least]], [u[n >= least]]))])
+
+    return fn
 
 
-def idf_table(count: np.ndarray, docs: int) -> np.ndarray:
-    """Between 1 (in all documents) and 2 (in hardly any)."""
-    return (1 + np.log((docs + 1) / (np.minimum(count, docs) + 1)) / np.log(docs + 2)).astype(np.float32)
+class Idf:
+    """Inverse document frequencies: of the frequent shingles (sorted hashes and their documents), and of all others."""
+
+    def __init__(self, h: np.ndarray, count: np.ndarray, docs: int) -> None:
+        order = np.argsort(h)
+        self.h = h[order]
+        share = np.minimum(1.0, count[order] / max(1, docs))
+        self.weight = 1 + SPAN * np.minimum(1.0, np.log(share) / np.log(FREQUENT)) if len(h) else np.zeros(0)
+        self.seen = np.zeros(1 << 16, bool)
+        self.seen[(self.h >> U64(48)).astype(np.int64)] = True
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), 1 + SPAN)
+        at = np.flatnonzero(self.seen[(h >> U64(48)).astype(np.int64)]) if len(self.h) else np.zeros(0, np.int64)
+        if len(at):
+            k = np.minimum(np.searchsorted(self.h, h[at]), len(self.h) - 1)
+            hit = self.h[k] == h[at]
+            out[at[hit]] = self.weight[k[hit]]
+        return out
+
+
+def idf_of(rows: DataFrame, docs: int) -> Idf:
+    """Of `docs` documents (doc_id, tid, text), all of which are counted. What comes to the driver is bounded: rows and
+    shingles whose documents are no fewer than FREQUENT of all."""
+    least = max(2, int(np.ceil(FREQUENT * docs)))
+    full = np.zeros(1 << COUNT_BITS, bool)
+    for r in C.by_bucket(C.map_batches(rows, _row_counts, C.PACKED_SQL), _full_rows(least), C.PACKED_SQL).toLocalIterator():
+        full[C.unpack(bytes(r.blob))[0]] = True
+    found = [(np.zeros(0, np.int64), np.zeros(0, U64))]
+    if full.any():
+        found += [tuple(C.unpack(bytes(r.blob))) for r in C.by_bucket(C.map_batches(rows, _shingle_counts(full), C.PACKED_SQL), _frequent(least), C.PACKED_SQL).toLocalIterator()]
+    n, h = (np.concatenate(x) for x in zip(*found))
+    return Idf(h, n, docs)
 
 
 _U = [C.mix(np.array([i + 11], U64))[0] for i in range(5)]
@@ -115,8 +208,18 @@ def icws(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.log(c) - r * (t - beta) - r, C.mix(h ^ (t.astype(np.int64).view(U64) * C.BASE))
 
 
-def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """32 bits for each of BINS bins of each of n texts; zeros for texts without shingles."""
+def _elements(doc: np.ndarray, h: np.ndarray, tf: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash and weight of each occurrence: the second, third, ... of a shingle is an element of its own."""
+    if not len(tf) or tf.max() == 1:
+        return doc, h, weight
+    nth = C.ranges(np.zeros(len(tf), np.int64), tf)
+    again = np.repeat(h, tf)
+    again[nth > 0] = C.mix(again[nth > 0] ^ C.mix(nth[nth > 0].astype(U64)))
+    return np.repeat(doc, tf), again, np.repeat(weight, tf)
+
+
+def binned(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """32 bits for each of BINS bins of each of n texts, from one draw an element; zeros for texts without elements."""
     value, key = icws(h, weight)
     cell = doc * BINS + (h % U64(BINS)).astype(np.int64)
     order = np.lexsort((value, cell))
@@ -138,6 +241,35 @@ def signatures(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np
     return out
 
 
+def independent(doc: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """32 bits for each of BINS samples of each of n texts, each drawn from all elements (ordered by text)."""
+    out = np.zeros((n, BINS), np.uint32)
+    if len(doc):
+        first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+        group = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])
+        for b in range(BINS):
+            value, key = icws(C.mix(h ^ U64(0xB5297A4D00000000 + b)), weight)
+            hit = np.flatnonzero(value == np.minimum.reduceat(value, first)[group])
+            out[doc[hit[::-1]], b] = (key[hit[::-1]] >> U64(32)).astype(np.uint32) | 1
+    return out
+
+
+def signatures(doc: np.ndarray, h: np.ndarray, tf: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and samples of each signature of n texts (shingles with their counts and inverse document frequencies, ordered
+    by text): a text has one or two, or none if it has no shingles."""
+    total = np.bincount(doc, weights=tf * weight, minlength=n)
+    out = []
+    for draw, mine in ((independent, (total > 0) & (total <= SMALL)), (binned, total >= THRESHOLD * SMALL)):
+        which = np.flatnonzero(mine)
+        if len(which):
+            at = mine[doc]
+            place = np.cumsum(mine) - 1
+            out.append((which, draw(*_elements(place[doc[at]], h[at], tf[at], weight[at]), len(which))))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros((0, BINS), np.uint32)
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _band_keys(sig: np.ndarray, bands: np.ndarray) -> np.ndarray:
     s = sig.astype(U64).reshape(len(sig), BANDS, ROWS)[:, bands]
     h = np.zeros(s.shape[:2], U64)
@@ -146,8 +278,8 @@ def _band_keys(sig: np.ndarray, bands: np.ndarray) -> np.ndarray:
     return h ^ C.mix(bands.astype(U64) + U64(77))
 
 
-def _sketches(idf: np.ndarray, buckets: int):
-    """Document, text hash and signature of each text that has shingles, to the text's bucket; equal texts of a batch go once."""
+def _sketches(idf: Idf, buckets: int):
+    """Document, text hash and signatures of each text that has shingles, to the text's bucket; equal texts of a batch go once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple[int, int, bytes]]:
@@ -160,9 +292,8 @@ def _sketches(idf: np.ndarray, buckets: int):
                 data, off = C.text_bytes(batch.column(2).take(pa.array(keep)))
                 for i, j in C.text_runs(off):
                     doc, h, tf = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                    sig = signatures(doc, h, tf * idf[_row(h)], j - i)
-                    some = np.flatnonzero(sig.any(1))
-                    d, t, sig = ids[i:j][some], tid[i:j][some], sig[some]
+                    which, sig = signatures(doc, h, tf, idf.of(h), j - i)
+                    d, t = ids[i:j][which], tid[i:j][which]
                     for b, at in C.split(C.bucket_of(t, buckets)):
                         yield b, 1, C.pack([], [d[at], t[at], sig[at].ravel()])
 
@@ -220,8 +351,10 @@ def _labelled_bands(buckets: int):
         if not parts[1]:
             return
         _, t, sig = (np.concatenate(x) for x in zip(*parts[1]))
-        t, at = np.unique(t, return_index=True)
-        sig = sig.reshape(-1, BINS)[at]
+        sig = sig.reshape(-1, BINS)
+        order = np.lexsort((sig[:, 0], t))  # equal texts once, with both signatures
+        at = order[np.r_[True, (t[order][1:] != t[order][:-1]) | (sig[order, 0][1:] != sig[order, 0][:-1])]]
+        t, sig = t[at], sig[at]
         label = t.copy()
         if parts[0]:
             node, value = (np.concatenate(x) for x in zip(*parts[0]))
@@ -268,26 +401,9 @@ def candidate_pairs(group: np.ndarray, low: np.ndarray, way: np.ndarray | None =
     numbers of bands shared; way: how the group of each row chooses its central text."""
     way = np.zeros(len(group), np.int64) if way is None else way
     rows = np.arange(len(group))
-    size = np.bincount(group) if len(group) else np.zeros(0, np.int64)
-    big = size[group] > PART
-    if big.any():  # part large groups by further bands; a pair over the threshold shares some of them
-        mine = rows[big]
-        s = low[mine].astype(U64).reshape(len(mine), BANDS, ROWS)
-        g = [group[~big]] if (~big).any() else []
-        r = [rows[~big]] if (~big).any() else []
-        base = len(size)
-        for band in range(0, BANDS, 2):
-            key = C.mix(group[mine].astype(U64) * C.BASE + ((s[:, band, 0] << U64(16)) | (s[:, band, 1] << U64(8)) | s[:, band, 2]))
-            _, sub = np.unique(key, return_inverse=True)
-            g.append(sub + base)
-            r.append(mine)
-            base += int(sub.max()) + 1
-        group, rows = np.concatenate(g), np.concatenate(r)
-        order = np.lexsort((rows, group))
-        group, rows = group[order], rows[order]
     left, right = [], []
     turn = 0
-    while len(rows):
+    while len(rows) and turn < LEADERS:
         head = np.r_[True, group[1:] != group[:-1]]
         first, nth = np.flatnonzero(head), np.cumsum(head) - 1
         lead = (_central(rows, first, nth, low, way) if turn < CENTRAL_TURNS else first)[nth]
@@ -353,15 +469,49 @@ def cross_pairs(group: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarr
         i = j
 
 
+def agreeing(low: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows by token (a bin and its sample), in parts: any two rows that agree in `least` bins or more have a token in
+    common here. Each row's rarest tokens are enough; of equally rare ones the smaller."""
+    n = len(low)
+    token = low.astype(np.int64) + np.arange(BINS) * 256
+    times = np.bincount(token.ravel(), minlength=256 * BINS)
+    rank = np.empty(256 * BINS, np.int64)
+    rank[np.lexsort((np.arange(256 * BINS), times))] = np.arange(256 * BINS)
+    short = BINS - least + 1
+    mine = np.empty((n, short), np.int32)
+    for i in range(0, n, 16384):
+        r = rank[token[i : i + 16384]]
+        mine[i : i + 16384] = np.partition(r, short - 1, 1)[:, :short]
+    row = np.repeat(np.arange(n), short)
+    order = np.lexsort((row, mine.ravel()))
+    yield mine.ravel()[order], row[order]
+
+
 def _cross(buckets: int):
     """Candidate pairs of texts that share a band and are of different classes so far, to the bucket of the larger hash."""
+    least = int(np.ceil(MAYBE * BINS))
 
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         tid, label, key, low = (np.concatenate(x) for x in zip(*(C.unpack(b) for _, b in rows)))
         low = low.reshape(-1, BINS)
         order = np.lexsort((tid, label, key))
         tid, label, key = tid[order], label[order], key[order]
-        for a, b in cross_pairs(key, label):
+        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[head, len(key)])
+        few = np.repeat(size < PREFIX_FROM, size)
+        at = np.flatnonzero(few)
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for a, b in cross_pairs(key[at], label[at]):
+                yield at[a], at[b]
+            for i, n in zip(head[size >= PREFIX_FROM], size[size >= PREFIX_FROM]):
+                if label[i] == label[i + n - 1]:
+                    continue
+                for token, row in agreeing(low[order[i : i + n]], least):
+                    for a, b in cross_pairs(token, label[i + row]):
+                        yield i + row[a], i + row[b]
+
+        for a, b in pairs():
             hit = _alike(low, order[a], order[b]) >= MAYBE
             x, y = tid[a[hit]], tid[b[hit]]
             if len(x):
@@ -446,7 +596,7 @@ def weighted_jaccard(h: np.ndarray, w: np.ndarray, g: np.ndarray, v: np.ndarray)
     return float(least / max(1e-12, w.sum() + v.sum() - least))
 
 
-def _verify(idf: np.ndarray, threshold: float):
+def _verify(idf: Idf, threshold: float):
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         pairs: dict[int, list[int]] = {}
         lead: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -459,7 +609,7 @@ def _verify(idf: np.ndarray, threshold: float):
             data, off, tid = data[C.ranges(off[mine], size[mine])], np.r_[0, np.cumsum(size[mine])], tid[mine]
             for i, j in C.text_runs(off):
                 doc, h, tf = shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                w = tf * idf[_row(h)].astype(float)
+                w = tf * idf.of(h)
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
                 for n in range(j - i):
                     yield int(tid[i + n]), h[cut[n] : cut[n + 1]], w[cut[n] : cut[n + 1]]
@@ -500,11 +650,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     spark = docs.sparkSession
     n = C.partitions(spark)
     rows = _rows(docs)
-    count, total = np.zeros(IDF_ROWS, np.int64), docs.count()
-    for r in C.by_bucket(C.map_batches(rows, _frequencies, C.PACKED_SQL), _total, C.PACKED_SQL).toLocalIterator():
-        part = C.unpack(bytes(r.blob))[0]
-        count[r.bucket * len(part) : (r.bucket + 1) * len(part)] = part
-    idf = idf_table(count, total)
+    idf = idf_of(rows, docs.count())
     texts = C.map_batches(rows, _packed_texts(n), C.PACKED_SQL)
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -515,7 +661,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     sketches = C.stored(C.map_batches(rows, _sketches(idf, n), C.PACKED_SQL), "sketches")
     first = verified(C.by_bucket(C.map_batches(sketches, _bands(n), C.PACKED_SQL), _pairs(n), C.PACKED_SQL), "pairs")
-    labels = C.map_batches(components(first), _packed_labels(n), C.PACKED_SQL)
+    labels = C.map_batches(components(first).select("node", "label"), _packed_labels(n), C.PACKED_SQL)
     bands = C.by_bucket(sketches.unionByName(labels), _labelled_bands(n), C.PACKED_SQL)
     return first.unionByName(verified(C.by_bucket(bands, _cross(n), C.PACKED_SQL), "cross"))
 
@@ -541,38 +687,48 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(keep, pa.int64()))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and label (the least node) of each connected component of edges (a, b). Labels spread to neighbours and jump
-    along themselves, so the rounds grow with the logarithm of a path's length; each round's labels are a table."""
+def components(edges: DataFrame, least: DataFrame | None = None) -> DataFrame:
+    """Of each node of edges (a, b) its component: doc and label, the first of the component's nodes by doc, then node.
+    least: node and doc of all nodes (without: all docs are 0). Labels spread to neighbours and jump along themselves, so
+    the rounds grow with the logarithm of a path's length; each round's labels are a table."""
     edges = C.stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = C.stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    nodes = edges.select(F.col("a").alias("node")).distinct()
+    nodes = nodes.withColumn("doc", F.lit(0).cast("long")) if least is None else nodes.join(least, "node").select("node", "doc")
+    nodes = C.stored(nodes.select("node", F.struct("doc", "node").alias("label")), "labels")
+    labels = nodes
     while True:
         near = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("best"))
         spread = labels.join(near, labels["node"] == near["a"]).select("node", F.least("label", "best").alias("next"), "label")
         up = labels.select(F.col("node").alias("n"), F.col("label").alias("up"))
-        jumped = spread.join(up, spread["next"] == up["n"], "left").select("node", F.least("next", F.coalesce("up", "next")).alias("label"), F.col("label").alias("old"))
+        jumped = spread.join(up, spread["next.node"] == up["n"], "left").select("node", F.least("next", F.coalesce("up", "next")).alias("label"), F.col("label").alias("old"))
         labels = C.stored(jumped, "labels")
         if labels.where("label <> old").isEmpty():
-            return labels.select("node", "label")
+            return labels.select("node", F.col("label.doc").alias("doc"), F.col("label.node").alias("label"))
         labels = labels.select("node", "label")
 
 
+def _texts(docs: DataFrame, threshold: float) -> DataFrame:
+    """Of each text (node) the first of its class: doc (NO_ID: null) and label (the text's hash). A table with a row a text."""
+    rows = _rows(docs)
+    least = C.stored(rows.groupBy(F.col("tid").alias("node")).agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc")), "texts")
+    found = components(links(docs, threshold), least).select(F.col("node").alias("n"), F.col("doc").alias("d"), "label")
+    return C.stored(least.join(found, least["node"] == found["n"], "left").select("node", F.coalesce("d", "doc").alias("doc"), F.coalesce("label", "node").alias("label")), "classes")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, tid and class_id of each of docs (doc_id, text)."""
-    found = components(links(docs, threshold))
+    """doc_id, tid, class_id and label (the hash of the class's first text) of each of docs (doc_id, text)."""
+    texts = _texts(docs, threshold)
     rows = _rows(docs).select("doc_id", "tid")
-    rows = rows.join(found, rows["tid"] == found["node"], "left").select("doc_id", "tid", F.coalesce("label", "tid").alias("label"))
-    least = rows.groupBy("label").agg(F.min("doc_id").alias("class_id")).withColumnRenamed("label", "l")
-    return rows.join(least, rows["label"] == least["l"]).select("doc_id", "tid", "class_id", "label")
+    return rows.join(texts, rows["tid"] == texts["node"]).select("doc_id", "tid", F.when(F.col("doc") != NO_ID, F.col("doc")).alias("class_id"), "label")
 
 
 def dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns, less all but one of each class: the one with the least doc_id (of equal doc_ids the
     one whose text has the least hash; of equal rows one)."""
     names = docs.columns
-    key = [f"_{i}_{n}" for i, n in enumerate(("doc_id", "tid"))]
-    kept = classes(docs, threshold).groupBy("label").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)), "tid")).alias("k")).select(F.col("k.col1").alias(key[0]), F.col("k.tid").alias(key[1]))
+    texts = _texts(docs, threshold)
+    kept = texts.where("node = label").select(F.col("doc").alias("kept_doc"), F.col("label").alias("kept_text"))
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text, F.octet_length(text)).alias("t"), F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("row"))
-    rows = rows.join(kept, (rows["d"] == kept[key[0]]) & (rows["t"] == kept[key[1]])).groupBy("d", "t").agg(F.first("row").alias("row"))
+    rows = rows.join(kept, (rows["d"] == kept["kept_doc"]) & (rows["t"] == kept["kept_text"])).groupBy("d", "t").agg(F.first("row").alias("row"))
     return rows.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])

@@ -1,5 +1,6 @@
 """Near-duplicates against brute force over all pairs."""
 
+import math
 import random
 
 import numpy as np
@@ -30,16 +31,17 @@ def fixture():
 def brute(rows):
     """Classes by exact weighted Jaccard over all pairs of texts."""
     texts = sorted({t or "" for _, t, *_ in rows})
-    sets, count = [], np.zeros(N.IDF_ROWS, np.int64)
+    raw = lambda t: N.shingles(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))
+    count = {}
     for _, t, *_ in rows:
-        b = np.frombuffer((t or "").encode(), np.uint8)
-        _, h, _ = N.shingles(b, np.array([0, len(b)]))
-        count += np.bincount(N._row(h), minlength=N.IDF_ROWS)
-    idf = N.idf_table(count, len(rows))
+        for h in raw(t)[1].tolist():
+            count[h] = count.get(h, 0) + 1
+    least = max(2, math.ceil(N.FREQUENT * len(rows)))
+    weigh = lambda h: 1 + N.SPAN * min(1.0, math.log(count[h] / len(rows)) / math.log(N.FREQUENT)) if count[h] >= least else 1 + N.SPAN
+    sets = []
     for t in texts:
-        b = np.frombuffer(t.encode(), np.uint8)
-        _, h, tf = N.shingles(b, np.array([0, len(b)]))
-        sets.append(dict(zip(h.tolist(), (tf * idf[N._row(h)].astype(float)).tolist())))
+        _, h, tf = raw(t)
+        sets.append({x: n * weigh(x) for x, n in zip(h.tolist(), tf.tolist())})
     up = list(range(len(texts)))
 
     def root(x):
@@ -74,29 +76,103 @@ def test_dedup_keeps_one_of_each_class(spark):
     assert sorted(r.doc_id for r in kept) == sorted({c for _, c in brute(rows)})
 
 
+def test_long_texts_and_columns_of_any_name(spark):
+    long = "some words that go on and on " * 20000
+    rows = [(5, long + "a", 1, "t", 2, "q"), (3, long + "b c", 1, "t", 2, "q"), (9, "other", None, None, None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, node long, label string, kept_doc int, `a b` string")
+    assert {(r.doc_id, r.class_id) for r in N.classes(d).collect()} == {(5, 3), (3, 3), (9, 9)}
+    kept = N.dedup(d)
+    assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == [3, 9]
+
+
 def test_empty(spark):
     assert N.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_sampling_agrees_with_similarity():
+@pytest.mark.parametrize("draw", [N.binned, N.independent])
+def test_sampling_agrees_with_similarity(draw):
     r = np.random.default_rng(1)
-    h = r.integers(0, 2**63, 4000).astype(np.uint64)
-    w = np.ones(4000)
-    a, b = np.arange(0, 3600), np.arange(400, 4000)  # Jaccard 0.8
-    sig = N.signatures(np.r_[np.zeros(3600, np.int64), np.ones(3600, np.int64)], np.r_[h[a], h[b]], np.r_[w[a], w[b]], 2)
-    assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.2
+    got = []
+    for _ in range(20):
+        h = r.integers(0, 2**63, 1200).astype(np.uint64)
+        w = 1 + N.SPAN * r.random(1200)
+        a, b = np.arange(0, 1080), np.arange(120, 1200)
+        sig = draw(np.r_[np.zeros(1080, np.int64), np.ones(1080, np.int64)], np.r_[h[a], h[b]], np.r_[w[a], w[b]], 2)
+        got.append((sig[0] == sig[1]).mean() - np.minimum(w[120:1080], w[120:1080]).sum() / w.sum())
+    assert abs(np.mean(got)) < 0.04 and np.std(got) < 0.1
+
+
+def test_every_text_at_the_threshold_has_a_common_signature():
+    r = np.random.default_rng(3)
+    for n in (1, 7, 20, 250, 300, 330, 390, 420, 900):
+        h, tf = np.sort(r.integers(0, 2**63, n).astype(np.uint64)), np.full(n, int(r.integers(1, 4)))
+        m = math.ceil(n * 0.85)
+        which, sig = N.signatures(np.r_[np.zeros(n, np.int64), np.ones(m, np.int64)], np.r_[h, h[:m]], np.r_[tf, tf[:m]], np.ones(n + m), 2)
+        assert max(float((sig[i] == sig[j]).mean()) for i in np.flatnonzero(which == 0) for j in np.flatnonzero(which == 1)) > 0.5
+
+
+def test_heavy_shingles_weigh_by_their_count():
+    h = np.arange(1, 302, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    tf = np.r_[2000, np.ones(300, int)]
+    which, sig = N.signatures(np.r_[np.zeros(301, np.int64), np.ones(1, np.int64)], np.r_[h, h[:1]], np.r_[tf, tf[:1]], np.ones(302), 2)
+    assert which.tolist() == [0, 1] and abs((sig[0] == sig[1]).mean() - 2000 / 2300) < 0.2
+
+
+def test_prefix_filter_loses_no_pair_that_agrees():
+    r = np.random.default_rng(5)
+    base = r.integers(0, 256, (12, N.BINS))
+    low = base[r.integers(0, 12, 400)]
+    low = np.where(r.random(low.shape) < r.choice([0.1, 0.3, 0.5], (400, 1)), r.integers(0, 256, low.shape), low).astype(np.uint8)
+    least = math.ceil(N.MAYBE * N.BINS)
+    found = set()
+    for token, row in N.agreeing(low, least):
+        for a, b in N.cross_pairs(token, row):
+            found |= {(min(row[x], row[y]), max(row[x], row[y])) for x, y in zip(a, b)}
+    want = {(a, b) for a in range(400) for b in range(a + 1, 400) if (low[a] == low[b]).sum() >= least}
+    assert len(want) > 1000 and want <= found
+
+
+@pytest.mark.parametrize("prefix_from", [4, 10**9])
+def test_link_recall_on_planted_pairs(spark, monkeypatch, prefix_from):
+    """Hundreds of pairs at all similarities around the threshold, short and long, some in large groups."""
+    monkeypatch.setattr(N, "PREFIX_FROM", prefix_from)
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 8)))
+    rows, i = [], 0
+    passage = [word() for _ in range(60)]
+    for b in range(260):
+        base = [word() for _ in range(r.choice((6, 9, 12, 16, 25, 40, 80, 150, 300, 600)))]
+        base = (passage if b % 5 == 0 else []) + base
+        for k in range(r.choice((2, 2, 3, 6))):
+            t = list(base)
+            for p in r.sample(range(len(t)), min(len(t) // 6, r.randrange(0, 1 + len(t) // 30))):
+                t[p] = word()
+            if r.random() < 0.5:
+                t = t[: len(t) - r.randrange(0, 1 + len(t) // 8)]
+            rows.append((i, " ".join(t), "x", 0))
+            i += 1
+    want = brute(rows)
+    got = dict(N.classes(spark.createDataFrame(rows, SCHEMA).repartition(4)).select("doc_id", "class_id").collect())
+    least = {}
+    for d, c in want:
+        least.setdefault(c, []).append(d)
+    links = [(a, b) for g in least.values() for a, b in zip(g, g[1:])]
+    assert len(links) > 300 and np.mean([got[a] == got[b] for a, b in links]) >= 0.99
+    assert all(dict(want)[d] == dict(want)[c] for d, c in got.items())  # nothing unlike is joined
 
 
 def test_candidates_of_a_large_alike_group_stay_linear():
     n = 3000
     low = np.tile(np.arange(N.BINS, dtype=np.uint8), (n, 1))
     a, b = N.candidate_pairs(np.zeros(n, np.int64), low)
-    assert set(b.tolist()) == set(range(1, n)) and len(a) <= 12 * n
+    assert set(b.tolist()) == set(range(1, n)) and len(a) <= N.LEADERS * n
 
 
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (3, 40), (40, 41), (41, 42), (42, 43)], "a long, b long")
-    assert {tuple(r) for r in N.components(e).collect()} == {(i, 1) for i in (1, 2, 3, 40, 41, 42, 43)} | {(8, 8), (9, 8)}
+    assert {(r.node, r.label) for r in N.components(e).collect()} == {(i, 1) for i in (1, 2, 3, 40, 41, 42, 43)} | {(8, 8), (9, 8)}
+    least = spark.createDataFrame([(i, 100 - i) for i in (1, 2, 3, 8, 9, 40, 41, 42, 43, 99)], "node long, doc long")
+    assert {tuple(r) for r in N.components(e, least).select("node", "doc", "label").collect()} == {(i, 57, 43) for i in (1, 2, 3, 40, 41, 42, 43)} | {(8, 91, 9), (9, 91, 9)}
 
 
 def test_words_are_split_at_ascii_white_space():
