@@ -7,6 +7,8 @@ rows by bucket. A reducer streams bucket by bucket, so its memory follows the bu
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import ctypes
 import re
 import struct
@@ -17,6 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +32,35 @@ _SEP[list(SEPARATORS)] = True
 RUN_BYTES = 1 << 19
 
 
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that spark.checkpoint.dir names (a temporary one where that is unset)."""
+    """A fresh path in the shared folder that spark.checkpoint.dir names; it goes when the driver's Python ends. Where the
+    setting is unset a local master gets a temporary folder, and any other an error: executors don't see the driver's disk."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "") or ""
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+@atexit.register
+def _clear() -> None:
+    jvm = SparkContext._jvm
+    for path in _made if jvm else ():
+        with contextlib.suppress(Exception):  # the JVM or the folder may be gone
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
+
+
+def column(df: DataFrame, name: str) -> F.Column:
+    """A column by its whole name, whatever signs that has."""
+    return df["`" + name.replace("`", "``") + "`"]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

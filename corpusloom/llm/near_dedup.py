@@ -53,7 +53,7 @@ COUNT_BITS = 21
 BINS, ROWS = 63, 3
 BANDS = BINS // ROWS
 #: Weight of a text up to which every sample is drawn from all its elements.
-SMALL = 400.0
+SMALL = 120.0
 #: Sampled similarity from which a pair is verified, and from which a text leaves with its leader.
 MAYBE, CLOSE = 0.6, 0.9
 #: Turns of a group in the first look, and those of them whose leader is its central text.
@@ -422,6 +422,13 @@ def candidate_pairs(group: np.ndarray, low: np.ndarray, way: np.ndarray | None =
     return np.concatenate(left), np.concatenate(right)
 
 
+def distinct_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return np.stack([a[new], b[new]], 1)
+
+
 def _pairs(buckets: int):
     """Candidate pairs of the texts that meet in a bucket's bands, to the bucket of the later text."""
 
@@ -443,7 +450,7 @@ def _pairs(buckets: int):
         a, b = candidate_pairs(g, low[order[at]], (key[at] >> U64(8) & U64(3)).astype(np.int64))
         a, b = tid[at[a]], tid[at[b]]
         ok = a != b
-        pair = np.unique(np.stack([a[ok], b[ok]], 1), axis=0) if ok.any() else np.zeros((0, 2), U64)
+        pair = distinct_pairs(a[ok], b[ok])
         if len(pair):
             yield from C.packed_batches((t, 1, C.pack([], [pair[k, 0], pair[k, 1]])) for t, k in C.split(C.bucket_of(pair[:, 1], buckets)))
 
@@ -511,11 +518,13 @@ def _cross(buckets: int):
                     for a, b in cross_pairs(token, label[i + row]):
                         yield i + row[a], i + row[b]
 
+        node, place = np.unique(tid, return_inverse=True)
         for a, b in pairs():
             hit = _alike(low, order[a], order[b]) >= MAYBE
-            x, y = tid[a[hit]], tid[b[hit]]
+            x, y = place[a[hit]], place[b[hit]]
             if len(x):
-                pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+                once = np.unique(np.minimum(x, y) * len(node) + np.maximum(x, y))
+                pair = node[np.stack([once // len(node), once % len(node)], 1)]
                 yield from C.packed_batches((t, 1, C.pack([], [pair[k, 0], pair[k, 1]])) for t, k in C.split(C.bucket_of(pair[:, 1], buckets)))
 
     return fn
@@ -525,7 +534,7 @@ def _distinct(buckets: int):
     """Pairs once (kind 1), and requests (kind 2): which texts each bucket needs, to the texts' buckets."""
 
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        pair = np.unique(np.concatenate([np.stack(C.unpack(b), 1) for _, b in rows]), axis=0)
+        pair = distinct_pairs(*(np.concatenate(x) for x in zip(*(C.unpack(b) for _, b in rows))))
         out = [(bucket, 1, C.pack([], [pair[:, 0], pair[:, 1]]))]
         need = np.unique(pair[:, 0])
         out += [(t, 2, C.pack([np.array([bucket])], [need[k]])) for t, k in C.split(C.bucket_of(need, buckets))]
@@ -729,6 +738,6 @@ def dedup(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = _texts(docs, threshold)
     kept = texts.where("node = label").select(F.col("doc").alias("kept_doc"), F.col("label").alias("kept_text"))
     text = F.coalesce(docs["text"], F.lit(""))
-    rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text, F.octet_length(text)).alias("t"), F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("row"))
+    rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)).alias("d"), F.xxhash64(text, F.octet_length(text)).alias("t"), F.struct(*[C.column(docs, c).alias(f"c{i}") for i, c in enumerate(names)]).alias("row"))
     rows = rows.join(kept, (rows["d"] == kept["kept_doc"]) & (rows["t"] == kept["kept_text"])).groupBy("d", "t").agg(F.first("row").alias("row"))
     return rows.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])

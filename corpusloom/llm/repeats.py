@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import _common as C
 
@@ -376,20 +377,24 @@ def _finish(plan: Plan, result: Callable) -> Callable:
 
 
 def removed(docs: DataFrame, plan: Plan, find: Callable, result: Callable, schema: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each of docs (doc_id, text), made by `result`, with the columns `carry` of docs behind."""
+    """One row for each of docs (doc_id, text), made by `result`, with the columns `carry` of docs behind, as carried_0,
+    carried_1, ..."""
     spark = docs.sparkSession
     n = C.partitions(spark)
     rows = C.has(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), C.row_id("doc_id", "text").alias("rid"), F.coalesce("text", F.lit("")).alias("text"))
     whole = rows
+    kinds = T._parse_datatype_string(schema)
     if carry:
-        whole = docs.select(docs["doc_id"].cast("long").alias("doc_id"), C.row_id("doc_id", "text").alias("rid"), F.coalesce(docs["text"], F.lit("")).alias("text"), *[docs[c] for c in carry])
-        schema += "".join(f", {docs.schema[c].name} {docs.schema[c].dataType.simpleString()}" for c in carry)
+        own = [C.column(docs, c).alias(f"carried_{i}") for i, c in enumerate(carry)]
+        whole = docs.select(docs["doc_id"].cast("long").alias("doc_id"), C.row_id("doc_id", "text").alias("rid"), F.coalesce(docs["text"], F.lit("")).alias("text"), *own)
+        for i, c in enumerate(carry):
+            kinds = kinds.add(f"carried_{i}", docs.schema[c].dataType)
     sent = _stored_runs(C.map_batches(rows, _anchors(plan, n, n), C.PACKED_SQL), n)
     packed = C.map_batches(whole, _packed_docs(n), C.PACKED_SQL)
     plain = C.map_batches(rows, _packed_docs(n), C.PACKED_SQL)
     asked = C.by_bucket(plain.unionByName(sent.where(F.col("kind") == ASKED)), _send_asked(plan, n), C.PACKED_SQL)
     fine = C.by_bucket(asked, _settle(find, n), C.PACKED_SQL)
-    return C.by_bucket(packed.unionByName(sent.where(F.col("kind") == COVERED)).unionByName(fine), _finish(plan, result), schema)
+    return C.by_bucket(packed.unionByName(sent.where(F.col("kind") == COVERED)).unionByName(fine), _finish(plan, result), kinds)
 
 
 def _stored_runs(sent: DataFrame, n: int) -> DataFrame:

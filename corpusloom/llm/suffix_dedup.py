@@ -157,6 +157,6 @@ def _result(keep: str):
 
 def dedup(docs: DataFrame, window: int = WINDOW, keep: str = "bytes", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and what remains (see KEPT) of each of docs (doc_id, text), with
-    the columns `carry` of docs behind."""
+    the columns `carry` of docs behind, as carried_0, carried_1, ..."""
     k = max(1, min(16, window // 3))
     return removed(docs, Plan(window, k, False), find(window), _result(keep), RESULT + KEPT[keep], carry)
