@@ -22,6 +22,7 @@ import zstandard
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 U64 = np.uint64
 #: ASCII white space that separates words: blank and \t \n \v \f \r.
@@ -299,7 +300,13 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """df.mapInArrow(fn, schema); a task's memory goes back when it ends."""
+    """df.mapInArrow(fn, schema); a task's memory goes back when it ends. Where schema is df's own, columns whose names
+    Spark would read as paths get others on the way."""
+    names = df.columns
+    if any(set(c) & set(".`") for c in names):
+        safe = [f"column {i} of {len(names)}" if set(c) & set(".`") else c for i, c in enumerate(names)]
+        kinds = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(safe, schema.fields)])
+        return map_batches(df.toDF(*safe), fn, kinds).toDF(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
