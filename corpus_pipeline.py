@@ -1,4 +1,15 @@
-"""The training-data pipeline: five stages over documents, each a table in the shared folder before the next begins."""
+"""The training-data pipeline: five stages over documents, each a table in the shared folder before the next begins.
+
+All stages but the last keep the columns of documents, whatever their names, and every document that they don't reject:
+- toxicity: a null or empty text scores as one without passages and stays; repeated rows fare alike.
+- near_dedup: of a class the row with the least doc_id stays (null is the largest; of equal ids the text with the least
+  hash, of equal rows one); documents without words are alike only if their texts are equal.
+- suffix_dedup: a null text becomes empty; a document shorter than the window loses nothing; equal doc_ids don't cover
+  each other; characters that a cut leaves in part go whole; n_chars follows the text.
+- decontamination: null and empty texts hold no test item and stay; null items take no part.
+- sentencepiece: a row a document, doc_id with its pieces; a null text has none.
+A text of any length is one record of one task. Empty tables pass through as empty tables.
+"""
 
 from __future__ import annotations
 
@@ -24,10 +35,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out of the texts; all documents stay."""
-    names = docs.columns
-    rest = tuple(c for c in names if c not in ("doc_id", "text", "n_chars"))
-    out = suffix_dedup.dedup(docs, keep="text", carry=rest).withColumnRenamed("kept", "text")
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*names)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    out = suffix_dedup.dedup(docs, keep="text", carry=tuple(rest))
+    made = {"doc_id": out["doc_id"], "text": out["kept"], "n_chars": F.char_length(out["kept"]).cast("long")}
+    return out.select(*[(made[c] if c in made else out[f"carried_{rest.index(c)}"]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +59,8 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: Trained scores, sampled sketches and sampled pieces have no SQL form; tests compare with plain versions.
+#: Trained scores, sampled sketches and sampled pieces have no SQL form; tests/llm/test_pipeline.py holds each stage, and run(),
+#: against plain versions.
 ORACLE_SQL = None
 
 
