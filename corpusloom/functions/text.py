@@ -1,4 +1,5 @@
-"""Text functions as column expressions: all of them run inside Spark's generated code."""
+"""Text functions as column expressions, without Python workers. Plain ones are generated code; those with functions over arrays are
+interpreted, so what they use more than once is bound by with_() and computed once."""
 
 from __future__ import annotations
 
@@ -14,6 +15,11 @@ def arr(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def with_(value: Column, fn) -> Column:
+    """fn(value), with value computed once however often fn uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def topic_slug(c: Column) -> Column:
     """Letters, digits, _ and - stay; blanks become _; _ at the ends goes."""
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"[^\p{L}\p{N}_ \-]", ""), " ", "_"), "^_+|_+$", "")
@@ -26,8 +32,7 @@ def slugify(c: Column) -> Column:
 
 def hits(text: Column, lexicon: list[str]) -> Column:
     """The entries of a lexicon that a text contains, without regard to case; an entry listed twice counts twice."""
-    low = F.lower(text)
-    return F.filter(arr([t.lower() for t in lexicon]), lambda t: F.contains(low, t))
+    return with_(F.lower(text), lambda low: F.filter(arr([t.lower() for t in lexicon]), lambda t: F.contains(low, t)))
 
 
 def density(text: Column, lexicon: list[str]) -> Column:
@@ -43,10 +48,12 @@ def windows(text: Column, width: int = 5000) -> Column:
 
 def window_density(text: Column, lexicon: list[str], width: int = 5000) -> Column:
     """Sum of the windows' densities (all three are added, not the best two); 0 where fewer than two have any."""
-    each = F.transform(windows(text, width), lambda w: density(w, lexicon))
-    total = F.aggregate(each, F.lit(0), lambda a, x: a + x)
-    with_any = F.size(F.filter(each, lambda x: x > 0))
-    return F.when((F.size(each) == 1) | (with_any >= 2), total).otherwise(0)
+
+    def total(each: Column) -> Column:
+        with_any = F.size(F.filter(each, lambda x: x > 0))
+        return F.when((F.size(each) == 1) | (with_any >= 2), F.aggregate(each, F.lit(0), lambda a, x: a + x)).otherwise(0)
+
+    return with_(F.transform(windows(text, width), lambda w: density(w, lexicon)), total)
 
 
 def letter_ratio(text: Column) -> Column:
@@ -54,8 +61,7 @@ def letter_ratio(text: Column) -> Column:
 
 
 def looks_like_html(text: Column) -> Column:
-    head = F.lower(F.substring(text, 1, 2000))
-    return F.exists(arr(HTML_TAGS), lambda t: F.contains(head, t))
+    return with_(F.lower(F.substring(text, 1, 2000)), lambda head: F.exists(arr(HTML_TAGS), lambda t: F.contains(head, t)))
 
 
 def tokens(text: Column) -> Column:
@@ -68,18 +74,21 @@ def word_count(text: Column) -> Column:
 
 def ocr_metrics(text: Column) -> Column:
     """n tokens, their mean length, the share that look like words, and the share of short lines."""
-    t = tokens(text)
-    n = F.size(t)
-    chars = F.aggregate(t, F.lit(0).cast("bigint"), lambda a, w: a + F.length(w))
-    real = F.size(F.filter(t, lambda w: (F.length(w) >= 2) & (F.length(F.regexp_replace(w, r"\P{L}", "")) / F.length(w) >= 0.6)))
+
+    def measured(x: Column) -> Column:
+        t, lines = x["t"], x["lines"]
+        n = F.size(t)
+        chars = F.aggregate(t, F.lit(0).cast("bigint"), lambda a, w: a + F.length(w))
+        real = F.size(F.filter(t, lambda w: (F.length(w) >= 2) & (F.length(F.regexp_replace(w, r"\P{L}", "")) / F.length(w) >= 0.6)))
+        short = F.size(F.filter(lines, lambda x: F.length(x) < 15))
+        return F.struct(n.alias("n"), (chars / n).alias("mean_length"), (real / n).alias("real_share"), (short / F.size(lines)).alias("short_lines"))
+
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\f"))), lambda x: x != "")
-    short = F.size(F.filter(lines, lambda x: F.length(x) < 15))
-    return F.struct(n.alias("n"), (chars / n).alias("mean_length"), (real / n).alias("real_share"), (short / F.size(lines)).alias("short_lines"))
+    return with_(F.struct(tokens(text).alias("t"), lines.alias("lines")), measured)
 
 
 def bad_window(text: Column) -> Column:
-    m = ocr_metrics(text)
-    return (m["n"] >= 50) & ((m["mean_length"] < 3.0) | (m["real_share"] < 0.55) | (m["short_lines"] > 0.7))
+    return with_(ocr_metrics(text), lambda m: (m["n"] >= 50) & ((m["mean_length"] < 3.0) | (m["real_share"] < 0.55) | (m["short_lines"] > 0.7)))
 
 
 def ocr_garbage(text: Column) -> Column:
@@ -170,7 +179,7 @@ def suffix_class(word: Column) -> Column:
 
 def signature(text: Column) -> Column:
     """Distinct words of four letters and more, without stop words."""
-    return F.array_except(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("([a-z]{4,})"), 1)), arr(STOP_WORDS))
+    return F.array_except(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b([a-z]{4,})\b"), 1)), arr(STOP_WORDS))
 
 
 def hamming(a: Column, b: Column) -> Column:

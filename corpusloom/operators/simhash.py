@@ -6,9 +6,11 @@ a bit is set where more than half of the windows have it. Texts under six charac
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -48,16 +50,22 @@ def simhash(text: pd.Series) -> pd.Series:
 
 
 def fingerprints(docs: DataFrame, least: int = SHORT_LIMIT) -> DataFrame:
-    """doc_id, topic, chars and fp (the 64 bits as a signed number) of texts that are long enough to compare."""
-    return docs.where(F.length("text") >= least).select("doc_id", F.col("lang").alias("topic"), F.length("text").alias("chars"), simhash("text").alias("fp"))
+    """doc_id, topic, size (bytes) and fp (the 64 bits as a signed number) of texts that are long enough to compare."""
+    return docs.where(F.length("text") >= least).select("doc_id", F.col("lang").alias("topic"), F.octet_length("text").alias("size"), simhash("text").alias("fp"))
+
+
+def kept(docs: DataFrame, order: list, store) -> DataFrame:
+    """topic, doc_id and fp of the documents kept: short ones always, without a fingerprint, the others by greedy_keep()."""
+    short = docs.where(F.length("text") < SHORT_LIMIT).select(F.col("lang").alias("topic"), "doc_id", F.lit(None).cast("long").alias("fp"))
+    return greedy_keep(store(fingerprints(docs)), order, store).unionByName(short)
 
 
 def near_pairs(prints: DataFrame, most: int = HAMMING) -> DataFrame:
-    """Pairs a < b of different fingerprints of a topic within `most` bits. Of most + 1 groups of bits (every fifth bit)
-    one at least must be equal, so pairs meet by equality of a group; equal fingerprints are one row before they meet."""
+    """Pairs a < b of different fingerprints of a topic within `most` bits. Of most + 2 groups of bits (every sixth bit)
+    two at least must be equal, so pairs meet by equality of two groups, of 20 bits or more together; equal fingerprints
+    are one row before they meet."""
     fp = prints.select("topic", "fp").distinct()
-    groups = most + 1
-    masks = [sum(1 << b for b in range(g, 64, groups)) for g in range(groups)]
+    masks = [sum(1 << b for b in range(64) if b % (most + 2) in two) for two in combinations(range(most + 2), 2)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     bands = fp.select("topic", "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("band", "key"))
     a, b = bands.withColumnRenamed("fp", "a"), bands.withColumnRenamed("fp", "b")
@@ -65,12 +73,11 @@ def near_pairs(prints: DataFrame, most: int = HAMMING) -> DataFrame:
 
 
 def greedy_keep(prints: DataFrame, order: list, store) -> DataFrame:
-    """The rows kept by going through a topic in `order` and dropping what is within reach of a row kept before. Rounds:
+    """The rows kept by going through a topic in the order of the columns `order` and dropping what is within reach of a row kept before. Rounds:
     a fingerprint with no undecided or kept one before it is kept, those after it in reach are dropped. Rounds end with
     the longest chain; `store` cuts the lineage of each."""
-    first = Window.partitionBy("topic", "fp").orderBy(*order)
-    ranked = prints.withColumn("rank", F.row_number().over(Window.partitionBy("topic").orderBy(*order)))
-    heads = store(ranked.withColumn("n", F.row_number().over(first)).where("n = 1").select("topic", "fp", "doc_id", "rank"))
+    first = F.min(F.struct(F.struct(*order).alias("rank"), "doc_id"))
+    heads = store(prints.groupBy("topic", "fp").agg(first.alias("x")).select("topic", "fp", "x.doc_id", "x.rank"))
     pairs = near_pairs(prints)
     both = pairs.select("topic", "a", "b").unionByName(pairs.select("topic", F.col("b").alias("a"), F.col("a").alias("b")))
     r = heads.select("topic", "fp", "rank")

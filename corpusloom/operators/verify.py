@@ -84,34 +84,38 @@ def _blocks(claims: DataFrame) -> Iterator[Claims]:
 
 
 def _over(texts: DataFrame, claims: DataFrame, fits) -> DataFrame:
-    """(claim_id, source) of all claims that fit a text (source, text)."""
+    """(claim_id, source) of all claims that fit a text (source, text, and perhaps numeric: values noted beside the text)."""
     out = None
+    more = F.array().cast("array<double>")
+    if "numeric" in texts.columns:
+        first = F.transform(F.coalesce("numeric", F.array().cast("array<string>")), lambda n: F.split(F.btrim(n), r"\s+")[0])
+        more = F.transform(F.filter(first, lambda n: n.rlike(r"^(\d+\.?\d*|\.\d+)$")), lambda n: n.cast("double"))
     for block in _blocks(claims):
 
         def run(batches: Iterator[pd.DataFrame], block: Claims = block) -> Iterator[pd.DataFrame]:
             a = block.automaton()
             for batch in batches:
                 got = []
-                for source, text in zip(batch["source"], batch["text"], strict=True):
+                for source, text, more in zip(batch["source"], batch["text"], batch["more"], strict=True):
                     text = text or ""
-                    got += [(block.rows[i][0], source) for i, words in block.hits(a, text.lower()).items() if fits(block, i, words, text)]
+                    got += [(block.rows[i][0], source) for i, words in block.hits(a, text.lower()).items() if fits(block, i, words, text, more)]
                 yield pd.DataFrame(got, columns=["claim_id", "source"]).astype({"claim_id": "int64", "source": "object"})
 
-        part = texts.select(F.col("source").cast("string").alias("source"), "text").mapInPandas(run, "claim_id long, source string")
+        part = texts.select(F.col("source").cast("string").alias("source"), "text", more.alias("more")).mapInPandas(run, "claim_id long, source string")
         out = part if out is None else out.unionByName(part)
     return texts.sparkSession.createDataFrame([], "claim_id long, source string") if out is None else out
 
 
-def _near(block: Claims, i: int, words: list[tuple[str, int]], text: str) -> bool:
+def _near(block: Claims, i: int, words: list[tuple[str, int]], text: str, more=()) -> bool:
     """A claim without values fits; else one of its values stands near the first place of one of its keywords."""
     values = block.values[i]
     return not values or any(v in text[max(0, at - REACH) : at + REACH].strip() for _, at in words for v in values)
 
 
-def _same_number(block: Claims, i: int, words: list[tuple[str, int]], text: str) -> bool:
-    """A claim without numbers fits; else one of its numbers is within 15 % of one of the text's."""
+def _same_number(block: Claims, i: int, words: list[tuple[str, int]], text: str, more=()) -> bool:
+    """A claim without numbers fits; else one of its numbers is within 15 % of one of the text's, or of those noted beside it."""
     mine = block.numbers[i]
-    return not mine or any(abs(a - b) / max(abs(b), 1) <= TOLERANCE for b in map(float, _NUMBER.findall(text)) for a in mine)
+    return not mine or any(abs(a - b) / max(abs(b), 1) <= TOLERANCE for b in (*map(float, _NUMBER.findall(text)), *more) for a in mine)
 
 
 def supported_by_files(files: DataFrame, claims: DataFrame) -> DataFrame:
@@ -120,7 +124,7 @@ def supported_by_files(files: DataFrame, claims: DataFrame) -> DataFrame:
 
 
 def supported_by_claims(records: DataFrame, claims: DataFrame) -> DataFrame:
-    """(claim_id, source), once each: sources of claim records (source, text) that hold half of a claim's keywords and a
+    """(claim_id, source), once each: sources of claim records (source, text, and perhaps numeric) that hold half of a claim's keywords and a
     number within 15 %."""
     return _over(records, claims, _same_number).distinct()
 

@@ -66,16 +66,26 @@ def passage_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def claim_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage word for word. Both sides meet by the passage's second to sixth word (its first and
-    last may be parts of longer words in the document); the text decides. Passages of under seven words are compared
-    with every document, as no run of whole words is certain for them."""
+    """Documents that hold a passage word for word. Both sides meet by the hash of the passage's second to sixth word (its
+    first and last may be parts of longer words in the document), fewer in shorter passages; the texts are fetched for
+    what has met, and decide. A passage of one or two words has no whole word that is certain: only those, where there
+    are any, are compared with every document."""
     b = load(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"), X.tokens(F.col("text")).alias("w"))
-    d = load(spark, sf_dir, "documents").select("doc_id", "text", X.tokens(F.col("text")).alias("t"))
-    long = b.where("size(w) >= 7").select("item_id", "passage", F.array_join(F.slice("w", 2, 5), " ").alias("seed"))
-    seeds = d.where("size(t) >= 5").select("doc_id", "text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("t") - 4), lambda i: F.array_join(F.slice("t", i, F.lit(5)), " ")))).alias("seed"))
-    hit = seeds.join(long, "seed").where(F.contains("text", "passage")).select("item_id", "doc_id")
-    short = b.where("size(w) < 7").select("item_id", "passage")
-    return hit.unionByName(d.join(short, F.contains(d["text"], short["passage"])).select("item_id", "doc_id"))
+    b = b.withColumn("k", F.least(F.lit(5), F.size("w") - 2))
+    d = load(spark, sf_dir, "documents").select("doc_id", "text")
+    t = d.select("doc_id", X.tokens(F.col("text")).alias("t"))
+    met = None
+    for k in sorted(r.k for r in b.where("k >= 1").select("k").distinct().collect()):  # five values at most
+        long = b.where(F.col("k") == k).select("item_id", F.xxhash64(F.array_join(F.slice("w", 2, k), " ")).alias("seed"))
+        grams = F.transform(F.sequence(F.lit(1), F.size("t") - k + 1), lambda i: F.xxhash64(F.array_join(F.slice("t", i, k), " ")))  # noqa: B023
+        part = t.where(F.size("t") >= k).select("doc_id", F.explode(F.array_distinct(grams)).alias("seed")).join(long, "seed").select("item_id", "doc_id")
+        met = part if met is None else met.unionByName(part)
+    tiny = b.where("k < 1").select("item_id", "passage")
+    few = d.join(tiny, F.contains(d["text"], tiny["passage"])).select("item_id", "doc_id")
+    if met is None:
+        return few
+    out = met.join(b.select("item_id", "passage"), "item_id").join(d, "doc_id").where(F.contains("text", "passage")).select("item_id", "doc_id")
+    return out if tiny.isEmpty() else out.unionByName(few)
 
 
 @query("SELECT CAST(s AS BIGINT) AS size, CAST(q AS BIGINT) AS quantity, CAST(n * m AS BIGINT) AS pairs FROM (SELECT p_size AS s, count(*) AS n FROM part GROUP BY 1), (SELECT l_quantity AS q, count(*) AS m FROM lineitem GROUP BY 1) WHERE abs(s - q) <= 0.15 * q")

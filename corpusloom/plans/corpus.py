@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lists import HTML_TAGS, LEXICON, SOURCES
-from ..operators import gates, simhash
+from ..operators import gates, overlaps, simhash
 from ..registry import query
 from ..sources.scratch import stored
 from ..sources.tables import load, vault
@@ -167,12 +167,13 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def dedup_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows kept in order of arrival; short texts are never duplicates."""
-    return simhash.greedy_keep(stored(simhash.fingerprints(load(spark, sf_dir, "documents"))), [F.col("doc_id")], stored)
+    return simhash.kept(load(spark, sf_dir, "documents"), [F.col("doc_id")], stored)
 
 
 @query()
 def dedup_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.greedy_keep(stored(simhash.fingerprints(load(spark, sf_dir, "documents"))), [F.desc("chars"), F.col("doc_id")], stored)
+    """Rows kept with the largest file (in bytes) first."""
+    return simhash.kept(load(spark, sf_dir, "documents"), [-F.col("size"), F.col("doc_id")], stored)
 
 
 @query("SELECT md5(text) AS digest, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first FROM documents GROUP BY text HAVING count(*) > 1")
@@ -187,22 +188,17 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.groupBy("digest").agg(F.sum("n").alias("n"), F.count("*").alias("docs")).where("docs > 1")
 
 
-SIG_SQL = "list_filter(list_distinct(regexp_extract_all(lower(line), '[a-z]{4,}')), lambda w: NOT list_contains([" + ", ".join(f"'{w}'" for w in X.STOP_WORDS) + "], w))"
+SIG_SQL = "list_filter(list_distinct(regexp_extract_all(lower(line), '[\\p{L}\\p{N}_]+')), lambda w: regexp_full_match(w, '[a-z]{4,}') AND NOT list_contains([" + ", ".join(f"'{w}'" for w in X.STOP_WORDS) + "], w))"
 
 
 @query(f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents), s AS (SELECT doc_id, pos, {SIG_SQL} AS sig FROM l), k AS (SELECT * FROM s WHERE len(sig) >= 5)
     SELECT a.doc_id, CAST(a.pos AS INTEGER) AS a, CAST(b.pos AS INTEGER) AS b, round(len(list_intersect(a.sig, b.sig)) / len(list_distinct(list_concat(a.sig, b.sig))), 6) AS jaccard FROM k a JOIN k b ON a.doc_id = b.doc_id AND a.pos < b.pos
     WHERE len(list_intersect(a.sig, b.sig)) / len(list_distinct(list_concat(a.sig, b.sig))) >= 0.5""")
 def paragraph_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of a document's lines whose word sets overlap by half: lines meet by a shared word of their prefix. In the
-    order of a hash, two sets with Jaccard j >= 0.5 share a word among the first half (rounded down) plus one of each."""
-    lines = load(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    s = lines.select("doc_id", "pos", X.signature(F.col("line")).alias("sig")).where(F.size("sig") >= 5)
-    ordered = F.transform(F.array_sort(F.transform("sig", lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))), lambda x: x["w"])
-    keys = s.select("doc_id", "pos", "sig", F.explode(F.slice(ordered, 1, F.floor(F.size("sig") / 2).cast("int") + 1)).alias("w"))
-    a, b = keys.select("doc_id", "w", F.col("pos").alias("a"), F.col("sig").alias("x")), keys.select("doc_id", "w", F.col("pos").alias("b"), F.col("sig").alias("y"))
-    j = F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y"))
-    return a.join(b, ["doc_id", "w"]).where("a < b").withColumn("j", j).where("j >= 0.5").select("doc_id", "a", "b", F.round("j", 6).alias("jaccard")).distinct()
+    """Pairs of a document's lines whose word sets overlap by half. A document is compared with itself only, in its batch:
+    nothing is shuffled."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.transform(X.signature(x), lambda w: F.xxhash64(w)))
+    return load(spark, sf_dir, "documents").select("doc_id", lines.alias("sigs")).mapInArrow(overlaps.alike(0.5, 5), "doc_id long, a int, b int, jaccard double")
 
 
 @query("WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS k FROM conversations) SELECT conv_id, turn, role FROM n WHERE k = 1")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def base_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Only a local master may do without the setting: it gets a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.conf.get("spark.master", "") or ""):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

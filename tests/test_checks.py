@@ -193,3 +193,10 @@ def test_model_calls():
 
     assert B.ask(busy, "p", s) == "yes" and waits == [15.0, 20.0]
     assert B.ask_firmly(B.silent, "p", s) == "" and not B.healthy(B.silent, s)
+
+
+def test_a_record_is_found_by_the_numbers_noted_beside_it(spark):
+    claims = spark.createDataFrame([(1, "Soak leather strips for 40 minutes", ["leather", "strips"])], "claim_id long, text string, keywords array<string>")
+    rows = [("a", "leather strips are soaked", ["42 min", "x"]), ("b", "leather strips are soaked", ["90 min"]), ("c", "leather strips are soaked", None), ("d", "leather strips, 38 of them", [])]
+    got = verify.supported_by_claims(spark.createDataFrame(rows, "source string, text string, numeric array<string>"), claims)
+    assert {r.source for r in got.collect()} == {"a", "d"}

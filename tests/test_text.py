@@ -71,5 +71,5 @@ def test_pairs_and_greedy_order(spark):
     for i, t, c, f in sorted(prints, key=lambda x: (-x[2], x[0])):
         if not any(u == t and near(f, g) for _, u, g in kept):
             kept.append((i, t, f))
-    got = simhash.greedy_keep(d, [F.desc("chars"), F.col("doc_id")], stored)
+    got = simhash.greedy_keep(d, [-F.col("size"), F.col("doc_id")], stored)
     assert sorted(x.doc_id for x in got.collect()) == sorted(i for i, _, _ in kept)
