@@ -174,7 +174,7 @@ def phrase_key(phrase: Column) -> Column:
 
 def suffix_class(word: Column) -> Column:
     w = F.lower(word)
-    return F.when(w.endswith("ing"), "gerund").when(w.endswith("ed"), "past").when(w.endswith("s"), "plural").otherwise("base")
+    return F.when(w.endswith("ing"), "gerund").when(w.endswith("ed"), "past").when(w.endswith("s") & (F.length(w) > 4) & ~w.endswith("ss"), "plural").otherwise("base")
 
 
 def signature(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lists import DRIFT_WINDOW
+from ..operators import health
 from ..registry import query
 from ..sources.tables import load
 
@@ -120,3 +121,40 @@ def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of a stream, each kind once in a cycle."""
     return _stream(spark, sf_dir, lambda e: e.where(F.col("event_type").isin("error", "signup")).select(F.date_format("ts", "yyyy-MM-dd").alias("cycle"), F.col("event_type").alias("kind")).dropDuplicates(["cycle", "kind"]), "append")
+
+
+_RUNS = f"""{EV}, cl AS (SELECT user_id AS run, event_type AS source FROM e),
+    cy AS (SELECT user_id AS run, cycle, round(avg(coalesce(value, 0)) / 100, 6) AS score, round(count(*) FILTER (event_type = 'purchase') / count(*), 6) AS facts, round(count(*) FILTER (event_type = 'view') / count(*), 6) AS pedagogy FROM e GROUP BY ALL),
+    ef AS (SELECT user_id AS run, cycle, event_type AS filter, CAST(coalesce(sum(k), 0) AS BIGINT) AS n FROM e GROUP BY ALL),
+    st AS (SELECT run, cycle, lag(cycle) OVER (PARTITION BY run ORDER BY cycle) AS before FROM (SELECT DISTINCT run, cycle FROM ef)),
+    dr AS (SELECT st.run, st.cycle, st.before, coalesce(a.score, 0) < coalesce(b.score, 0) - 0.03 AS dropped FROM st LEFT JOIN cy a ON a.run = st.run AND a.cycle = st.cycle LEFT JOIN cy b ON b.run = st.run AND b.cycle = st.before WHERE before IS NOT NULL),
+    al AS (SELECT run, cycle, filter, sum(prev) AS prev, sum(curr) AS curr FROM (SELECT run, cycle, filter, 0 AS prev, n AS curr FROM ef UNION ALL SELECT dr.run, dr.cycle, filter, n, 0 FROM dr JOIN ef ON ef.run = dr.run AND ef.cycle = dr.before) GROUP BY ALL),
+    bad AS (SELECT run, cycle, filter, prev, curr FROM al JOIN dr USING (run, cycle) WHERE dropped AND (prev <> 0 OR curr <> 0) AND (prev = 0 OR curr / prev >= 2))"""
+
+
+def runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stand-ins: a user is a run, an event type the source of a claim and a filter, a day a cycle."""
+    e = events(spark, sf_dir)
+    share = lambda t: F.round(F.count_if(F.col("event_type") == t) / F.count("*"), 6)
+    cycles = e.groupBy(F.col("user_id").alias("run"), "cycle").agg(F.round(F.avg(F.coalesce("value", F.lit(0.0))) / 100, 6).alias("score"), share("purchase").alias("facts"), share("view").alias("pedagogy"))
+    effects = e.groupBy(F.col("user_id").alias("run"), "cycle", F.col("event_type").alias("filter")).agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n")).withColumn("stat", F.lit("k"))
+    return e.select(F.col("user_id").alias("run"), F.col("event_type").alias("source_name")), cycles, effects
+
+
+@query(f"""WITH {_RUNS}, sh AS (SELECT run, avg(CASE WHEN source IN ('view', 'signup') THEN 1.0 ELSE 0.0 END) AS share FROM cl GROUP BY run), de AS (SELECT run, cycle, score, facts, pedagogy, score - lag(score) OVER (PARTITION BY run ORDER BY cycle) AS delta FROM cy),
+    me AS (SELECT run, min(delta) AS delta, arg_max(score, cycle) AS score, arg_max(facts, cycle) AS facts, arg_max(pedagogy, cycle) AS pedagogy FROM de GROUP BY run),
+    nm AS (SELECT run, list(filter || '.k' ORDER BY i) AS named FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY CASE WHEN prev = 0 THEN 1e300 ELSE curr / prev END DESC, cycle, filter) AS i FROM bad) WHERE i <= 3 GROUP BY run),
+    x AS (SELECT run, share, delta, list_concat(list_concat(list_filter([CASE WHEN share < 0.20 THEN 'reference share' END, CASE WHEN delta < -0.05 THEN 'score drop' END], lambda v: v IS NOT NULL), coalesce(named, [])),
+        list_filter([CASE WHEN score < 0.74 THEN 'score floor' END, CASE WHEN facts < 0.55 THEN 'facts floor' END, CASE WHEN pedagogy < 0.45 THEN 'pedagogy floor' END], lambda v: v IS NOT NULL)) AS issues FROM sh JOIN me USING (run) LEFT JOIN nm USING (run))
+    SELECT run, round(share, 6) AS reference_share, round(delta, 6) AS worst_delta, array_to_string(issues, ', ') AS issues, CASE WHEN len(issues) = 0 THEN 'healthy' ELSE 'investigate' END AS verdict FROM x""")
+def run_health_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All issues of each run, and the verdict."""
+    h = health.health(*runs(spark, sf_dir), ["view", "signup"])
+    return h.select("run", F.round("reference_share", 6).alias("reference_share"), F.round("worst_delta", 6).alias("worst_delta"), F.array_join("issues", ", ").alias("issues"), "verdict")
+
+
+@query(f"""WITH {_RUNS} SELECT run, cycle, filter, CAST(prev AS BIGINT) AS prev, CAST(curr AS BIGINT) AS curr FROM bad WHERE curr >= 5 AND prev > 0""")
+def filter_regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters that strip twice as much as in the cycle before while the run's score fell."""
+    _, cycles, effects = runs(spark, sf_dir)
+    return health.over_stripping(effects, cycles).select("run", "cycle", "filter", "prev", "curr")

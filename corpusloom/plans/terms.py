@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import terminology
 from ..functions import text as X
 from ..registry import query
 from ..sources.tables import load
@@ -73,3 +74,10 @@ def first_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents")
     m = d.select("lang", "doc_id", F.explode(F.filter(X.arr(FIRST), lambda t: X.mentions(F.col("text"), t))).alias("term"))
     return m.groupBy("term", "lang").agg(F.min("doc_id").alias("first"))
+
+
+@query()
+def term_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document as a book in which the variants of a phrase give way to its dominant form: what changed, and a digest of the text."""
+    out = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(terminology.in_batches, "doc_id long, text string, replacements long")
+    return out.select("doc_id", "replacements", F.md5("text").alias("digest"))

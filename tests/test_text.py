@@ -63,7 +63,7 @@ def test_pairs_and_greedy_order(spark):
         for _ in range(r.randrange(0, 5)):
             f ^= 1 << r.randrange(64)
         prints.append((i, r.choice("ab"), r.randrange(9), f - (1 << 64) if f >> 63 else f))
-    d = spark.createDataFrame(prints, "doc_id long, topic string, chars int, fp long")
+    d = spark.createDataFrame(prints, "doc_id long, topic string, size int, fp long")
     near = lambda a, b: bin((a ^ b) % (1 << 64)).count("1") <= 4
     want = {(t, min(f, g), max(f, g)) for _, t, _, f in prints for _, u, _, g in prints if t == u and f != g and near(f, g)}
     assert {tuple(x) for x in simhash.near_pairs(d).collect()} == want
