@@ -29,6 +29,14 @@ NUMBER_UNIT = (
 YEAR = r"\b(?:1[5-9]\d{2}|20[0-2]\d)s?\b|\b(?:early|mid|late)\s+\d+(?:st|nd|rd|th)\s+century\b|\b\d+(?:st|nd|rd|th)\s+century\b"
 STANDARD = r"\b(?:ASTM|ANSI|AISI|ISO|EN|DIN|JIS|MIL|NFPA|OSHA|NIOSH|UL|CE)[\s-]?[A-Z]?\d+[A-Z0-9-]*\b"
 EXEMPT = ["try this", "review questions", "answer key", "learning outcomes", "summary", "key takeaways"]
+# Two to four capitalised words, those that name nothing, and words that a name doesn't begin with.
+NAMED = r"\b([A-Z][a-z]+(?:[\s-][A-Z][a-z]+){1,3})\b"
+NAMELESS = [
+    "learning outcomes", "review questions", "answer key", "try this", "key takeaways", "summary", "common mistake", "safety", "tip", "section", "chapter", "introduction", "conclusion", "table of contents", "see also",
+    "by the end", "in this chapter", "for example", "north america", "south america", "middle east", "west africa", "north", "south", "east", "west", "you can", "you will", "you should", "they are", "this is", "the same",
+    "the most", "the best", "the right",
+]
+POINTERS = ["the", "a", "an", "this", "that", "these", "those"]
 TOLERANCE, UNIT_WITHIN, LEAST_SENTENCE = 0.15, 30, 20
 
 
@@ -161,6 +169,7 @@ class ClaimIndex:
         return False
 
 
+_NAMED, _NAMELESS = re.compile(NAMED), frozenset(NAMELESS)
 _UNITS, _YEARS, _STANDARDS = re.compile(NUMBER_UNIT, re.IGNORECASE), re.compile(YEAR, re.IGNORECASE), re.compile(STANDARD)
 _HEADER = re.compile(r"^#{2,4}\s", re.MULTILINE)
 _EXEMPT = re.compile(rf"^#{{2,4}}\s*(?:🔧\s*)?(?:{'|'.join(EXEMPT)})\b", re.IGNORECASE | re.MULTILINE)
@@ -174,13 +183,20 @@ def unsupported(sentence: str, index: ClaimIndex) -> bool:
     )
 
 
-def drop_unsupported(md: str, claims: list[str]) -> tuple[str, int, int]:
+def unknown_names(sentence: str, index: ClaimIndex) -> int:
+    """Names after a sentence's first word that no claim has: a signal only."""
+    _, _, rest = sentence.partition(sentence.split(maxsplit=1)[0])
+    found = (m[1].lower() for m in _NAMED.finditer(rest))
+    return sum(n not in index.text for n in found if n not in _NAMELESS and n.split()[0] not in POINTERS and len(n.split()) > 1)
+
+
+def drop_unsupported(md: str, claims: list[str]) -> tuple[str, int, int, int]:
     """Prose sentences of 20 characters or more that name a value, year or standard which no claim states go. Headings,
     quotes, code, tables, lists and exercise sections stay. Without claims the text stays. Returns the text, the sentences
-    looked at and those dropped."""
+    looked at, those dropped, and the names in the others that no claim has."""
     if not claims:
-        return md, 0, 0
-    index, out, exempt, seen, dropped = ClaimIndex(claims), [], False, 0, 0
+        return md, 0, 0, 0
+    index, out, exempt, seen, dropped, names = ClaimIndex(claims), [], False, 0, 0, 0
     for block in md.split("\n\n"):
         body = block.strip()
         if _HEADER.search(body):
@@ -195,15 +211,16 @@ def drop_unsupported(md: str, claims: list[str]) -> tuple[str, int, int]:
             long = len(s.strip()) >= LEAST_SENTENCE
             bad = long and unsupported(s.strip(), index)
             seen, dropped = seen + long, dropped + bad
+            names += unknown_names(s.strip(), index) if long and not bad else 0
             kept += [] if bad else [s]
         if kept:
             out.append(" ".join(kept).strip())
-    return re.sub(r"\n{3,}", "\n\n", "\n\n".join(x for x in out if x.strip())).strip(), seen, dropped
+    return re.sub(r"\n{3,}", "\n\n", "\n\n".join(x for x in out if x.strip())).strip(), seen, dropped, names
 
 
 # types as objects: a type as text needs a session when the module is imported
 _COUNTED = StructType().add("text", StringType()).add("n", IntegerType())
-_FILTERED = StructType().add("text", StringType()).add("seen", IntegerType()).add("dropped", IntegerType())
+_FILTERED = StructType().add("text", StringType()).add("seen", IntegerType()).add("dropped", IntegerType()).add("names", IntegerType())
 
 
 @F.pandas_udf(_COUNTED)
@@ -223,7 +240,7 @@ def expand_acronyms_udf(md: pd.Series) -> pd.DataFrame:
 
 @F.pandas_udf(_FILTERED)
 def drop_unsupported_udf(md: pd.Series, claims: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([drop_unsupported(t or "", [] if c is None else [x or "" for x in c]) for t, c in zip(md, claims, strict=True)], columns=["text", "seen", "dropped"])
+    return pd.DataFrame([drop_unsupported(t or "", [] if c is None else [x or "" for x in c]) for t, c in zip(md, claims, strict=True)], columns=["text", "seen", "dropped", "names"])
 
 
 def flag_era(md: Column) -> Column:

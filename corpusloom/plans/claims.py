@@ -111,28 +111,29 @@ def repair_missing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TEXTS = ["Drill to 8 oz and 12 mm deep. [C7]", "Heat to 105 °F, then 40 °C. [C1, C2] More [C1] [C11] [C40].", "Nothing here [Note] [1].", "A laser of 900 mW and 3 in. [C1 C2]", "Use 5 mm (0.2 in) or 10 kg (22 lb)."]
-_TX = "t(id, text) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(TEXTS)) + ")"
+_TX = "t AS (SELECT CAST(id AS BIGINT) AS id, text FROM (VALUES " + ", ".join(f"({-1 - i}, '{t}')" for i, t in enumerate(TEXTS)) + ") x(id, text) UNION ALL SELECT doc_id, text FROM documents)"
 
 
-def fixture(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, and a few written texts with what the given documents lack."""
+    written = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(TEXTS)], "id long, text string")
+    return written.unionByName(load(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("id"), "text"))
 
 
 @query(f"WITH {_TX}, m AS (SELECT id, regexp_extract_all(text, '\\[C\\d+(?:[, ]+C\\d+)*\\]') AS m FROM t) SELECT id, array_to_string(list_transform(flatten(list_transform(m, lambda x: regexp_extract_all(x, '\\d+'))), lambda x: x), ',') AS ids FROM m")
 def marker_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark).select("id", F.array_join(F.transform(X.marker_ids(F.col("text")), lambda x: x.cast("string")), ",").alias("ids"))
+    return texts(spark, sf_dir).select("id", F.array_join(F.transform(X.marker_ids(F.col("text")), lambda x: x.cast("string")), ",").alias("ids"))
 
 
 @query(f"WITH {_TX} SELECT id, regexp_replace(regexp_replace(regexp_replace(text, '\\s*\\[C\\d+(?:[, ]+C\\d+)*\\]', '', 'g'), '[ \\t]{{2,}}', ' ', 'g'), ' +([.,;:!?])', '\\1', 'g') AS stripped FROM t")
 def marker_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark).select("id", X.strip_markers(F.col("text")).alias("stripped"))
+    return texts(spark, sf_dir).select("id", X.strip_markers(F.col("text")).alias("stripped"))
 
 
 @query()
 def specifics_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers with units in the fixture and in all documents."""
-    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("id"), "text")
-    return fixture(spark).unionByName(docs).select("id", F.explode(X.specifics(F.col("text"))).alias("specific"))
+    return texts(spark, sf_dir).select("id", F.explode(X.specifics(F.col("text"))).alias("specific"))
 
 
 _RG = "r(unit, lo, hi) AS (VALUES " + ", ".join(f"('{u}', {lo}::DOUBLE, {hi}::DOUBLE)" for u, lo, hi in RANGES) + ")"
@@ -141,7 +142,7 @@ _RG = "r(unit, lo, hi) AS (VALUES " + ", ".join(f"('{u}', {lo}::DOUBLE, {hi}::DO
 @query(f"WITH {_TX}, {_RG}, s AS (SELECT id, unnest(regexp_extract_all(text, '\\d+(?:\\.\\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr)')) AS s FROM t), v AS (SELECT id, CAST(split_part(s, ' ', 1) AS DOUBLE) AS value, split_part(s, ' ', 2) AS unit FROM s) SELECT id, value, unit FROM v JOIN r USING (unit) WHERE value < lo OR value > hi")
 def plausibility_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers outside the plausible range of their unit; ranges are a fixed dimension."""
-    s = fixture(spark).select("id", F.explode(F.regexp_extract_all("text", F.lit(r"(\d+(?:\.\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr))"), 1)).alias("s"))
+    s = texts(spark, sf_dir).select("id", F.explode(F.regexp_extract_all("text", F.lit(r"(\d+(?:\.\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr))"), 1)).alias("s"))
     v = s.select("id", F.split_part("s", F.lit(" "), F.lit(1)).cast("double").alias("value"), F.split_part("s", F.lit(" "), F.lit(2)).alias("unit"))
     return v.join(F.broadcast(spark.createDataFrame(RANGES, "unit string, lo double, hi double")), "unit").where("value < lo OR value > hi").select("id", "value", "unit")
 
@@ -149,12 +150,16 @@ def plausibility_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONVERSIONS = [("mm", "in", 1 / 25.4, 0.0), ("in", "mm", 25.4, 0.0), ("kg", "lb", 2.20462, 0.0), ("g", "oz", 0.035274, 0.0), ("°C", "°F", 1.8, 32.0)]
 
 
-@query()
+_PAIR = r"(\d+(?:\.\d+)?) ?(mm|in|kg|g|°C) \((\d+(?:\.\d+)?) ?(in|mm|lb|oz|°F)\)"
+_CV = "cv(a, b, factor, shift) AS (VALUES " + ", ".join(f"('{a}', '{b}', {f!r}::DOUBLE, {s!r}::DOUBLE)" for a, b, f, s in CONVERSIONS) + ")"
+
+
+@query(f"""WITH {_TX}, {_CV}, s AS (SELECT id, unnest(regexp_extract_all(text, '{_PAIR}')) AS s FROM t), p AS (SELECT id, CAST(regexp_extract(s, '{_PAIR}', 1) AS DOUBLE) AS x, regexp_extract(s, '{_PAIR}', 2) AS a, CAST(regexp_extract(s, '{_PAIR}', 3) AS DOUBLE) AS y, regexp_extract(s, '{_PAIR}', 4) AS b FROM s),
+    w AS (SELECT *, x * factor + shift AS want FROM p JOIN cv USING (a, b)) SELECT id, a AS "from", b AS "to", round(abs(y - want) / abs(want), 6) AS error, abs(y - want) / abs(want) > 0.15 AS warn FROM w WHERE x <> 0 AND want <> 0""")
 def unit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs "a unit (b unit)" with the relative error of the conversion, and whether it is over 15 %; zeros are skipped."""
-    pair = r"(\d+(?:\.\d+)?) ?(mm|in|kg|g|°C) \((\d+(?:\.\d+)?) ?(in|mm|lb|oz|°F)\)"
-    s = fixture(spark).select("id", F.explode(F.regexp_extract_all("text", F.lit(f"({pair})"), 1)).alias("s"))
-    p = s.select("id", *[F.regexp_extract("s", pair, i).alias(n) for i, n in ((1, "a"), (2, "from"), (3, "b"), (4, "to"))])
+    s = texts(spark, sf_dir).select("id", F.explode(F.regexp_extract_all("text", F.lit(f"({_PAIR})"), 1)).alias("s"))
+    p = s.select("id", *[F.regexp_extract("s", _PAIR, i).alias(n) for i, n in ((1, "a"), (2, "from"), (3, "b"), (4, "to"))])
     j = p.join(F.broadcast(spark.createDataFrame(CONVERSIONS, "from string, to string, factor double, shift double")), ["from", "to"])
     want = F.col("a").cast("double") * F.col("factor") + F.col("shift")
     error = F.abs(F.col("b").cast("double") - want) / F.abs(want)

@@ -153,13 +153,17 @@ BITS_SQL = """w AS (SELECT doc_id, lang AS topic, encode(substr(text, CAST(i AS
     bit AS (SELECT doc_id, topic, count(*) AS n, list_transform(range(0, 32), lambda i: i) AS i, [""" + ", ".join(f"sum((CAST(h AS BIGINT) >> {i}) & 1)" for i in range(32)) + """] AS v FROM h GROUP BY doc_id, topic)"""
 
 
-@query(f"WITH {BITS_SQL} SELECT doc_id, CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN 2 * v[i + 1] > n THEN 1::BIGINT << i ELSE 0 END)) AS BIGINT) AS high, CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN 2 * (CASE WHEN i % 2 = 0 THEN n - v[i + 1] ELSE v[i + 1] END) > n THEN 1::BIGINT << i ELSE 0 END)) AS BIGINT) AS low FROM bit")
+FP_SQL = f"{BITS_SQL}, print AS (SELECT doc_id, topic, CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN 2 * v[i + 1] > n THEN 1::BIGINT << i ELSE 0 END)) AS BIGINT) AS high, CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN 2 * (CASE WHEN i % 2 = 0 THEN n - v[i + 1] ELSE v[i + 1] END) > n THEN 1::BIGINT << i ELSE 0 END)) AS BIGINT) AS low FROM bit)"
+
+
+@query(f"WITH {FP_SQL} SELECT doc_id, high, low FROM print")
 def simhash_fp(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = simhash.fingerprints(load(spark, sf_dir, "documents"))
     return p.select("doc_id", F.shiftrightunsigned("fp", 32).alias("high"), F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)).alias("low"))
 
 
-@query()
+@query(f"""WITH {FP_SQL}, f AS (SELECT DISTINCT topic, (CASE WHEN high >= 2147483648 THEN high - 4294967296 ELSE high END) * 4294967296 + low AS fp FROM print)
+    SELECT a.topic, a.fp AS a, b.fp AS b FROM f a JOIN f b ON a.topic = b.topic AND a.fp < b.fp AND bit_count(xor(a.fp, b.fp)) <= 4""")
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_pairs(simhash.fingerprints(load(spark, sf_dir, "documents")))
 

@@ -38,9 +38,9 @@ CLAIMS = ["The sole takes leather of 8 oz", "Soak the hide for 12 hours", "Keep
 
 @query()
 def unsupported_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that lose sentences to a chapter's claims; a chapter's claims are a bounded list."""
-    out = load(spark, sf_dir, "documents").select("doc_id", M.drop_unsupported_udf(F.col("text"), X.arr(CLAIMS)).alias("r")).where("r.dropped > 0")
-    return out.select("doc_id", "r.seen", "r.dropped", F.md5("r.text").alias("digest"))
+    """Documents that lose sentences to a chapter's claims, or have names that those don't; a chapter's claims are a bounded list."""
+    out = load(spark, sf_dir, "documents").select("doc_id", M.drop_unsupported_udf(F.col("text"), X.arr(CLAIMS)).alias("r")).where("r.dropped > 0 OR r.names > 0")
+    return out.select("doc_id", "r.seen", "r.dropped", "r.names", F.md5("r.text").alias("digest"))
 
 
 _trim = "regexp_replace(p, '^\\s+|\\s+$', '', 'g')"

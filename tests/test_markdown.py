@@ -50,9 +50,9 @@ def test_acronyms_are_spelled_out_at_first_and_bare_later():
     ],
 )
 def test_sentences_that_no_claim_supports_go(md, gone):
-    text, _, dropped = M.drop_unsupported(md, ["The sole takes leather of 8 oz", "Two needles cross"])
+    text, _, dropped, _ = M.drop_unsupported(md, ["The sole takes leather of 8 oz", "Two needles cross"])
     assert dropped == gone and ("neighbour" not in md or text == "The neighbour sentence stays here.")
-    assert M.drop_unsupported(md, []) == (md, 0, 0)
+    assert M.drop_unsupported(md, []) == (md, 0, 0, 0)
 
 
 def test_folds_as_columns(spark):
@@ -68,3 +68,10 @@ def test_era_flags(spark):
     flagged, empty = [r[0] for r in df.select(M.flag_era(F.col("md"))).collect()]
     assert empty is None
     assert [p.startswith("> ⏳ **Historical practice:** ") for p in flagged.split("\n\n")] == [True, False, False, False]
+
+
+def test_names_that_no_claim_has_are_counted_and_stay():
+    md = "The clamps were made by Amy Roke and sold in North America for years. Hold them as The Smith does, by Table Of Contents.\n\n## Try This\n\nAsk John Doe Smith about the awl that he uses."
+    text, seen, dropped, names = M.drop_unsupported(md, ["John Doe Smith makes awls"])
+    assert (text, seen, dropped, names) == (md, 2, 0, 1)
+    assert M.drop_unsupported(md, ["amy roke clamps"])[3] == 0
