@@ -1,6 +1,7 @@
 """Benchmark decontamination: a BM25 index of the test items, searched by block-max WAND with every passage as a query.
 
-Test items are indexed in blocks of bounded size (items and bytes), each of which is broadcast by itself. Impacts are
+Test items are indexed in blocks of bounded size (items and bytes), each of which is broadcast by itself; document
+frequencies, mean length and window are those of the whole benchmark, so a score doesn't depend on the blocks. Impacts are
 normalised by the score that an item gets for its own words, so one threshold means "so much of the item's weight".
 Every document is cut into overlapping windows; a window is at least as long as any item and starts within the one
 before, so an item in one piece lies in a window whole. Terms are parted in essential ones and the rest, whose impacts
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,35 @@ def _grams(h: np.ndarray, n: int) -> np.ndarray:
     return np.unique(C.grams(h, min(n, len(h)))) if len(h) else np.zeros(0, U64)
 
 
+@dataclass
+class Statistics:
+    """Of all items: their number, words and longest item, and the items of each word (sorted hashes)."""
+
+    items: int = 0
+    words: int = 0
+    longest: int = 1
+    term: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
+    df: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    def add(self, texts: list[str]) -> None:
+        found = [h for h in map(_words, texts) if len(h)]
+        if found:
+            self.items += len(found)
+            self.words += sum(map(len, found))
+            self.longest = max(self.longest, *map(len, found))
+            own, n = np.unique(np.concatenate([np.unique(h) for h in found]), return_counts=True)
+            self.term, back = np.unique(np.concatenate([self.term, own]), return_inverse=True)
+            self.df = np.bincount(back, weights=np.concatenate([self.df, n]), minlength=len(self.term)).astype(np.int64)
+
+    def of(self, term: np.ndarray) -> np.ndarray:
+        return self.df[np.searchsorted(self.term, term)]
+
+
+def _words(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return tokens(raw, np.array([0, len(raw)])).words()
+
+
 @dataclass
 class Index:
     """Postings of one block of items. term: sorted hashes. lists: for each term, items and impacts, with the largest
@@ -58,7 +88,11 @@ class Index:
     spare: float
 
     @staticmethod
-    def of(items: list[tuple[int, str]]) -> Index:
+    def of(items: list[tuple[int, str]], whole: Statistics | None = None) -> Index:
+        """whole: statistics of the benchmark that the items are a block of; without, they are all of it."""
+        if whole is None:
+            whole = Statistics()
+            whole.add([text for _, text in items])
         ids, question, answer, words = [], [], [], []
         for i, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
@@ -84,8 +118,9 @@ class Index:
         pair, tf = np.unique(back * np.int64(n) + item, return_counts=True)
         t, i = pair // n, pair % n
         df = np.bincount(t, minlength=len(term))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        impact = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[i] / size.mean()))
+        everywhere = whole.of(term)
+        idf = np.log1p((whole.items - everywhere + 0.5) / (everywhere + 0.5))
+        impact = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[i] * whole.items / whole.words))
         impact /= np.bincount(i, weights=impact, minlength=n)[i]
         head = np.r_[np.flatnonzero(np.r_[True, t[1:] != t[:-1]]), len(t)]
         bound = np.maximum.reduceat(impact, head[:-1])
@@ -98,7 +133,7 @@ class Index:
             loose[i[mine]] += impact[mine]
             essential[k] = False
         lists = [(i[a:b], impact[a:b], np.maximum.reduceat(impact[a:b], np.arange(0, b - a, POSTINGS))) for a, b in zip(head[:-1], head[1:])]
-        return Index(ids, question, answer, term, bound, essential, lists, int(size.max()), float(loose.max()))
+        return Index(ids, question, answer, term, bound, essential, lists, whole.longest, float(loose.max()))
 
     def __post_init__(self) -> None:
         self.head = np.r_[0, np.cumsum([len(x[0]) for x in self.lists])].astype(np.int64)
@@ -225,17 +260,25 @@ class Index:
             yield d, self.ids[item], score, q, a
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes of blocks of items, of bounded size each."""
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     held, size = [], 0
     for r in benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
         held.append((r.item_id, r.text))
         size += len(r.text)
         if len(held) >= BLOCK_ITEMS or size >= BLOCK_BYTES:
-            yield Index.of(held)
+            yield held
             held, size = [], 0
     if held:
-        yield Index.of(held)
+        yield held
+
+
+def indexes(benchmark: DataFrame) -> Iterator[Index]:
+    """Indexes of blocks of items, of bounded size each, by the statistics of all items."""
+    whole = Statistics()
+    for block in _blocks(benchmark):
+        whole.add([text for _, text in block])
+    for block in _blocks(benchmark):
+        yield Index.of(block, whole)
 
 
 def _over(index: Index, emit: Callable) -> Callable:

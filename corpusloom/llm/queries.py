@@ -71,6 +71,20 @@ ORACLE = {
         ), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op2_suffix_array_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+        win AS (SELECT doc_id, unnest(range(0, n - 49)) AS p, h FROM d WHERE n >= 50),
+        w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 100)) AS k FROM win),
+        least AS (SELECT k, min(doc_id) AS first FROM w GROUP BY k),
+        hit AS (SELECT doc_id, p FROM w JOIN least USING (k) WHERE first < doc_id),
+        g AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS s FROM hit),
+        r AS (SELECT doc_id, sum(s) OVER (PARTITION BY doc_id ORDER BY p) AS run, p FROM g),
+        runs AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM r GROUP BY doc_id, run),
+        piece AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM runs UNION ALL SELECT d.doc_id, coalesce(max(b), 0), n FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id, n),
+        kept AS (SELECT doc_id, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS t FROM piece JOIN d USING (doc_id) GROUP BY doc_id),
+        gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(t)) AS kept_sha256 FROM d JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)
+    """,
     "op10_substring_dedup": """
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
         win AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),

@@ -116,6 +116,20 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(d, bench.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    r = random.Random(16)
+    vocabulary = [f"w{i}x" for i in range(60)] + [f"rare{i}" for i in range(400)]
+    items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randrange(8, 40))) + ". The answer is " + r.choice(vocabulary) + ".") for i in range(50)]
+    cut = [" ".join(w for w in t.split(" ") if r.random() > 0.12) for _, t in items]
+    d = spark.createDataFrame([(i, t + " " + " ".join(r.choice(vocabulary) for _ in range(60))) for i, t in enumerate(cut)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    found = []
+    for most in (4096, 7):
+        monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", most)
+        found.append(sorted((x.doc_id, x.item_id, round(x.score, 9)) for x in decontaminate.contaminated(d, bench).collect()))
+    assert found[0] == found[1] and len(found[0]) > 10
+
+
 def test_block_max_wand_finds_all_above_the_threshold():
     r = random.Random(8)
     vocabulary = [f"w{i}" for i in range(80)]
