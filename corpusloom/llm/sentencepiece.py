@@ -3,8 +3,8 @@
 The model file gives the pieces; they are never trained here. A blank is the model's mark for one, a blank is put before
 each text, and characters without a piece fall back to their bytes. No piece goes on after a blank that follows other
 characters, so the lattice of a text falls apart into those of its *units*: blanks and the characters up to the next
-blank, line end or tab. Units beyond UNIT_BYTES are cut at a character. The forward pass sums, for each distinct unit of
-a batch, the weights of all segmentations up to each byte; backward sampling then draws, for every occurrence, one edge
+blank, line end or tab, however long. The forward pass sums, for each distinct unit of
+a batch, the weights of all segmentations up to each byte (of units beyond UNIT_BYTES their logarithms, as such sums underflow); backward sampling then draws, for every occurrence, one edge
 after the other from the end. The draws come from a hash of seed, row key, unit number and step: a row's segmentation is
 always the same, wherever it is computed. A piece's weight falls with its rank in the model by Zipf's law; `alpha` is
 the power (large: close to the best segmentation, small: more even).
@@ -113,26 +113,15 @@ def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     begin |= cut
     begin[1:] |= cut[:-1]
     start = np.flatnonzero(begin)
-    length = np.diff(np.r_[start, len(out)])
-    long = np.flatnonzero(length > UNIT_BYTES)
-    if len(long):
-        extra = []
-        for s, n in zip(start[long].tolist(), length[long].tolist()):
-            at = s
-            while s + n - at > UNIT_BYTES:
-                at += UNIT_BYTES
-                while out[at] & 0xC0 == 0x80:
-                    at -= 1
-                extra.append(at)
-        start = np.sort(np.r_[start, extra])
     return out, grown, start
 
 
 class Lattice:
     """Edges of all units (bytes `text`, unit u from off[u] to off[u + 1]) in the order of the node they end in. A node is
-    a place in the bytes plus the number of its unit, so that every unit has a node of its own for its end."""
+    a place in the bytes plus the number of its unit, so that every unit has a node of its own for its end. deep: units are
+    of any length, and weights are summed as logarithms."""
 
-    def __init__(self, v: Vocabulary, text: np.ndarray, off: np.ndarray) -> None:
+    def __init__(self, v: Vocabulary, text: np.ndarray, off: np.ndarray, deep: bool = False) -> None:
         n = np.diff(off)
         unit = np.repeat(np.arange(len(n)), n)
         left = np.repeat(off[1:], n) - np.arange(len(text))
@@ -161,31 +150,41 @@ class Lattice:
         start = begin + unit[begin]
         end = start + np.concatenate(lengths)
         self.first, self.last = off[:-1] + np.arange(len(n)), off[1:] + np.arange(len(n))
-        # by end, then in the order found; of that order, by the place in the unit (units are short: a byte's radix sort)
+        # by end, then in the order found; of that order, by the place in the unit (a byte's radix sort, for short units)
         bits = max(len(end), 1).bit_length()
         by_end = np.sort(end << bits | np.arange(len(end))) & ((1 << bits) - 1)
         start, end, piece = start[by_end], end[by_end], piece[by_end]
-        local = (end - self.first[unit[begin[by_end]]]).astype(np.uint8)
+        local = (end - self.first[unit[begin[by_end]]])
+        local = local if deep else local.astype(np.uint8)
         # forward filtering, one byte further in every unit at a time
         order = np.argsort(local, kind="stable")
         begins, ends, w = start[order], end[order], v.weight[piece][order]
-        alpha = np.zeros(len(text) + len(n) + 1)
-        alpha[self.first] = 1.0
-        moved = np.zeros(len(w))
+        if deep:
+            w = np.log(w)
+        alpha = np.full(len(text) + len(n) + 1, -np.inf if deep else 0.0)
+        alpha[self.first] = 0.0 if deep else 1.0
+        moved = np.full(len(w), -np.inf if deep else 0.0)
         cut = np.r_[0, np.cumsum(np.bincount(local, minlength=1))]
         for i, j in zip(cut[:-1], cut[1:]):
             if i == j:
                 continue
-            f = alpha[begins[i:j]] * w[i:j]
+            f = alpha[begins[i:j]] + w[i:j] if deep else alpha[begins[i:j]] * w[i:j]
             moved[i:j] = f
             e = ends[i:j]
             head = np.flatnonzero(np.r_[True, e[1:] != e[:-1]])
-            alpha[e[head]] = np.add.reduceat(f, head)
+            if deep:
+                most = np.maximum.reduceat(f, head)
+                most[np.isinf(most)] = 0.0
+                part = np.exp(f - np.repeat(most, np.diff(np.r_[head, j - i])))
+                with np.errstate(divide="ignore"):
+                    alpha[e[head]] = most + np.log(np.add.reduceat(part, head))
+            else:
+                alpha[e[head]] = np.add.reduceat(f, head)
         flow = np.empty(len(w))
         flow[order] = moved
-        keep = np.flatnonzero(flow > 0)
+        keep = np.flatnonzero(flow > (-np.inf if deep else 0))
         self.start, self.piece, end = start[keep], piece[keep], end[keep]
-        share = flow[keep] / alpha[end]
+        share = np.exp(flow[keep] - alpha[end]) if deep else flow[keep] / alpha[end]
         head = np.flatnonzero(np.r_[True, end[1:] != end[:-1]]) if len(end) else np.zeros(0, np.int64)
         count = np.diff(np.r_[head, len(end)])
         # of each node the first and the last edge, and of each edge the shares before it in its node
@@ -215,25 +214,33 @@ def sample_pieces(v: Vocabulary, data: np.ndarray, off: np.ndarray, seed: np.nda
     h = C.span_hash(C.prefix(C.T1[text]), start, end)
     _, one, which = np.unique(h, return_index=True, return_inverse=True)
     size = (end - start)[one]
-    lattice = Lattice(v, text[C.ranges(start[one], size)], np.r_[0, np.cumsum(size)])
     doc = np.searchsorted(grown, start, "right") - 1
     number = np.arange(len(start)) - np.searchsorted(start, grown)[doc]
     key = C.mix(seed[doc] + number.astype(U64) * C.BASE)
-    at, node, first = np.arange(len(start)), lattice.last[which], lattice.first[which]
-    steps = []
-    while len(at):
-        chance = (C.mix(key + U64(len(steps) + 1)) >> U64(11)).astype(np.float64) * 2.0**-53
-        e = lattice.draw(node, chance)
-        steps.append((at, lattice.piece[e]))
-        node = lattice.start[e]
-        go = np.flatnonzero(node != first)
-        at, node, first, key = at[go], node[go], first[go], key[go]
+    steps = []  # number of the step, units, pieces
+    for deep in (False, True):
+        mine = np.flatnonzero((size > UNIT_BYTES) == deep)
+        if not len(mine):
+            continue
+        lattice = Lattice(v, text[C.ranges(start[one[mine]], size[mine])], np.r_[0, np.cumsum(size[mine])], deep)
+        at = np.flatnonzero((size[which] > UNIT_BYTES) == deep)
+        k = np.searchsorted(mine, which[at])
+        node, first, seeds = lattice.last[k], lattice.first[k], key[at]
+        n = 0
+        while len(at):
+            chance = (C.mix(seeds + U64(n + 1)) >> U64(11)).astype(np.float64) * 2.0**-53
+            e = lattice.draw(node, chance)
+            steps.append((n, at, lattice.piece[e]))
+            node = lattice.start[e]
+            go = np.flatnonzero(node != first)
+            at, node, first, seeds = at[go], node[go], first[go], seeds[go]
+            n += 1
     count = np.zeros(len(start), np.int64)
-    for a, _ in steps:
+    for _, a, _ in steps:
         count[a] += 1
     place = np.cumsum(count) - 1
     out = np.empty(int(count.sum()), np.int32)
-    for n, (a, piece) in enumerate(steps):
+    for n, a, piece in steps:
         out[place[a] - n] = piece
     total = np.r_[0, np.cumsum(count)]
     return out, total[np.searchsorted(start, grown)]

@@ -6,8 +6,10 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from corpusloom.llm import _common as C
 from corpusloom.llm import decontaminate, quality, sentencepiece, topk, toxicity, warc
 
 DOCS = "doc_id long, text string, y int, score double, key string"
@@ -187,3 +189,29 @@ def test_sampling_follows_the_lattice():
     total = sum(ways.values())
     assert set(seen) <= set(ways)
     assert all(abs(seen.get(k, 0) / n - w / total) < 0.02 for k, w in ways.items())
+
+
+def test_units_of_any_length_have_one_lattice(monkeypatch):
+    """Long units go by logarithms: the same pieces as without, and no edge at 64 bytes."""
+    v = sentencepiece.vocabulary()
+    r = random.Random(2)
+    texts = ["the there then 漢字かな交じり文 naïve🙂 http://example.org/a/b?c=d", "", " x", "".join(r.choice("abcdeé漢") for _ in range(60)), "word " * 30]
+    data, off = C.text_bytes(pa.array(texts))
+    seed = np.arange(len(texts), dtype=np.uint64) * np.uint64(7919)
+    want = sentencepiece.sample_pieces(v, data, off, seed)
+    monkeypatch.setattr(sentencepiece, "UNIT_BYTES", 0)
+    got = sentencepiece.sample_pieces(v, data, off, seed)
+    assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+    monkeypatch.undo()
+    long = ("there" * 40).encode()  # 200 bytes in one unit
+    n = 300
+    ids, at = sentencepiece.sample_pieces(v, np.frombuffer(long * n, np.uint8), np.arange(n + 1) * len(long), np.arange(n, dtype=np.uint64))
+    across = 0
+    for a, b in zip(at[:-1], at[1:]):
+        end = np.cumsum(v.sizes[ids[a:b]])
+        assert end[-1] == len(long) + 1
+        across += 64 not in end
+    assert across > 0
+    text = "漢字" * 20000
+    ids, at = sentencepiece.sample_pieces(v, *C.text_bytes(pa.array([text])), seed[:1])
+    assert sentencepiece.join_pieces(v, ids, at)[0].tobytes().decode() == text
