@@ -285,10 +285,10 @@ def _send_asked(plan: Plan, buckets: int) -> Callable:
     """The symbols of the spans asked for, by their anchors."""
 
     def fn(bucket: int, rows: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        asked, got, held = [], None, []
+        asked, got, held, size = [], None, [], 0
 
         def out() -> Iterator[tuple[int, int, bytes]]:
-            nonlocal got
+            nonlocal got, size
             for kind, blob in rows:
                 if kind == ASKED:
                     asked.append(blob)
@@ -308,9 +308,11 @@ def _send_asked(plan: Plan, buckets: int) -> Callable:
                     if plan.by_word:
                         s, e = start[s], end[e - 1]
                     held.append((ids[row], pos.astype(np.int32), count.astype(np.uint8), lead.astype(np.uint8), (e - s).astype(np.int32), data[C.ranges(s, e - s)], rid[row], key))
-                    if sum(len(x[5]) for x in held[-16:]) > 32 << 20:
+                    size += len(held[-1][5])
+                    if size > 8 << 20:
                         yield from ship(held)
                         held.clear()
+                        size = 0
             if held:
                 yield from ship(held)
 
@@ -334,7 +336,7 @@ def _settle(find: Callable, doc_buckets: int) -> Callable:
         for _, blob in rows:
             ids, pos, count, lead, size, text, rid, key = C.unpack(blob)
             parts.append((ids, pos, count, lead, size, rid, key, np.cumsum(size, dtype=np.int64) - size, np.full(len(ids), len(parts)), text))
-            windows += int(count.sum())
+            windows += int(count.sum()) + len(text) // 24  # beside a window's numbers, those of its symbols
         out = []
         for ids, pos, count, lead, size, rid, key, place, source in _by_key([p[:9] for p in parts], 6, windows):
             text = np.concatenate([parts[p][9][C.ranges(place[source == p], size[source == p].astype(np.int64))] for p in np.unique(source)])
