@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import _common, decontaminate, html_extract, near_dedup, quality, seed_extend, sentencepiece, suffix_dedup, topk, toxicity, warc
+from . import _common, decontaminate, html_extract, near_dedup, quality, secret_scan, seed_extend, sentencepiece, suffix_dedup, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,7 +57,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_extend.dedup(table(spark, sf_dir, "documents"), keep=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_quality_classifier, op4_minhash_near_dedup, op5_toxicity, op6_benchmark_decontamination, op7_warc, op8_sentencepiece, op9_exact_topk, op10_substring_dedup)}
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_quality_classifier, op4_minhash_near_dedup, op5_toxicity, op6_benchmark_decontamination, op7_warc, op8_sentencepiece, op9_exact_topk, op10_substring_dedup, op11_secret_scan)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {
