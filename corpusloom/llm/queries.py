@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import _common, decontaminate, html_extract, near_dedup, quality, secret_scan, seed_extend, sentencepiece, suffix_dedup, topk, toxicity, warc
+from . import _common, decontaminate, html_extract, near_dedup, phrases, quality, secret_scan, seed_extend, sentencepiece, suffix_dedup, topk, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,11 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_quality_classifier, op4_minhash_near_dedup, op5_toxicity, op6_benchmark_decontamination, op7_warc, op8_sentencepiece, op9_exact_topk, op10_substring_dedup, op11_secret_scan)}
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_quality_classifier, op4_minhash_near_dedup, op5_toxicity, op6_benchmark_decontamination, op7_warc, op8_sentencepiece, op9_exact_topk, op10_substring_dedup, op11_secret_scan, op12_phrase_mining)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {
@@ -102,6 +106,35 @@ ORACLE = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op12_phrase_mining": """
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS p FROM documents),
+        s AS (SELECT lang, unnest(p) AS s FROM d),
+        pieces AS (SELECT lang, regexp_extract_all(s, '[^\\x20\\x09]+') AS w FROM s),
+        g AS (
+            SELECT lang, 1 AS words, unnest(w) AS phrase FROM pieces
+            UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(list_slice(w, i, i + 1), ' '))) FROM pieces WHERE len(w) > 1
+            UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(list_slice(w, i, i + 2), ' '))) FROM pieces WHERE len(w) > 2
+            UNION ALL SELECT lang, 4, unnest(list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) FROM pieces WHERE len(w) > 3
+        ),
+        f AS (SELECT lang, words, phrase, count(*) AS f FROM g GROUP BY lang, words, phrase),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE words = 1 GROUP BY lang),
+        c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 30),
+        cut AS (SELECT lang, phrase, a, w, unnest(range(1, words)) AS k, words FROM c),
+        cuts AS (SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS x, array_to_string(list_slice(w, k + 1, words), ' ') AS y FROM cut),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (l.f + r.f) AS BIGINT) AS score
+            FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y
+        ),
+        weakest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS i FROM scored) WHERE i = 1),
+        part AS (
+            SELECT lang, a, unnest(list_concat([array_to_string(list_slice(w, 1, 2), ' '), array_to_string(list_slice(w, 2, 3), ' ')], CASE WHEN words = 4 THEN [array_to_string(list_slice(w, 3, 4), ' '), array_to_string(list_slice(w, 1, 3), ' '), array_to_string(list_slice(w, 2, 4), ' ')] ELSE [] END)) AS phrase
+            FROM c WHERE words > 2
+        ),
+        longer AS (SELECT lang, phrase, max(a) AS longer FROM part GROUP BY lang, phrase),
+        kept AS (SELECT w.* FROM weakest w LEFT JOIN longer o ON o.lang = w.lang AND o.phrase = w.phrase WHERE o.longer IS NULL OR 100 * o.longer < 80 * w.a),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS INTEGER) AS rank FROM kept)
+        SELECT r.lang, r.rank, r.phrase, CAST(r.a AS BIGINT) AS a, CAST(r.l AS BIGINT) AS l, CAST(r.r AS BIGINT) AS r, CAST(n.n AS BIGINT) AS n, r.score FROM ranked r JOIN n ON n.lang = r.lang WHERE r.rank <= 2000
+    """,
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         x AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS hex, max(page_id) OVER (PARTITION BY sha1(h)) AS first FROM p)
