@@ -28,14 +28,14 @@ QUERY_BLOCK, GROUP, CANDIDATES, DIMS = 8192, 128, 8192, 16
 EXACT = 1 << 20
 
 
-def quantised(rows: DataFrame, scale: float = 256.0) -> DataFrame:
-    """vec_id and components as whole numbers, of the rows that take part."""
+def quantised(rows: DataFrame, scale: float = 256.0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """vec_id and components as whole numbers, of the rows that take part, with the columns named."""
     x = F.transform("v", lambda a: a.cast("double"))
     fine = F.forall("v", lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a) < F.lit(float("inf"))))
     return (
-        rows.select(rows["vec_id"].cast("long").alias("vec_id"), rows["embedding"].alias("v"))
+        rows.select(rows["vec_id"].cast("long").alias("vec_id"), rows["embedding"].alias("v"), *[rows[c] for c in carry])
         .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).where(fine)
-        .select("vec_id", F.transform(x, lambda a: F.floor(a * F.lit(scale))).alias("v"))
+        .select("vec_id", F.transform(x, lambda a: F.floor(a * F.lit(scale))).alias("v"), *carry)
     )
 
 
@@ -137,10 +137,11 @@ def search(rows: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0) -
     out = None
     for n, (d, ids, flat) in enumerate(_blocks(queries)):
         block = spark.sparkContext.broadcast((d, ids, flat.reshape(len(ids), d)))
-        part = C.by_bucket(C.map_batches(vectors, _search(block, n, k), C.PACKED_SQL), _merge(k), result)
-        if n % 16 == 15:
-            part = C.stored(part, "top")
+        part = C.stored(C.by_bucket(C.map_batches(vectors, _search(block, n, k), C.PACKED_SQL), _merge(k), result), "top")
+        block.unpersist()
         out = part if out is None else out.unionByName(part)
+        if n % 16 == 15:
+            out = C.stored(out, "top")
     return spark.createDataFrame([], result) if out is None else out
 
 
