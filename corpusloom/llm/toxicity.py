@@ -89,9 +89,11 @@ def tokens(data: np.ndarray, off: np.ndarray) -> Tokens:
 
 def maximal_segments(at: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring subsequences: tokens `at` have `score`, every other token has -drift. First and last token,
-    and the sum, of each. Linear in the number of scored tokens."""
+    and the sum, of each. Linear in the number of scored tokens: each held segment knows the nearest earlier one with a
+    smaller sum before it, so what a search has passed by isn't visited again."""
     total, last = 0.0, None
     held: list[list] = []  # first, last, sum before, sum after
+    smaller: list[int] = []
     for p, s in zip(at.tolist(), score.tolist()):
         if last is not None:
             total -= drift * (p - last - 1)
@@ -101,15 +103,18 @@ def maximal_segments(at: np.ndarray, score: np.ndarray, drift: float) -> list[tu
             continue
         k = [p, p, total, total + s]
         total += s
+        j = len(held) - 1
         while True:
-            j = len(held) - 1
             while j >= 0 and held[j][2] >= k[2]:
-                j -= 1
+                j = smaller[j]
             if j < 0 or held[j][3] >= k[3]:
                 break
             k = [held[j][0], k[1], held[j][2], k[3]]
-            del held[j:]
+            before = smaller[j]
+            del held[j:], smaller[j:]
+            j = before
         held.append(k)
+        smaller.append(j)
     return [(a, b, r - l) for a, b, l, r in held]
 
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -117,3 +118,11 @@ def test_clean_keeps_columns_of_any_name(spark):
     assert None in got and 5000 in got
     assert np.mean([i not in got for i, y in truth.items() if y]) >= 0.9 and np.mean([i in got for i, y in truth.items() if not y]) >= 0.95
     assert T.clean(d.limit(0), T.Model()).count() == 0
+
+
+def test_segments_of_a_million_isolated_tokens_take_seconds():
+    n = 1_000_000
+    start = time.time()
+    for at, score in ((np.arange(n) * 100, np.ones(n)), (np.arange(n), np.tile([1.0, -2.0], n // 2)), (np.arange(n) * 3, np.linspace(1, 2, n)), (np.arange(n) * 3, np.linspace(2, 1, n))):
+        assert T.maximal_segments(at, score, 0.7)
+    assert time.time() - start < 40
