@@ -60,15 +60,19 @@ def kept(docs: DataFrame, order: list, store) -> DataFrame:
     return greedy_keep(store(fingerprints(docs)), order, store).unionByName(short)
 
 
-def near_pairs(prints: DataFrame, most: int = HAMMING) -> DataFrame:
-    """Pairs a < b of different fingerprints of a topic within `most` bits. Of most + 2 groups of bits (every sixth bit)
-    two at least must be equal, so pairs meet by equality of two groups, of 20 bits or more together; equal fingerprints
-    are one row before they meet."""
-    fp = prints.select("topic", "fp").distinct()
+def bands(prints: DataFrame, most: int = HAMMING) -> DataFrame:
+    """topic, fp, band and key of each fingerprint. Of most + 2 groups of bits (every sixth bit) two at least must be equal in
+    fingerprints within `most` bits, so these share a band and its key: two groups, of 20 bits or more together."""
     masks = [sum(1 << b for b in range(64) if b % (most + 2) in two) for two in combinations(range(most + 2), 2)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    bands = fp.select("topic", "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("band", "key"))
-    a, b = bands.withColumnRenamed("fp", "a"), bands.withColumnRenamed("fp", "b")
+    return prints.select("topic", "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("band", "key"))
+
+
+def near_pairs(prints: DataFrame, most: int = HAMMING) -> DataFrame:
+    """Pairs a < b of different fingerprints of a topic within `most` bits. They meet by their bands; equal fingerprints
+    are one row before they meet."""
+    both = bands(prints.select("topic", "fp").distinct(), most)
+    a, b = both.withColumnRenamed("fp", "a"), both.withColumnRenamed("fp", "b")
     return a.join(b, ["topic", "band", "key"]).where((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most)).select("topic", "a", "b").distinct()
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.lists import HTML_TAGS, LEXICON, SOURCES
+from ..functions.lists import HTML_TAGS, LEXICON, SHORT_LIMIT, SOURCES
 from ..operators import gates, overlaps, simhash
 from ..registry import query
-from ..sources.scratch import stored
+from ..sources.scratch import base_folder, stored
 from ..sources.tables import load, vault
+from ..streaming import dedup
 
 Q = "'"
 CONFIG = "config(source, source_name, min_hits, html_gate, min_length, tiers, low_trust, is_reference) AS (VALUES " + ", ".join(f"('src{i}', '{n}', {h}, {g}, {m}, '{t}', {lo}, {r})" for i, (n, h, g, m, t, lo, r) in enumerate(SOURCES)) + ")"
@@ -168,18 +171,46 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_pairs(simhash.fingerprints(load(spark, sf_dir, "documents")))
 
 
-@query()
+def _greedy_sql(order: str) -> str:
+    """One row after another in the given order, with the list of fingerprints kept so far."""
+    return f"""WITH RECURSIVE {FP_SQL}, f AS (SELECT p.doc_id, p.topic, strlen(d.text) AS size, (CASE WHEN high >= 2147483648 THEN high - 4294967296 ELSE high END) * 4294967296 + low AS fp FROM print p JOIN documents d USING (doc_id)),
+    o AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY {order}) AS i FROM f),
+    r AS (SELECT topic, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS fps, CAST([] AS BIGINT[]) AS ids FROM (SELECT DISTINCT topic FROM o)
+        UNION ALL SELECT r.topic, o.i, CASE WHEN len(list_filter(fps, lambda x: bit_count(xor(x, o.fp)) <= 4)) > 0 THEN fps ELSE list_append(fps, o.fp) END, CASE WHEN len(list_filter(fps, lambda x: bit_count(xor(x, o.fp)) <= 4)) > 0 THEN ids ELSE list_append(ids, o.doc_id) END
+        FROM r JOIN o ON o.topic = r.topic AND o.i = r.i + 1),
+    kept AS (SELECT topic, unnest(ids) AS doc_id, unnest(fps) AS fp FROM r WHERE i = (SELECT max(i) FROM o WHERE o.topic = r.topic))
+    SELECT topic, doc_id, CAST(fp AS BIGINT) AS fp FROM kept UNION ALL SELECT lang, doc_id, NULL FROM documents WHERE length(text) < 2500"""
+
+
+@query(_greedy_sql("doc_id"))
 def dedup_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows kept in order of arrival; short texts are never duplicates."""
     return simhash.kept(load(spark, sf_dir, "documents"), [F.col("doc_id")], stored)
 
 
-@query()
+@query(_greedy_sql("size DESC, doc_id"))
 def dedup_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows kept with the largest file (in bytes) first."""
     return simhash.kept(load(spark, sf_dir, "documents"), [-F.col("size"), F.col("doc_id")], stored)
 
 
+@query(_greedy_sql("doc_id"))
+def dedup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as in one pass, from three runs of a stream: a third of the doc_ids arrives before each, and the
+    stored index carries on from run to run. Arrivals are fingerprints, not texts."""
+    docs = load(spark, sf_dir, "documents")
+    short = docs.where(F.length("text") < SHORT_LIMIT).select("doc_id", F.col("lang").alias("topic"), F.lit(None).cast("long").alias("fp"))
+    prints = stored(simhash.fingerprints(docs).drop("size").unionByName(short), "prints")
+    low, high = prints.agg(F.min("doc_id"), F.max("doc_id")).first()
+    folder = f"{base_folder(spark)}/arrivals-{uuid.uuid4().hex}"
+    index = dedup.Index(spark, f"{folder}/index")
+    for third in range(3 if low is not None else 0):
+        cut = [low + (high + 1 - low) * k // 3 for k in (third, third + 1)]
+        prints.where(F.col("doc_id").between(cut[0], cut[1] - 1)).write.mode("append").parquet(f"{folder}/new")
+        dedup.run(spark.readStream.schema(prints.schema).parquet(f"{folder}/new"), index.path)
+    return index.kept()
+
+
 @query("SELECT md5(text) AS digest, CAST(count(*) AS BIGINT) AS n, min(doc_id) AS first FROM documents GROUP BY text HAVING count(*) > 1")
 def exact_dup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").groupBy(F.md5("text").alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
