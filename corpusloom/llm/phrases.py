@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 from . import _common as C
 
 LONGEST = 4
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Entries that a task holds before it merges them, and ships them if they are still more than half as many.
 HELD = 1 << 21
 BITS = 28
+#: Rows of a batch of phrases.
+ROWS = 1 << 16
 #: Buckets of the keys for each shuffle partition.
 FINE = 8
 LOWER = np.arange(256, dtype=np.uint8)
@@ -221,32 +223,31 @@ def _frequent(buckets: int, least: int, bits: int):
 def _phrases(table, bits: int):
     """lang, number of words, phrase and count of the n-grams whose bit is set; of no words: all words of a language."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(langs: list[str], n: list[int], said: list[str], f: list[int]) -> pa.RecordBatch:
         kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((langs, n, said, f), kinds)], names=["lang", "words", "phrase", "f"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, w, owned, h, number, langs in _shards(batch):
-                raw, cols = data.tobytes(), ([], [], [], [])
                 total = np.bincount(w.text[:owned], minlength=len(langs))
-                for t in np.flatnonzero(total).tolist():
-                    for c, x in zip(cols, (langs[t], 0, "", int(total[t]))):
-                        c.append(x)
+                some = np.flatnonzero(total)
+                yield made([langs[t] for t in some.tolist()], [0] * len(some), [""] * len(some), total[some].tolist())
                 said: dict[int, str] = {}
 
-                def word(i: int, raw=raw, w=w, number=number, said=said) -> str:
+                def word(i: int, data=data, w=w, number=number, said=said) -> str:
                     x = said.get(number[i])
                     if x is None:
-                        x = said[number[i]] = raw[w.start[i] : w.end[i]].decode()
+                        x = said[number[i]] = data[w.start[i] : w.end[i]].tobytes().decode()
                     return x
 
                 for n, place, count in ngrams(number, w.rest, owned):
                     cell = (keys(h, place, n) >> np.uint64(64 - bits)).astype(np.int64)
-                    hit = table.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1 == 1
-                    place = place[hit]
-                    cols[0].extend(langs[t] for t in w.text[place].tolist())
-                    cols[1].extend([n] * len(place))
-                    cols[2].extend([" ".join([word(i + j) for j in range(n)]) for i in place.tolist()])
-                    cols[3].extend(count[hit].tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["lang", "words", "phrase", "f"])
+                    hit = np.flatnonzero(table.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1)
+                    for i in range(0, len(hit), ROWS):
+                        at = place[hit[i : i + ROWS]]
+                        phrases = [" ".join([word(x + j) for j in range(n)]) for x in at.tolist()]
+                        yield made([langs[t] for t in w.text[at].tolist()], [n] * len(at), phrases, count[hit[i : i + ROWS]].tolist())
 
     return run
 
