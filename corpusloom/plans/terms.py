@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import terminology
 from ..functions import text as X
+from ..functions.lists import IDLE_WORDS
+from ..operators import terminology
 from ..registry import query
 from ..sources.tables import load
 
@@ -76,8 +77,35 @@ def first_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.groupBy("term", "lang").agg(F.min("doc_id").alias("first"))
 
 
+_IDLE = "[" + ", ".join(f"'{w}'" for w in IDLE_WORDS) + "]"
+_SAYS = lambda w: f"len(list_filter({w}, lambda x: NOT list_contains({_IDLE}, x))) >= 2 AND len(list_filter({w}, lambda x: NOT list_contains({_IDLE}, x) AND length(x) > 4)) > 0"
+_KIND = "CASE WHEN {0} LIKE '%ing' THEN 'gerund' WHEN {0} LIKE '%ed' THEN 'past' WHEN {0} LIKE '%s' AND length({0}) > 4 AND {0} NOT LIKE '%ss' THEN 'plural' ELSE 'base' END"
+TERM_MAP = f"""t AS (SELECT lang AS book, regexp_extract_all(lower(text), '[a-z][a-z-]{{2,}}') AS w FROM documents),
+    one AS (SELECT book, unnest(w) AS phrase FROM t),
+    g AS (SELECT book, phrase, string_split(phrase, '-') AS w FROM one WHERE contains(phrase, '-') AND len(string_split(phrase, '-')) BETWEEN 2 AND 3 AND len(list_filter(string_split(phrase, '-'), lambda p: length(p) < 3)) = 0
+        UNION ALL SELECT book, array_to_string(w, ' '), w FROM (SELECT book, unnest(list_transform(range(1, len(w)), lambda i: list_slice(w, i, i + 1))) AS w FROM t WHERE len(w) >= 2)
+        UNION ALL SELECT book, array_to_string(w, ' '), w FROM (SELECT book, unnest(list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))) AS w FROM t WHERE len(w) >= 3)),
+    c AS (SELECT book, phrase, count(*) AS n FROM g WHERE {_SAYS("w")} GROUP BY book, phrase),
+    p AS (SELECT *, list_filter(string_split_regex(phrase, '[- ]+'), lambda w: w <> '') AS ws, string_split_regex(phrase, '[ -]') AS ends FROM c),
+    k AS (SELECT book, phrase, n, array_to_string(list_transform(ws, lambda w: {_lemma("w")}), ' ') AS key, {_KIND.format("ends[len(ends)]")} AS kind FROM p),
+    r AS (SELECT *, row_number() OVER o AS i, first_value(phrase) OVER o AS best, first_value(kind) OVER o AS best_kind, first_value(n) OVER o AS top, sum(n) OVER (PARTITION BY book, key) AS total, nth_value(n, 2) OVER (PARTITION BY book, key ORDER BY n DESC, length(phrase), phrase ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second
+        FROM k WINDOW o AS (PARTITION BY book, key ORDER BY n DESC, length(phrase), phrase)),
+    terms AS (SELECT book, phrase AS variant, best, n FROM r WHERE i > 1 AND total >= 6 AND top >= 2 * second AND kind = best_kind)"""
+
+
+def term_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language is a book, its documents are the chapters."""
+    return terminology.preferred(terminology.variants(load(spark, sf_dir, "documents").select(F.col("lang").alias("book"), "text")))
+
+
+@query(f"WITH {TERM_MAP} SELECT book, variant, best, CAST(n AS BIGINT) AS n FROM terms")
+def term_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What gives way to what in each book."""
+    return term_table(spark, sf_dir)
+
+
 @query()
 def term_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document as a book in which the variants of a phrase give way to its dominant form: what changed, and a digest of the text."""
-    out = load(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(terminology.in_batches, "doc_id long, text string, replacements long")
-    return out.select("doc_id", "replacements", F.md5("text").alias("digest"))
+    """Documents in which the variants of a phrase have given way to the dominant form of their language: what changed, and a digest."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("book"))
+    return terminology.harmonised(docs, term_table(spark, sf_dir), "doc_id").where("replacements > 0").select("doc_id", "replacements", F.md5("text").alias("digest"))

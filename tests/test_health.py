@@ -1,8 +1,7 @@
-"""Run health on written runs, filter regressions, and terminology."""
+"""Run health on written runs, and filter regressions."""
 
 import pytest
 
-from corpusloom.functions import terminology as T
 from corpusloom.operators import health as H
 
 CYCLES = "run string, cycle int, score double, facts double, pedagogy double"
@@ -31,14 +30,3 @@ def test_filters(spark):
     assert got == {("forums", "claims", "stripped"): (5, 50, 10.0, True), ("forums", "claims", "new"): (0, 7, None, True), ("forums", "terms", "replaced"): (0, 2, None, True), ("fine", "claims", "stripped"): (10, 12, 1.2, False)}
     assert [tuple(r) for r in H.over_stripping(effects, cycles).collect()] == [("forums", 2, "claims", "stripped", 5, 50)]
     assert H.health(*(d.limit(0) for d in runs(spark)), []).count() == 0
-
-
-def test_a_form_that_dominates_replaces_variants_of_its_kind():
-    text = "Saddle stitch " * 8 + "and saddle-stitch leather. A Saddle-stitch holds; saddle stitching and saddle-stitched stay."
-    out, n = T.harmonised(text)
-    assert n == 2 and "saddle-stitch " not in out.lower() and "Saddle stitch holds" in out and out.endswith("saddle stitching and saddle-stitched stay.")
-
-
-@pytest.mark.parametrize("text", ["Edge beveler. Edge bevelers. Edge-beveled.", "saddle stitch " * 3 + "saddle stitching " * 3, "", "the and for with that " * 9])
-def test_no_clear_form_changes_nothing(text):
-    assert T.harmonised(text) == (text, 0)
