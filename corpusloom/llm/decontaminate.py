@@ -1,10 +1,11 @@
 """Benchmark decontamination: a BM25 index of the test items, searched by block-max WAND with every passage as a query.
 
 Test items are indexed in blocks of bounded size (items and bytes), each of which is broadcast by itself; document
-frequencies, mean length and window are those of the whole benchmark, so a score doesn't depend on the blocks. Impacts are
+frequencies and mean length are those of the whole benchmark, so a score doesn't depend on the blocks. Impacts are
 normalised by the score that an item gets for its own words, so one threshold means "so much of the item's weight".
-Every document is cut into overlapping windows; a window is at least as long as any item and starts within the one
-before, so an item in one piece lies in a window whole. Terms are parted in essential ones and the rest, whose impacts
+Every document is cut into overlapping windows, by the length of an item and not by what else the benchmark holds: for an
+item of n words they begin every s words, the least power of two from 2 n on, and have 2 s words, so an item whose words
+lie within s words is in a window whole. Items of one s are an index; a scan goes through those of a block together. Terms are parted in essential ones and the rest, whose impacts
 can't reach half the threshold for any item: a window whose essential terms can't make up the other half is passed over
 (that is WAND's bound, taken for all windows at once); the others run block-max WAND, which retrieves every item at or
 above the threshold. A retrieved item is then verified: enough n-grams of its question (all sentences but the last) and
@@ -45,11 +46,10 @@ def _grams(h: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Statistics:
-    """Of all items: their number, words and longest item, and the items of each word (sorted hashes)."""
+    """Of all items: their number and words, and the items of each word (sorted hashes)."""
 
     items: int = 0
     words: int = 0
-    longest: int = 1
     term: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
     df: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
@@ -58,7 +58,6 @@ class Statistics:
         if found:
             self.items += len(found)
             self.words += sum(map(len, found))
-            self.longest = max(self.longest, *map(len, found))
             own, n = np.unique(np.concatenate([np.unique(h) for h in found]), return_counts=True)
             self.term, back = np.unique(np.concatenate([self.term, own]), return_inverse=True)
             self.df = np.bincount(back, weights=np.concatenate([self.df, n]), minlength=len(self.term)).astype(np.int64)
@@ -72,9 +71,14 @@ def _words(text: str) -> np.ndarray:
     return tokens(raw, np.array([0, len(raw)])).words()
 
 
+def stride(n: int) -> int:
+    """How far apart the windows for an item of n words begin."""
+    return 1 << (2 * n - 1).bit_length()
+
+
 @dataclass
 class Index:
-    """Postings of one block of items. term: sorted hashes. lists: for each term, items and impacts, with the largest
+    """Postings of some items; the windows are those of the longest. term: sorted hashes. lists: for each term, items and impacts, with the largest
     impact of each run of POSTINGS postings."""
 
     ids: list[int]
@@ -133,7 +137,7 @@ class Index:
             loose[i[mine]] += impact[mine]
             essential[k] = False
         lists = [(i[a:b], impact[a:b], np.maximum.reduceat(impact[a:b], np.arange(0, b - a, POSTINGS))) for a, b in zip(head[:-1], head[1:])]
-        return Index(ids, question, answer, term, bound, essential, lists, whole.longest, float(loose.max()))
+        return Index(ids, question, answer, term, bound, essential, lists, stride(int(size.max())), float(loose.max()))
 
     def __post_init__(self) -> None:
         self.head = np.r_[0, np.cumsum([len(x[0]) for x in self.lists])].astype(np.int64)
@@ -223,12 +227,11 @@ class Index:
         enough = np.add.reduceat(impact, first) + self.spare >= THRESHOLD - 1e-9
         return np.unique(cell[first][enough] // len(self.ids))
 
-    def matches(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
-        """Text, item, score and overlaps of question and answer, of each text and item at their best window."""
+    def matches(self, first: np.ndarray, h: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
+        """Text, item, score and overlaps of question and answer, of each text and item at their best window. h: the words
+        of all texts; first: where each text's begin, and the last's end."""
         if not self.ids:
             return
-        t = tokens(data, off)
-        first, h = t.first, t.words()
         at, term = self.terms_of(h)
         if not len(at):
             return
@@ -272,21 +275,26 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield held
 
 
-def indexes(benchmark: DataFrame) -> Iterator[Index]:
-    """Indexes of blocks of items, of bounded size each, by the statistics of all items."""
+def indexes(benchmark: DataFrame) -> Iterator[list[Index]]:
+    """For each block of items, of bounded size, its indexes (one a length of windows), by the statistics of all items."""
     whole = Statistics()
     for block in _blocks(benchmark):
         whole.add([text for _, text in block])
     for block in _blocks(benchmark):
-        yield Index.of(block, whole)
+        by_stride: dict[int, list[tuple[int, str]]] = {}
+        for i, text in block:
+            by_stride.setdefault(stride(max(1, len(_words(text)))), []).append((i, text))
+        yield [Index.of(items, whole) for _, items in sorted(by_stride.items())]
 
 
-def _over(index: Index, emit: Callable) -> Callable:
+def _over(group: list[Index], emit: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = C.text_bytes(batch.column(batch.schema.get_field_index("text")))
             for i, j in C.text_runs(off):
-                yield from emit(batch.slice(i, j - i), list(index.matches(data[off[i] : off[j]], off[i : j + 1] - off[i])))
+                t = tokens(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                words = t.words()
+                yield from emit(batch.slice(i, j - i), sorted(x for index in group for x in index.matches(t.first, words)))
 
     return run
 
@@ -304,8 +312,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     out = None
-    for index in indexes(benchmark):
-        part = C.map_batches(rows, _over(index, emit), RESULT)
+    for group in indexes(benchmark):
+        part = C.map_batches(rows, _over(group, emit), RESULT)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], RESULT) if out is None else out
 
@@ -318,6 +326,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         keep[[x[0] for x in found]] = False
         yield batch.filter(pa.array(keep))
 
-    for index in indexes(benchmark):
-        docs = C.map_batches(docs, _over(index, emit), docs.schema)
+    for group in indexes(benchmark):
+        docs = C.map_batches(docs, _over(group, emit), docs.schema)
     return docs

@@ -1,9 +1,11 @@
 """Page extraction, WARC, top-k, classifiers, decontamination and pieces: odd inputs, round trips, brute force."""
 
 import base64
+import collections
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -132,6 +134,76 @@ def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
     assert found[0] == found[1] and len(found[0]) > 10
 
 
+def plain_contaminated(docs, bench):
+    """Every window of every text against every item, by the formulas."""
+    words = lambda t: re.findall("[a-z0-9]+", t.lower())
+    items = {i: words(t) for i, t in bench}
+    df = collections.Counter(w for ws in items.values() for w in set(ws))
+    mean = sum(map(len, items.values())) / len(items)
+    out = {}
+    for i, text in bench:
+        ws, n = items[i], len(items[i])
+        idf = {w: math.log1p((len(items) - df[w] + 0.5) / (df[w] + 0.5)) for w in ws}
+        weight = {w: idf[w] * ws.count(w) * (decontaminate.K1 + 1) / (ws.count(w) + decontaminate.K1 * (1 - decontaminate.B + decontaminate.B * n / mean)) for w in ws}
+        total = sum(weight.values())
+        step = 1
+        while step < 2 * n:
+            step *= 2
+        cut = len(words(text[: [m.end() for m in re.finditer(r"[.!?](?=\s)", text)][-1]]))
+        grams = lambda seq, k: {tuple(seq[a : a + k]) for a in range(len(seq) - k + 1)}
+        for d, t in docs:
+            have = words(t)
+            for a in range(0, max(1, len(have)), step):
+                window = have[a : a + 2 * step]
+                score = sum(weight[w] for w in set(window) & set(weight)) / total
+                if score < decontaminate.THRESHOLD - 1e-9:
+                    continue
+                share = []
+                for part in (ws[:cut], ws[cut:]):
+                    k = min(len(part), decontaminate.NGRAM)
+                    own = grams(part, k)
+                    share.append(len(own & grams(window, k)) / len(own))
+                if share[0] >= decontaminate.QUESTION and share[1] >= decontaminate.ANSWER:
+                    out[d, i] = max(out.get((d, i), 0), score)
+    return {k: round(v, 6) for k, v in out.items()}
+
+
+def test_decontamination_against_every_window(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(r.randrange(1, 4)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    bench = [(i, text(r.randrange(8, 40)) + ". " + text(r.randrange(4, 12)) + ".") for i in range(30)]
+    docs = []
+    for d in range(120):
+        have = text(r.randrange(0, 300)).split()
+        for _ in range(r.randrange(0, 3)):
+            own = r.choice(bench)[1].split()
+            for _ in range(r.randrange(0, 12)):
+                own[r.randrange(len(own))] = word()
+            for _ in range(r.randrange(0, 3)):
+                own.insert(r.randrange(len(own)), text(r.randrange(1, 20)))
+            have.insert(r.randrange(len(have) + 1), " ".join(own))
+        docs.append((d, " ".join(have)))
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    items = lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): round(x.score, 6) for x in decontaminate.contaminated(frame(docs), items(bench)).collect()}
+    want = plain_contaminated(docs, bench)
+    assert got == want
+    assert len(want) > 20
+
+
+def test_a_long_item_changes_no_other_items_results(spark):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    item = [word() for _ in range(30)]
+    parts = [" ".join(item[k : k + 10]) for k in (0, 10, 20)]
+    apart = (" " + " ".join(word() for _ in range(300)) + " ").join(parts)
+    docs = spark.createDataFrame([(1, apart), (2, "so " + " ".join(item) + " it is")], "doc_id long, text string")
+    short = [(1, " ".join(item))]
+    for bench in (short, [*short, (2, " ".join(word() for _ in range(3000)))]):
+        assert [(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()] == [(2, 1)]
+
+
 def test_block_max_wand_finds_all_above_the_threshold():
     r = random.Random(8)
     vocabulary = [f"w{i}" for i in range(80)]
