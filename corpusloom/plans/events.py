@@ -3,13 +3,17 @@ type stands for the phase's type, the user for the source, and props' k for a fi
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lists import DRIFT_WINDOW
 from ..operators import health
 from ..registry import query
+from ..sources.scratch import base_folder
 from ..sources.tables import load
+from ..streaming import watch
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,3 +162,50 @@ def filter_regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Filters that strip twice as much as in the cycle before while the run's score fell."""
     _, cycles, effects = runs(spark, sf_dir)
     return health.over_stripping(effects, cycles).select("run", "cycle", "filter", "prev", "curr")
+
+
+SILENCE_DAYS = 3
+_CARDS = f"""e AS (SELECT user_id AS run, event_id AS seq, ts, CASE WHEN event_type = 'signup' AND value < 20 THEN 'start' WHEN event_type = 'purchase' AND value < 20 THEN 'end'
+        WHEN event_type = 'error' THEN 'drift' WHEN event_type = 'signup' THEN 'reject' WHEN event_type = 'click' THEN 'error' ELSE 'save' END AS kind FROM events),
+    o AS (SELECT *, lag(ts) OVER w AS was, lag(kind) OVER w AS before FROM e WINDOW w AS (PARTITION BY run ORDER BY ts, seq)),
+    b AS (SELECT *, sum(CASE WHEN kind = 'start' OR before IS NULL OR before = 'end' OR ts - was > INTERVAL {SILENCE_DAYS} DAY THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY ts, seq) AS part FROM o),
+    n AS (SELECT *, row_number() OVER (PARTITION BY run, part ORDER BY ts, seq) AS i, row_number() OVER (PARTITION BY run, part ORDER BY ts DESC, seq DESC) AS back, count(*) FILTER (kind IN ('drift', 'reject')) OVER (PARTITION BY run, part ORDER BY ts, seq) AS r FROM b),
+    w AS (SELECT run, part, count(*) OVER x AS n, count(*) FILTER (kind = 'drift') OVER x AS bad FROM n WHERE kind IN ('drift', 'reject') WINDOW x AS (PARTITION BY run, part ORDER BY r ROWS 19 PRECEDING)),
+    polluted AS (SELECT DISTINCT run, part FROM w WHERE n >= 10 AND bad >= 7),
+    s AS (SELECT run, part, min(seq) FILTER (i = 1) AS started, min(kind) FILTER (i = 1) AS first, min(seq) FILTER (back = 1) AS last, min(kind) FILTER (back = 1) AS how, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS events,
+        count(*) FILTER (kind = 'save') AS saves, count(*) FILTER (kind IN ('drift', 'reject')) AS rejects, count(*) FILTER (kind = 'error') AS errors FROM n GROUP BY run, part),
+    t AS (SELECT *, coalesce(lead(first_ts) OVER (PARTITION BY run ORDER BY part), (SELECT max(ts) FROM events)) - last_ts > INTERVAL {SILENCE_DAYS} DAY AS silent FROM s)"""
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-ins: a user's events are those of runs, one after another; some signups start a run, some purchases end it."""
+    low, kind = F.col("value") < 20, F.col("event_type")
+    name = F.when((kind == "signup") & low, "start").when((kind == "purchase") & low, "end").when(kind == "error", "drift").when(kind == "signup", "reject").when(kind == "click", "error").otherwise("save")
+    return load(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), name.alias("kind"))
+
+
+@query(f"""WITH {_CARDS} SELECT t.run, started, CASE WHEN how = 'end' THEN last END AS ended, CAST(events AS BIGINT) AS events, CAST(saves AS BIGINT) AS saves, CAST(rejects AS BIGINT) AS rejects,
+    array_to_string(list_filter([CASE WHEN errors >= 5 THEN 'model unstable' END, CASE WHEN p.run IS NOT NULL THEN 'pollution' END], lambda x: x IS NOT NULL), ', ') AS alerts
+    FROM t LEFT JOIN polluted p ON p.run = t.run AND p.part = t.part WHERE first = 'start' AND (how = 'end' OR silent)""")
+def stream_run_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of runs that ended, or fell silent for three days, from a stream over all events."""
+    path = f"{base_folder(spark)}/cards-{uuid.uuid4().hex}"
+    rows = run_events(spark, sf_dir)
+    rows.write.parquet(f"{path}/events")
+    watch.collected(watch.cards(spark.readStream.schema(rows.schema).parquet(f"{path}/events"), SILENCE_DAYS * 86400.0), path, "append")
+    return spark.read.parquet(f"{path}/rows").select("run", "started", "ended", "events", "saves", "rejects", "alerts")
+
+
+@query(f"WITH {_RUNS} SELECT run, cycle, filter, CAST(prev AS BIGINT) AS prev, CAST(curr AS BIGINT) AS curr FROM bad WHERE curr >= 5 AND prev > 0")
+def stream_filter_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters' verdicts from a stream in which the cycles' quality arrives after all counts: late rows re-open them. Runs
+    are those of filter_regressions."""
+    path = f"{base_folder(spark)}/recheck-{uuid.uuid4().hex}"
+    _, cycles, effects = runs(spark, sf_dir)
+    counts = effects.select("run", F.lit("count").alias("kind"), "cycle", "filter", "n", F.lit(None).cast("double").alias("score"))
+    quality = cycles.select("run", F.lit("quality").alias("kind"), "cycle", F.lit(None).cast("string").alias("filter"), F.lit(None).cast("long").alias("n"), "score")
+    for part in (counts, quality):
+        part.write.mode("append").parquet(f"{path}/in")
+        watch.collected(watch.verdicts(spark.readStream.schema(counts.schema).parquet(f"{path}/in")), path, "update")
+    last = F.max_by(F.struct("prev", "curr", "over"), "version").alias("v")
+    return spark.read.parquet(f"{path}/rows").groupBy("run", "cycle", "filter").agg(last).where("v.over").select("run", "cycle", "filter", "v.prev", "v.curr")
