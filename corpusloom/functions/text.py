@@ -116,8 +116,10 @@ def topic_density(text: Column, term: str) -> Column:
 
 
 def headings(text: Column, most: int = 25) -> Column:
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x)), lambda x: x.rlike(r"^(#{1,4} |==)"))
-    return F.slice(F.transform(lines, lambda x: F.btrim(F.regexp_replace(x, r"^[#=]+|[#=]+$", ""))), 1, most)
+    """Titles of lines that begin with one to four # and a blank, or with == or more; the first ones."""
+    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\f\x0b")))
+    marked = F.filter(lines, lambda x: x.rlike(r"^#{1,4}\s+\S|^={2,}\s*[^\s=]"))
+    return F.slice(F.transform(marked, lambda x: F.btrim(F.when(x.startswith("#"), F.regexp_replace(x, "^#+", "")).otherwise(F.replace(x, F.lit("="), F.lit(""))), F.lit(" \t\r\f\x0b"))), 1, most)
 
 
 def sentences(text: Column) -> Column:
