@@ -38,3 +38,11 @@ SKIP_DOMAINS = ["youtube.com", "youtu.be", "facebook.com", "twitter.com", "x.com
 PEDAGOGY_HEADINGS = ["summary", "key takeaways", "review questions", "answer key", "learning outcomes", "try this"]
 # Units with the least and largest plausible value.
 RANGES = [("mW", 0.1, 500.0), ("W", 0.001, 50000.0), ("V", 0.5, 100000.0), ("A", 0.001, 5000.0), ("°C", -273.0, 5000.0), ("°F", -459.0, 9000.0), ("mm", 0.001, 100000.0), ("in", 0.001, 10000.0), ("psi", 0.01, 100000.0), ("sec", 0.001, 86400.0), ("min", 0.001, 1440.0), ("hr", 0.001, 720.0)]
+# Spellings of the units of RANGES, and whether the unit may follow its number without a blank.
+SPELLED_UNITS = [
+    ("mW", ["mw"], False), ("W", ["w", "watt", "watts"], False), ("V", ["v", "volt", "volts"], False), ("A", ["a", "amp", "amps"], False), ("°C", ["°c"], True), ("°F", ["°f"], True), ("mm", ["mm"], False),
+    ("in", ["in", "inch", "inches"], False), ("psi", ["psi"], False), ("sec", ["sec", "second", "seconds"], False), ("min", ["min", "minute", "minutes"], False), ("hr", ["hr", "hour", "hours"], False),
+]
+# Conversions: from, to, factor, shift, single numbers only. An ounce of leather is 0.4 mm thick.
+CONVERSIONS = [("°C", "°F", 1.8, 32.0, False), ("°F", "°C", 5 / 9, -160 / 9, False), ("mm", "in", 1 / 25.4, 0.0, False), ("in", "mm", 25.4, 0.0, False), ("kg", "lb", 2.20462, 0.0, True), ("oz", "mm", 0.4, 0.0, False), ("mm", "oz", 2.5, 0.0, False)]
+MACHINES = ["laser", "cutter", "engraver", "welder", "cnc"]

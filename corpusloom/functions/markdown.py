@@ -12,6 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from .lists import CONVERSIONS
+from .text import NUMBER, PAIR
+
 # Words that mark a practice as historical or modern.
 HISTORICAL = [
     r"\bin (?:ancient|early|medieval|historical) (?:times|practice|method)\b",
@@ -183,6 +186,24 @@ def unsupported(sentence: str, index: ClaimIndex) -> bool:
     )
 
 
+_PAIRS = re.compile(PAIR.removeprefix("(?U)"))
+_RULES = {(a, b): (factor, shift, single) for a, b, factor, shift, single in CONVERSIONS}
+
+
+def misconverted(sentence: str) -> bool:
+    """Two neighbouring quantities say they are the same in two units, and are not within 15 %."""
+    for a, x, b, y in _PAIRS.findall(sentence):
+        rule = _RULES.get(("in" if x.startswith("inch") else x, "in" if y.startswith("inch") else y))
+        ends = [[float(v.replace(",", ".")) for v in re.findall(NUMBER, q)] for q in (a, b)]
+        if rule is None or rule[2] and len(ends[1]) > 1:
+            continue
+        first = ends[0][-1:] if rule[2] else ends[0]
+        want = sum(first) / len(first) * rule[0] + rule[1]
+        if first[0] and want and abs(want - sum(ends[1]) / len(ends[1])) > TOLERANCE * abs(want):
+            return True
+    return False
+
+
 def unknown_names(sentence: str, index: ClaimIndex) -> int:
     """Names after a sentence's first word that no claim has: a signal only."""
     _, _, rest = sentence.partition(sentence.split(maxsplit=1)[0])
@@ -191,7 +212,8 @@ def unknown_names(sentence: str, index: ClaimIndex) -> int:
 
 
 def drop_unsupported(md: str, claims: list[str]) -> tuple[str, int, int, int]:
-    """Prose sentences of 20 characters or more that name a value, year or standard which no claim states go. Headings,
+    """Prose sentences of 20 characters or more that name a value, year or standard which no claim states, or convert a
+    quantity wrongly, go. Headings,
     quotes, code, tables, lists and exercise sections stay. Without claims the text stays. Returns the text, the sentences
     looked at, those dropped, and the names in the others that no claim has."""
     if not claims:
@@ -209,7 +231,7 @@ def drop_unsupported(md: str, claims: list[str]) -> tuple[str, int, int, int]:
         kept = []
         for s in re.split(r"(?<=[.!?])\s+(?=[A-Z\d])", block):
             long = len(s.strip()) >= LEAST_SENTENCE
-            bad = long and unsupported(s.strip(), index)
+            bad = long and (misconverted(s.strip()) or unsupported(s.strip(), index))
             seen, dropped = seen + long, dropped + bad
             names += unknown_names(s.strip(), index) if long and not bad else 0
             kept += [] if bad else [s]

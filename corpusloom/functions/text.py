@@ -154,6 +154,13 @@ def specifics(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({SPECIFIC})"), 1)
 
 
+NUMBER = r"\d+(?:[.,]\d+)?"
+VALUE = rf"{NUMBER}(?:\s*[-–]\s*{NUMBER})?"
+PAIR_UNIT = r"°C|°F|mm|inches|inch|in|kg|lb|oz"
+#: The second quantity is looked at without being used up: it may be the first of the next pair.
+PAIR = rf"(?U)({VALUE})\s*({PAIR_UNIT})(?=\s*[/(,]\s*({VALUE})\s*(°C|°F|mm|inches\b|inch\b|in\b|kg|lb|oz\b))"
+
+
 def range_average(c: Column) -> Column:
     """The mean of "a-b", or the number of "a"; a comma is a decimal point."""
     x = F.replace(c, F.lit(","), F.lit("."))

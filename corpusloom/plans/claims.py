@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.lists import RANGES
+from ..functions.lists import CONVERSIONS, RANGES, SPELLED_UNITS
+from ..operators import quantities
 from ..registry import query
 from ..sources.tables import load, vault
 from .corpus import VAULT, WORDS
@@ -136,31 +137,79 @@ def specifics_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir).select("id", F.explode(X.specifics(F.col("text"))).alias("specific"))
 
 
-_RG = "r(unit, lo, hi) AS (VALUES " + ", ".join(f"('{u}', {lo}::DOUBLE, {hi}::DOUBLE)" for u, lo, hi in RANGES) + ")"
+#: Written lines of a specification, made of the rows of lineitem: quantities in all forms, right and wrong.
+_FORMS = [
+    ("{q} mm (", "{n} in)."), ("{q} in / ", "{e} mm, 3 in."), ("{q}-{e} °C (", "{q}-{e}0 °F) and more."), ("The Laser cutter runs at {q}mW. ", "It draws {e}0 W."),
+    ("{e}00 watts and {q} V, ", "{n}000 amps."), ("Take {q},5 oz (", "{n}-{q} mm) of hide."), ("{n}-{q} kg, ", "{e} lb."), ("Wait {e}0 minutes, then {q}000 hr, ", "at {q}°C / {e} °F."),
+]
 
 
-@query(f"WITH {_TX}, {_RG}, s AS (SELECT id, unnest(regexp_extract_all(text, '\\d+(?:\\.\\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr)')) AS s FROM t), v AS (SELECT id, CAST(split_part(s, ' ', 1) AS DOUBLE) AS value, split_part(s, ' ', 2) AS unit FROM s) SELECT id, value, unit FROM v JOIN r USING (unit) WHERE value < lo OR value > hi")
-def plausibility_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers outside the plausible range of their unit; ranges are a fixed dimension."""
-    s = texts(spark, sf_dir).select("id", F.explode(F.regexp_extract_all("text", F.lit(r"(\d+(?:\.\d+)? (?:mW|W|V|A|°C|°F|mm|in|psi|sec|min|hr))"), 1)).alias("s"))
-    v = s.select("id", F.split_part("s", F.lit(" "), F.lit(1)).cast("double").alias("value"), F.split_part("s", F.lit(" "), F.lit(2)).alias("unit"))
-    return v.join(F.broadcast(spark.createDataFrame(RANGES, "unit string, lo double, hi double")), "unit").where("value < lo OR value > hi").select("id", "value", "unit")
+def _form_sql(form: tuple[str, str]) -> str:
+    said = ("".join(form)).replace("{q}", "' || q || '").replace("{n}", "' || n || '").replace("{e}", "' || e || '")
+    return f"'{said}'"
+
+
+_SPECS = """l AS (SELECT l_orderkey * 10 + l_linenumber AS id, (l_orderkey + l_linenumber) % 8 AS form, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q, CAST(l_linenumber AS VARCHAR) AS n, CAST(CAST(l_quantity AS BIGINT) * 2 + l_linenumber AS VARCHAR) AS e FROM lineitem),
+    t AS (SELECT -1 - id AS id, CASE form """ + " ".join(f"WHEN {i} THEN {_form_sql(f)}" for i, f in enumerate(_FORMS)) + " END AS text FROM l UNION ALL SELECT doc_id, text FROM documents)"
+
+
+def specifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, and a specification's line for each row of lineitem."""
+    q, n = F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long")
+    parts = {"{q}": q.cast("string"), "{n}": n.cast("string"), "{e}": (q * 2 + n).cast("string")}
 
+    def said(form: tuple[str, str]):
+        c = F.lit("".join(form))
+        for k, v in parts.items():
+            c = F.replace(c, F.lit(k), v)
+        return c
 
-CONVERSIONS = [("mm", "in", 1 / 25.4, 0.0), ("in", "mm", 25.4, 0.0), ("kg", "lb", 2.20462, 0.0), ("g", "oz", 0.035274, 0.0), ("°C", "°F", 1.8, 32.0)]
+    form = (F.col("l_orderkey") + n) % 8
+    text = F.when(form == 0, said(_FORMS[0]))
+    for i, f in enumerate(_FORMS[1:], 1):
+        text = text.when(form == i, said(f))
+    lines = load(spark, sf_dir, "lineitem").select((-1 - (F.col("l_orderkey") * 10 + n)).cast("long").alias("id"), text.alias("text"))
+    return lines.unionByName(load(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("id"), "text"))
+
+
+Q_ = "'"
+_NUM = "[0-9]+(?:[.,][0-9]+)?"
+_VAL = f"{_NUM}(?:\\s*[-–]\\s*{_NUM})?"
+_dot = lambda c: f"TRY_CAST(replace({c}, ',', '.') AS DOUBLE)"
+_mean = lambda c: f"(({_dot(f'regexp_extract({c}, {Q_}^{_NUM}{Q_})')} + {_dot(f'regexp_extract({c}, {Q_}{_NUM}${Q_})')}) / 2)"
+_END = "(?:[^\\p{L}\\p{N}_]|$)"
+_RG = "r(word, unit, glued, lo, hi) AS (VALUES " + ", ".join(f"('{w}', '{u}', {glued}, {lo}::DOUBLE, {hi}::DOUBLE)" for u, words, glued in SPELLED_UNITS for w in words for v, lo, hi in RANGES if v == u) + ")"
+_ANY = f"({_NUM})(\\s*)([a-zA-Z°µ]+){_END}"
+_MW = f"({_NUM})\\s*mW{_END}"
+_CF = f"({_NUM})\\s*[-–]\\s*({_NUM})\\s*°C\\s*\\(\\s*({_NUM})\\s*[-–]\\s*({_NUM})\\s*°F{_END}"
+_group = lambda p, i: f"unnest(regexp_extract_all(s, '{p}', {i}))"
+_off = lambda c, f: f"abs({_dot(f)} - ({_dot(c)} * 9 / 5 + 32)) > 15"
+
+
+@query(f"""WITH {_SPECS}, {_RG}, s AS (SELECT id, unnest(string_split(regexp_replace(text, '([.!?])\\s+([A-Z])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) AS s FROM t),
+    c AS (SELECT id, {_group(_ANY, 1)} AS n, {_group(_ANY, 2)} AS gap, {_group(_ANY, 3)} AS w FROM s WHERE regexp_matches(s, '[0-9]')),
+    m AS (SELECT id, {_group(_MW, 1)} AS n FROM s WHERE regexp_matches(s, '(?i)\\b(laser|cutter|engraver|welder|cnc)\\b')),
+    d AS (SELECT id, {_group(_CF, 1)} AS c1, {_group(_CF, 2)} AS c2, {_group(_CF, 3)} AS f1, {_group(_CF, 4)} AS f2 FROM s WHERE contains(s, '°C'))
+    SELECT id, 'range' AS kind, {_dot('n')} AS value, unit FROM c JOIN r ON word = lower(w) WHERE (glued OR gap <> '') AND ({_dot('n')} < lo OR {_dot('n')} > hi)
+    UNION ALL SELECT id, 'machine', {_dot('n')}, 'mW' FROM m UNION ALL SELECT id, 'temperature', {_dot('c1')}, '°C' FROM d WHERE {_off('c1', 'f1')} OR {_off('c2', 'f2')}""")
+def plausibility_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities that aren't plausible: outside the range of their unit, milliwatts at machines, temperatures that differ."""
+    return quantities.warnings(specifications(spark, sf_dir), "id")
 
 
-_PAIR = r"(\d+(?:\.\d+)?) ?(mm|in|kg|g|°C) \((\d+(?:\.\d+)?) ?(in|mm|lb|oz|°F)\)"
-_CV = "cv(a, b, factor, shift) AS (VALUES " + ", ".join(f"('{a}', '{b}', {f!r}::DOUBLE, {s!r}::DOUBLE)" for a, b, f, s in CONVERSIONS) + ")"
+def _pair_sql() -> str:
+    """A scan for each conversion, as there is no looking ahead here."""
+    spelled = {"in": "(?:inches|inch|in)"}
+    out = []
+    for a, b, factor, shift, single in CONVERSIONS:
+        v = _NUM if single else _VAL
+        p = f"({v})\\s*{spelled.get(a, a)}\\s*[/(,]\\s*({v})\\s*{spelled.get(b, b)}" + ("" if b in ("°C", "°F", "mm", "lb") else _END)
+        out.append(f"""SELECT id, '{a}' AS "from", '{b}' AS "to", unnest(regexp_extract_all(text, '{p}', 1)) AS a, unnest(regexp_extract_all(text, '{p}', 2)) AS b, {factor!r}::DOUBLE AS factor, {shift!r}::DOUBLE AS shift FROM t WHERE contains(text, '{b}')""")
+    return " UNION ALL ".join(out)
 
 
-@query(f"""WITH {_TX}, {_CV}, s AS (SELECT id, unnest(regexp_extract_all(text, '{_PAIR}')) AS s FROM t), p AS (SELECT id, CAST(regexp_extract(s, '{_PAIR}', 1) AS DOUBLE) AS x, regexp_extract(s, '{_PAIR}', 2) AS a, CAST(regexp_extract(s, '{_PAIR}', 3) AS DOUBLE) AS y, regexp_extract(s, '{_PAIR}', 4) AS b FROM s),
-    w AS (SELECT *, x * factor + shift AS want FROM p JOIN cv USING (a, b)) SELECT id, a AS "from", b AS "to", round(abs(y - want) / abs(want), 6) AS error, abs(y - want) / abs(want) > 0.15 AS warn FROM w WHERE x <> 0 AND want <> 0""")
+@query(f"""WITH {_SPECS}, p AS ({_pair_sql()}), v AS (SELECT *, {_mean('a')} * factor + shift AS want, {_mean('b')} AS got FROM p)
+    SELECT id, "from", "to", round(abs(got - want) / abs(want), 6) AS error, abs(got - want) / abs(want) > 0.15 AS warn FROM v WHERE {_dot(f"regexp_extract(a, '^{_NUM}')")} <> 0 AND want <> 0""")
 def unit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs "a unit (b unit)" with the relative error of the conversion, and whether it is over 15 %; zeros are skipped."""
-    s = texts(spark, sf_dir).select("id", F.explode(F.regexp_extract_all("text", F.lit(f"({_PAIR})"), 1)).alias("s"))
-    p = s.select("id", *[F.regexp_extract("s", _PAIR, i).alias(n) for i, n in ((1, "a"), (2, "from"), (3, "b"), (4, "to"))])
-    j = p.join(F.broadcast(spark.createDataFrame(CONVERSIONS, "from string, to string, factor double, shift double")), ["from", "to"])
-    want = F.col("a").cast("double") * F.col("factor") + F.col("shift")
-    error = F.abs(F.col("b").cast("double") - want) / F.abs(want)
-    return j.where((F.col("a").cast("double") != 0) & (want != 0)).select("id", "from", "to", F.round(error, 6).alias("error"), (error > 0.15).alias("warn"))
+    """Neighbouring quantities in two units, with the relative error of the conversion, and whether it is over 15 %."""
+    return quantities.pairs(specifications(spark, sf_dir), "id").select("id", "from", "to", F.round("error", 6).alias("error"), "warn")

@@ -119,15 +119,6 @@ def claims_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "benchmark").where("text IS NOT NULL").select("item_id", line.alias("line"))
 
 
-#: Chapters with markers, and the claims that each was given.
-CHAPTERS = [
-    ("a", "The awl is forged first [C1]. Then it is ground to a point [C2, C9]. Soak the hide for 12 hours in clean water before cutting."),
-    ("b", "Two needles cross in each hole [C1] [C1]. Pull both tight [C3]."),
-    ("d", "It was written down in 1850 by one smith [C1]. The hide is tested by ASTM D2813 at the works."),
-    ("c", "No marker is here, though 40 psi is named in this sentence."),
-]
-CLAIMS = [("a", 1, False), ("a", 2, True), ("b", 1, True), ("b", 2, False), ("b", 3, False)]
-_CM = "ch(chapter, content) AS (VALUES " + ", ".join(f"('{c}', '{t}')" for c, t in CHAPTERS) + "), cl(chapter, n, low) AS (VALUES " + ", ".join(f"('{c}', {n}, {low})" for c, n, low in CLAIMS) + ")"
 _SPEC = f"(?i:{M.NUMBER_UNIT})|(?i:{M.YEAR})|{M.STANDARD}"
 
 
@@ -144,9 +135,27 @@ def check_markers(chapters: DataFrame, claims: DataFrame, specific: str = _SPEC)
     return out.withColumn("score", F.round((F.col("verified") + 0.5 * F.col("tentative")) / (F.col("verified") + F.col("tentative") + F.col("flagged")), 6))
 
 
-@query(f"""WITH {_CM}, m AS (SELECT DISTINCT chapter, CAST(unnest(flatten(list_transform(regexp_extract_all(content, '\\[C\\d+(?:[, ]+C\\d+)*\\]'), lambda x: regexp_extract_all(x, '\\d+')))) AS INTEGER) AS n FROM ch),
+_MARKED = """x AS (SELECT doc_id, list_transform(string_split(regexp_replace(text, '([.!?])\\s+([A-Z0-9])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda s, i: CASE i % 3 WHEN 1 THEN regexp_replace(s, '([.!?])$', ' [C' || i || ']\\1')
+        WHEN 2 THEN s ELSE regexp_replace(s, '([.!?])$', ' [C' || (i - 1) || ', C' || (2 * i) || ']\\1') END) AS s FROM documents),
+    ch AS (SELECT doc_id AS chapter, array_to_string(s, ' ') AS content FROM x),
+    cl AS (SELECT doc_id AS chapter, n, (n + toxic) % 2 = 0 AS low FROM labels, unnest(range(1, 9)) AS u(n) WHERE n <= 4 + 4 * quality)"""
+
+
+@query(f"""WITH {_MARKED}, m AS (SELECT DISTINCT chapter, CAST(unnest(flatten(list_transform(regexp_extract_all(content, '\\[C\\d+(?:[, ]+C\\d+)*\\]'), lambda x: regexp_extract_all(x, '\\d+')))) AS INTEGER) AS n FROM ch),
 s AS (SELECT chapter, unnest(string_split(regexp_replace(content, '([.!?])\\s+([A-Z0-9])', '\\1' || chr(1) || '\\2', 'g'), chr(1))) AS s FROM ch WHERE chapter IN (SELECT chapter FROM m)),
 k AS (SELECT chapter, CASE WHEN low IS NULL THEN 'flagged' WHEN low THEN 'tentative' ELSE 'verified' END AS kind FROM m LEFT JOIN cl USING (chapter, n) UNION ALL SELECT chapter, 'flagged' FROM s WHERE length(s) >= 25 AND NOT regexp_matches(s, '\\[C\\d+') AND regexp_matches(s, '{_SPEC}'))
 SELECT chapter, count(*) FILTER (kind = 'verified') AS verified, count(*) FILTER (kind = 'tentative') AS tentative, count(*) FILTER (kind = 'flagged') AS flagged, round((count(*) FILTER (kind = 'verified') + 0.5 * count(*) FILTER (kind = 'tentative')) / count(*), 6) AS score FROM k GROUP BY chapter""")
 def marker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_markers(spark.createDataFrame(CHAPTERS, "chapter string, content string"), spark.createDataFrame(CLAIMS, "chapter string, n int, low boolean"))
+    """Documents as chapters whose sentences have markers, two of three; a labelled document was given four claims or eight."""
+    d = load(spark, sf_dir, "documents").select("doc_id", X.sentences(F.col("text")).alias("s"))
+    before_end = lambda s, mark: F.regexp_replace(s, r"([.!?])$", F.concat(F.lit(" [C"), mark, F.lit("]$1")))
+
+    def marked(s, i):
+        n = i + 1
+        both = F.concat(i.cast("string"), F.lit(", C"), (2 * n).cast("string"))
+        return F.when(n % 3 == 1, before_end(s, n.cast("string"))).when(n % 3 == 2, s).otherwise(before_end(s, both))
+
+    chapters = d.select(F.col("doc_id").alias("chapter"), F.array_join(F.transform("s", marked), " ").alias("content"))
+    n = F.explode(F.sequence(F.lit(1), (4 + 4 * F.col("quality")).cast("int"))).alias("n")
+    claims = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("chapter"), "toxic", n).select("chapter", "n", ((F.col("n") + F.col("toxic")) % 2 == 0).alias("low"))
+    return check_markers(chapters, claims)
