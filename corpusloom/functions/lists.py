@@ -33,7 +33,7 @@ LICENCES = ["cc0", "public domain", "cc by", "cc-by", "pd"]
 STOP_WORDS = ["with", "from", "this", "that", "these", "those", "were", "been", "being", "have", "does", "your", "will", "would", "should", "using", "used", "make", "made", "ensure", "ensures", "apply", "applies", "prevent", "prevents", "also", "then", "when", "while"]
 # Words that mean nothing by themselves in a phrase.
 IDLE_WORDS = ["the", "and", "for", "with", "from", "this", "that", "into", "their", "your", "you", "are", "was", "were", "have", "has", "use", "using", "used", "make", "made", "such", "more", "most", "also", "then", "when", "where", "while", "many", "some", "other"]
-TITLE_BLOCKED = ["bible", "testament", "gospel", "scripture", "quran", "koran", "torah", "talmud", "psalms", "proverbs", "ecclesiastes", "leviticus", "deuteronomy", "genesis", "exodus", "revelations", "a romance", "a novel", "a tale", "a story", "poems", "poetry", "sonnets", "ballads", "fairy tales"]
+TITLE_BLOCKED = ["bible", "holy bible", "testament", "old testament", "new testament", "gospel", "gospels", "scripture", "scriptures", "quran", "koran", "torah", "talmud", "psalms", "proverbs", "ecclesiastes", "leviticus", "deuteronomy", "genesis", "exodus", "revelations", "a romance", "a novel", "a tale", "a story", "poems", "poetry", "sonnets", "ballads", "fairy tales"]
 SKIP_DOMAINS = ["youtube.com", "youtu.be", "facebook.com", "twitter.com", "x.com", "instagram.com", "tiktok.com", "pinterest.com", "amazon.com", "amazon.co.uk", "ebay.com", "etsy.com", "google.com", "bing.com", "duckduckgo.com", "wikipedia.org", "archive.org", "gutenberg.org", "reddit.com", "github.com", "doi.org", "stackexchange.com", "stackoverflow.com"]
 PEDAGOGY_HEADINGS = ["summary", "key takeaways", "review questions", "answer key", "learning outcomes", "try this"]
 # Units with the least and largest plausible value.
