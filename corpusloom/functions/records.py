@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as X
-from .lists import LICENCES, SUFFIXES
+from .lists import LICENCES, SKIP_DOMAINS, SUFFIXES
 
 # Words of practice sentences, their measures, generic terms, template words, noise of image names.
 VERBS = ["cut", "trim", "stitch", "sew", "punch", "skive", "bevel", "burnish", "dye", "wet", "mold", "shape", "wrap", "fold", "glue", "cement", "rivet", "lace", "carve", "stamp", "tool", "finish", "sand", "buff", "apply", "attach", "secure", "mark", "trace", "measure", "fit", "assemble", "install", "heat", "forge", "hammer", "quench", "anneal", "temper", "grind", "weld", "harden", "sharpen", "polish", "coat", "seal", "treat", "prepare", "form", "press", "clamp", "crimp"]
@@ -158,3 +158,29 @@ def search_queries(node: Column, topic: str) -> Column:
     """The queries that sources are searched by: the node, topic and node, topic and the node's first three words; each once."""
     t = topic.replace("_", " ").strip()
     return F.filter(F.array_distinct(F.transform(F.array(node, F.concat(F.lit(f"{t} "), node), F.concat(F.lit(f"{t} "), X.first_words(node, 3))), lambda q: F.btrim(q))), lambda q: q != "")
+
+
+def skill_area(task: Column) -> Column:
+    """A task's first four words."""
+    return X.first_words(task, 4)
+
+
+def video_url(words: Column) -> Column:
+    """Where a video site searches for these words."""
+    coded = F.replace(F.replace(F.url_encode(words), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    return F.concat(F.lit("https://www.youtube.com/results?search_query="), coded)
+
+
+def used_tools(tools: Column) -> Column:
+    """Of lists of tools the names of three letters and more, each once, in order."""
+    return F.array_sort(F.array_distinct(F.filter(F.flatten(tools), lambda t: t.isNotNull() & (F.length(t) > 2))))
+
+
+def run_id(topic: Column, start: Column) -> Column:
+    return F.concat_ws("_", topic, F.date_format(start, "yyyyMMdd-HHmmss"))
+
+
+def worth_fetching(links: DataFrame) -> DataFrame:
+    """Links (url) with their domain, of known top-level domains, without those whose domain holds one of SKIP_DOMAINS."""
+    known = links.where(F.col("url").rlike(r"(?i)\.(com|org|net|edu|gov|int|info|io|co|uk|ca)(/|$|\?|#)")).withColumn("domain", X.domain(F.col("url")))
+    return known.where(~F.exists(X.arr(SKIP_DOMAINS), lambda d: F.contains(F.col("domain"), d)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lists import OFF_TOPIC
 from ..functions.records import GENERIC, topic_roots
+from ..sources.connectors import successes
 from ..sources.scratch import stored
 
 # Nodes looked at and taken in a round, lexicon terms of the gate, words of a node, cited links of a search.
@@ -91,3 +92,21 @@ def take_cited(queue: DataFrame, most: int = CITED) -> tuple[DataFrame, DataFram
     taken = stored(queue.where("NOT consumed").orderBy("seq", "url").limit(most), "cited")
     mark = taken.select("url").distinct().withColumn("_t", F.lit(True))
     return taken, queue.join(mark, "url", "left").withColumn("consumed", F.col("consumed") | F.coalesce("_t", F.lit(False))).drop("_t")
+
+
+def known_sources(attempts: DataFrame) -> DataFrame:
+    """identifier, seen, saved and high_value of all attempts so far (identifier, saved): seen twice and saved once make a
+    source one of high value."""
+    g = attempts.groupBy("identifier").agg(F.count("*").alias("seen"), F.count_if("saved").alias("saved"))
+    return g.withColumn("high_value", (F.col("seen") >= 2) & (F.col("saved") >= 1))
+
+
+def cycle(found: DataFrame, known: DataFrame, skipped: DataFrame) -> DataFrame:
+    """The candidates (source, node, rank, identifier, saved) that a cycle gets to: searches that show a source of high value
+    among their first go deeper, and what is on the skip list is passed over. saved: what comes of a candidate if it is fetched."""
+    flags = known.where("high_value").select("identifier").distinct().withColumn("high_value", F.lit(True))
+    skip = skipped.select("identifier").distinct().withColumn("skip", F.lit(True))
+    none = lambda c: F.coalesce(F.col(c), F.lit(False))
+    marked = found.join(flags, "identifier", "left").join(skip, "identifier", "left")
+    marked = marked.withColumns({"high_value": none("high_value"), "skip": none("skip")}).withColumn("saved", F.col("saved") & ~F.col("skip"))
+    return successes(marked).where("NOT skip").drop("skip")

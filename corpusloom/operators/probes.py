@@ -73,3 +73,13 @@ def drift_gate_precision(nodes: DataFrame) -> DataFrame:
     t = nodes.agg(F.count_if(ok & on).alias("on_accepted"), F.count_if(~ok & on).alias("on_rejected"), F.count_if(~ok & ~on).alias("off_rejected"), F.count_if(ok & ~on).alias("off_accepted"))
     v = _three((F.col("off_accepted") > 0) | (F.col("on_rejected") > 1), F.col("on_rejected") == 0, F.lit(True))
     return t.select(F.lit("drift-gate-precision").alias("probe"), v.alias("verdict"), "on_accepted", "on_rejected", "off_rejected", "off_accepted")
+
+
+def specifics_first(claims: DataFrame, most: int, seed: int = 0) -> DataFrame:
+    """A sample of claims (claim_id, specific): of those with specific values first, then of all, so a specific claim can
+    come twice where there are fewer than `most`. The order is that of a hash of id and seed: a task keeps `most` rows, and
+    the sample is the same however claims are spread."""
+    key = F.md5(F.concat(F.col("claim_id").cast("string"), F.lit(f":{seed}")))
+    rows = claims.select("claim_id", "specific", key.alias("key"))
+    twice = F.explode(F.when(F.col("specific"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("turn")
+    return rows.select("claim_id", "specific", "key", twice).orderBy("turn", "key", "claim_id").limit(most).select("claim_id", "specific", "turn")

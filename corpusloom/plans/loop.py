@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import markdown as M
+from ..functions import records
 from ..functions import text as X
+from ..functions.lists import SKIP_DOMAINS
+from ..operators import frontier, probes
 from ..registry import query
+from ..sources.scratch import stored
 from ..sources.tables import load
 from .corpus import WORDS
 
@@ -159,3 +163,51 @@ def marker_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.explode(F.sequence(F.lit(1), (4 + 4 * F.col("quality")).cast("int"))).alias("n")
     claims = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("chapter"), "toxic", n).select("chapter", "n", ((F.col("n") + F.col("toxic")) % 2 == 0).alias("low"))
     return check_markers(chapters, claims)
+
+
+_FOUND = """f AS (SELECT CASE WHEN day(ts) <= 15 THEN 1 ELSE 2 END AS cycle, user_id AS node, event_type, event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS identifier FROM events),
+    n AS (SELECT *, row_number() OVER (PARTITION BY cycle, node ORDER BY event_id) AS rank, event_type IN ('purchase', 'view') AS good FROM f WHERE identifier IS NOT NULL)"""
+
+
+def _attempts(cycle: int, flags: str, skips: str) -> str:
+    return f"""m{cycle} AS (SELECT n.*, h.identifier IS NOT NULL AS high, k.identifier IS NOT NULL AS skip FROM n LEFT JOIN {flags} h ON h.identifier = n.identifier LEFT JOIN {skips} k ON k.identifier = n.identifier WHERE cycle = {cycle}),
+    r{cycle} AS (SELECT *, CASE WHEN max(CAST(high AND rank <= 8 AS INTEGER)) OVER (PARTITION BY node) = 1 THEN 8 ELSE 5 END AS reach, coalesce(sum(CAST(good AND NOT skip AS INTEGER)) OVER (PARTITION BY node ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m{cycle}),
+    a{cycle} AS (SELECT cycle, node, rank, identifier, good AS saved FROM r{cycle} WHERE rank <= reach AND before < 3 AND NOT skip)"""
+
+
+@query(f"""WITH {_FOUND}, none AS (SELECT CAST(NULL AS BIGINT) AS identifier WHERE false), {_attempts(1, "none", "none")},
+    flag AS (SELECT identifier FROM a1 GROUP BY identifier HAVING count(*) >= 2 AND count(*) FILTER (saved) >= 1), bad AS (SELECT identifier FROM a1 GROUP BY identifier HAVING count(*) FILTER (saved) = 0), {_attempts(2, "flag", "bad")}
+    SELECT CAST(cycle AS INTEGER) AS cycle, node, CAST(rank AS INTEGER) AS rank, identifier, saved FROM a1 UNION ALL SELECT CAST(cycle AS INTEGER), node, CAST(rank AS INTEGER), identifier, saved FROM a2""")
+def harvest_feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two cycles of searches: what the first one learns about identifiers (high value, or never saved) steers the second."""
+    e = load(spark, sf_dir, "events").select(F.when(F.dayofmonth("ts") <= 15, 1).otherwise(2).alias("cycle"), F.col("user_id").alias("node"), "event_id", F.get_json_object("props", "$.k").cast("long").alias("identifier"), F.col("event_type").isin("purchase", "view").alias("saved"))
+    rank = F.row_number().over(Window.partitionBy("cycle", "node").orderBy("event_id"))
+    found = e.where("identifier IS NOT NULL").withColumns({"rank": rank, "source": F.lit("events")})
+    empty = spark.createDataFrame([], "identifier long, high_value boolean")
+    first = stored(frontier.cycle(found.where("cycle = 1"), empty, empty), "cycle")
+    known = frontier.known_sources(first)
+    second = frontier.cycle(found.where("cycle = 2"), known, known.where("saved = 0"))
+    return first.unionByName(second).select("cycle", "node", "rank", "identifier", "saved")
+
+
+@query("WITH c AS (SELECT doc_id AS claim_id, regexp_matches(text, '[0-9]') AS specific, md5(doc_id || ':7') AS key FROM documents), t AS (SELECT *, unnest(CASE WHEN specific THEN [0, 1] ELSE [1] END) AS turn FROM c) SELECT claim_id, specific, CAST(turn AS INTEGER) AS turn FROM (SELECT *, row_number() OVER (ORDER BY turn, key, claim_id) AS i FROM t) WHERE i <= 300")
+def specifics_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """300 documents for a check by hand, those with numbers first."""
+    return probes.specifics_first(load(spark, sf_dir, "documents").select(F.col("doc_id").alias("claim_id"), F.col("text").rlike("[0-9]").alias("specific")), 300, 7)
+
+
+_SKIPPED = "[" + ", ".join(f"'{d}'" for d in SKIP_DOMAINS) + "]"
+
+
+@query(f"""WITH t AS (SELECT page_id, coalesce(url, '') || ' ' || coalesce(html, '') || CASE page_id % 4 WHEN 0 THEN ' https://www.youtube.com/watch?v=' || page_id WHEN 1 THEN ' http://lib.example.org/' || page_id % 50 || ').' WHEN 2 THEN ' https://netflix.com/' || page_id ELSE ' http://lib.example.xyz/' || page_id END AS t FROM pages),
+    u AS (SELECT page_id, unnest(list_filter(list_transform(regexp_extract_all(t, '{X.URL.replace("'", "''")}'), lambda u: regexp_replace(u, '[.,;:!?]+$', '')), lambda u: length(u) BETWEEN 12 AND 500)) AS url FROM t),
+    d AS (SELECT page_id, url, ltrim(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), 'w.') AS domain FROM u WHERE regexp_matches(url, '(?i)\\.(com|org|net|edu|gov|int|info|io|co|uk|ca)(/|$|\\?|#)'))
+    SELECT url, domain, min(page_id) AS first FROM d WHERE len(list_filter({_SKIPPED}, lambda s: contains(domain, s))) = 0 GROUP BY url, domain""")
+def cited_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of pages (and one written from each page's number) that are worth fetching: of a known ending, and not of a domain
+    that has a connector of its own or nothing to read. A domain to skip is looked for anywhere in a host."""
+    n = F.col("page_id")
+    extra = F.when(n % 4 == 0, F.concat(F.lit(" https://www.youtube.com/watch?v="), n.cast("string"))).when(n % 4 == 1, F.concat(F.lit(" http://lib.example.org/"), (n % 50).cast("string"), F.lit(").")))
+    extra = extra.when(n % 4 == 2, F.concat(F.lit(" https://netflix.com/"), n.cast("string"))).otherwise(F.concat(F.lit(" http://lib.example.xyz/"), n.cast("string")))
+    pages = load(spark, sf_dir, "pages").select("page_id", F.concat(F.coalesce("url", F.lit("")), F.lit(" "), F.coalesce("html", F.lit("")), extra).alias("t"))
+    return records.worth_fetching(pages.select("page_id", F.explode(X.urls(F.col("t"))).alias("url"))).groupBy("url", "domain").agg(F.min("page_id").alias("first"))
