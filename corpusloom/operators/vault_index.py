@@ -158,3 +158,21 @@ def passages(index: Index, chapters: DataFrame, lexicon: list[str], classes: Dat
     longest = index.table("files").orderBy(F.desc("words"), "file").limit(FALLBACK_FILES).withColumn("rank", F.row_number().over(Window.orderBy(F.desc("words"), "file")))
     spare = longest.join(index.table("texts", index._asked(longest, "file")).drop("bucket"), "file").select("rank", "file", F.lit(1).alias("chunks"), F.substring("text", 1, FALLBACK_CHARS).alias("passage"))
     return found.unionByName(empty.join(F.broadcast(spare), F.lit(True)).select("chapter", "rank", "file", "chunks", "passage"))
+
+
+#: Of a tool: paragraphs, their characters, the length of one at least and of its snippet.
+TOOL_PASSAGES, TOOL_BUDGET, TOOL_LEAST, SNIPPET = 12, 6000, 80, 600
+
+
+def tool_passages(files: DataFrame, tools: list[str], split: str = "\n\n") -> DataFrame:
+    """tool, place, file, part and snippet: the first paragraphs (files: file, text; in order of file) that name a tool,
+    without regard to case, until the characters are used up. Tools are a book's list, so a paragraph is matched where it
+    is; only a tool's first TOOL_PASSAGES can count, and each task sends no more than so many."""
+    parts = files.select("file", F.posexplode(F.split("text", split)).alias("part", "p")).where(F.length("p") > TOOL_LEAST)
+    named = X.arr(tools) if tools else F.array().cast("array<string>")
+    low = F.lower("p")
+    hits = parts.select(F.explode(F.filter(named, lambda t: F.contains(low, F.lower(t)))).alias("tool"), "file", "part", F.substring(F.regexp_replace("p", r"^\s+|\s+$", ""), 1, SNIPPET).alias("snippet"))
+    order = Window.partitionBy("tool").orderBy("file", "part")
+    first = hits.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TOOL_PASSAGES)
+    spent = F.coalesce(F.sum(F.length("snippet")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return first.withColumn("spent", spent).where(F.col("spent") < TOOL_BUDGET).select("tool", "place", "file", "part", "snippet")

@@ -131,12 +131,6 @@ def marker_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts(spark, sf_dir).select("id", X.strip_markers(F.col("text")).alias("stripped"))
 
 
-@query()
-def specifics_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers with units in the fixture and in all documents."""
-    return texts(spark, sf_dir).select("id", F.explode(X.specifics(F.col("text"))).alias("specific"))
-
-
 #: Written lines of a specification, made of the rows of lineitem: quantities in all forms, right and wrong.
 _FORMS = [
     ("{q} mm (", "{n} in)."), ("{q} in / ", "{e} mm, 3 in."), ("{q}-{e} °C (", "{q}-{e}0 °F) and more."), ("The Laser cutter runs at {q}mW. ", "It draws {e}0 W."),
@@ -213,3 +207,12 @@ def _pair_sql() -> str:
 def unit_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring quantities in two units, with the relative error of the conversion, and whether it is over 15 %."""
     return quantities.pairs(specifications(spark, sf_dir), "id").select("id", "from", "to", F.round("error", 6).alias("error"), "warn")
+
+
+_SPECIFIC = X.SPECIFIC.replace("(?![A-Za-z])", "").replace("\\d", "[0-9]")
+
+
+@query(f"WITH {_SPECS} SELECT id, unnest(regexp_extract_all(text, '({_SPECIFIC})(?:[^A-Za-z]|$)', 1)) AS specific FROM t")
+def specifics_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with units in all documents and specifications."""
+    return specifications(spark, sf_dir).select("id", F.explode(X.specifics(F.col("text"))).alias("specific"))

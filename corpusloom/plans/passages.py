@@ -63,3 +63,13 @@ def vault_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages of each chapter, within its budget."""
     index, chapters, classes = inputs(spark, sf_dir)
     return vault_index.passages(index, chapters, LEXICON, classes).select("chapter", "rank", "file", "chunks", F.md5("passage").alias("digest"))
+
+
+@query(f"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), p AS (SELECT doc_id, i - 1 AS part, l[i] AS p FROM l, unnest(range(1, len(l) + 1)) AS u(i) WHERE length(l[i]) > 80),
+    h AS (SELECT tool, doc_id, part, substr(regexp_replace(p, '^\\s+|\\s+$', '', 'g'), 1, 600) AS s FROM p, unnest({LEX}) AS u(tool) WHERE contains(lower(p), tool)),
+    r AS (SELECT *, row_number() OVER o AS place, coalesce(sum(length(s)) OVER (PARTITION BY tool ORDER BY doc_id, part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent FROM h WINDOW o AS (PARTITION BY tool ORDER BY doc_id, part))
+    SELECT tool, CAST(place AS INTEGER) AS place, doc_id AS file, CAST(part AS INTEGER) AS part, md5(s) AS digest FROM r WHERE place <= 12 AND spent < 6000""")
+def tool_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lines of documents that name each tool, here the lexicon's terms."""
+    files = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("file"), "text")
+    return vault_index.tool_passages(files, LEXICON, "\n").select("tool", "place", "file", "part", F.md5("snippet").alias("digest"))

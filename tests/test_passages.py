@@ -101,3 +101,14 @@ def test_a_chapter_off_its_topic_becomes_a_stub(spark):
     got = {r.id: r for r in S.on_topic(spark.createDataFrame(rows, "id long, text string, topics array<string>"), "leatherworking").collect()}
     assert (got[1].drifted, got[1].missing, got[1].text) == (False, [], rows[0][1])
     assert got[2].drifted and got[2].missing == ["a", "b"] and got[2].text.endswith("topics:** a, b") and got[3].drifted
+
+
+def test_tool_passages(spark):
+    para = lambda n, name: ("x" * n + f" {name} ").ljust(n + 20, "y")
+    rows = [(2, para(700, "AWL")), (1, "short awl\n\n" + para(100, "awl") + "\n\n" + para(90, "none")), (3, None), *[(10 + i, para(900, "awl")) for i in range(20)], *[(50 + i, para(100, "Edge")) for i in range(20)]]
+    got = {}
+    for r in V.tool_passages(spark.createDataFrame(rows, "file long, text string").repartition(4), ["awl", "edge", "saw"]).orderBy("tool", "place").collect():
+        got.setdefault(r.tool, []).append((r.place, r.file, r.part, len(r.snippet)))
+    assert got["awl"][:3] == [(1, 1, 1, 120), (2, 2, 0, 600), (3, 10, 0, 600)] and len(got["awl"]) == 11 and sum(x[3] for x in got["awl"][:-1]) < 6000
+    assert [x[1] for x in got["edge"]] == list(range(50, 62)) and "saw" not in got
+    assert V.tool_passages(spark.createDataFrame(rows, "file long, text string"), []).count() == 0
