@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from .plans import checks, claims, corpus, events, folds, loop, passages, quality, sections, terms  # noqa: F401
+from .plans import checks, claims, corpus, course, events, folds, loop, passages, quality, sections, terms  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

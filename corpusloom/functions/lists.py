@@ -46,3 +46,30 @@ SPELLED_UNITS = [
 # Conversions: from, to, factor, shift, single numbers only. An ounce of leather is 0.4 mm thick.
 CONVERSIONS = [("°C", "°F", 1.8, 32.0, False), ("°F", "°C", 5 / 9, -160 / 9, False), ("mm", "in", 1 / 25.4, 0.0, False), ("in", "mm", 25.4, 0.0, False), ("kg", "lb", 2.20462, 0.0, True), ("oz", "mm", 0.4, 0.0, False), ("mm", "oz", 2.5, 0.0, False)]
 MACHINES = ["laser", "cutter", "engraver", "welder", "cnc"]
+# Chapters of an outline made without a model: title (one that ends with a blank takes the book's name), topics (None: the
+# book's tools), and keywords of the lexicon's entries that join them.
+OUTLINE = [
+    ("Introduction to ", ["history", "overview", "fundamentals", "scope"], ["history", "origin", "fundamental"]),
+    ("Safety and Workspace Setup", ["safety", "ppe", "workspace", "hazards"], ["safe", "hazard", "ppe", "protection", "ventilation"]),
+    ("Tools and Equipment", None, ["tool", "equipment", "machine", "instrument"]),
+    ("Materials and Selection", ["materials", "properties", "grades"], ["material", "grade", "alloy", "wood", "metal", "fiber"]),
+    ("Foundational Techniques", ["technique", "fundamentals"], ["technique", "method", "basic", "fundamental"]),
+    ("Joinery and Connections", ["joint", "fastening", "assembly"], ["joint", "weld", "fasten", "bond", "connect"]),
+    ("Intermediate Methods", ["accuracy", "precision"], ["intermediate", "precision", "control"]),
+    ("Surface Treatment and Finishing", ["finish", "surface"], ["finish", "coat", "polish", "sand", "treat"]),
+    ("Project Planning and Layout", ["planning", "layout", "measurement"], ["plan", "layout", "measure", "mark", "design"]),
+    ("Quality and Inspection", ["inspection", "tolerances", "defects"], ["inspect", "defect", "tolerance", "quality", "test"]),
+    ("Advanced Techniques", ["advanced", "specialized"], ["advanced", "specialist", "complex", "expert"]),
+]
+# Tools that are foreign to a craft, as patterns.
+FOREIGN_TOOLS = {
+    "leatherworking": [
+        "bench plane", "jack plane", "hand plane", "lathe", "router table", "planer", "anvil", "forge", "crucible", "drill press", "bench grinder", "die grinder", "welder", "torch",
+        "soldering iron", "chainsaw", "miter saw", "table saw",
+    ],
+    "blacksmithing": ["leather punch", "skiving knife", "bench plane", "router table", "sewing machine", r"awl(?!\s*shape)"],
+    "carpentry": ["anvil", "forge", "tanning vat", "skiving knife", "swivel knife"],
+    "woodworking": ["anvil", "forge", "skiving knife"],
+    "welding": ["bench plane", "skiving knife", "tanning vat"],
+    "blacksmith": ["leather punch", "bench plane", "sewing machine"],
+}

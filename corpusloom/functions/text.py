@@ -129,9 +129,12 @@ def sentences(text: Column) -> Column:
 
 def chunks(text: Column, k: int = 300) -> Column:
     """Chunks of k words."""
-    t = tokens(text)
-    n = F.size(t)
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / k).cast("int")), lambda i: F.array_join(F.slice(t, i * k + 1, F.lit(k)), " ")))
+
+    def cut(t: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.floor((F.size(t) - 1) / k).cast("int"))
+        return F.when(F.size(t) == 0, F.array().cast("array<string>")).otherwise(F.transform(steps, lambda i: F.array_join(F.slice(t, i * k + 1, F.lit(k)), " ")))
+
+    return with_(tokens(text), cut)
 
 
 MARKER = r"\[C\d+(?:[, ]+C\d+)*\]"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.lists import PEDAGOGY_HEADINGS
+from ..functions.lists import FOREIGN_TOOLS, PEDAGOGY_HEADINGS
 
 THIN_WORDS = 500
 DRIFT_DENSITY = 0.5
@@ -103,3 +103,47 @@ def on_topic(chapters: DataFrame, topic: str) -> DataFrame:
     rest = [c for c in chapters.columns if c not in ("text", "missing")]
     missing = F.col("missing") if "missing" in chapters.columns else F.array().cast("array<string>")
     return chapters.withColumn("drifted", F.coalesce(drifted, F.lit(True))).select(*rest, "drifted", F.when(F.col("drifted"), stub).otherwise(F.col("text")).alias("text"), F.when(F.col("drifted"), F.col("topics")).otherwise(missing).alias("missing"))
+
+
+def foreign_tools(topic: str, lists: dict[str, list[str]] = FOREIGN_TOOLS) -> list[str]:
+    """The tools foreign to a topic: those of all crafts that its name holds or that hold its name."""
+    name = topic.replace("_", " ").lower().strip()
+    return list(dict.fromkeys(t for craft, tools in lists.items() if craft in name or name in craft for t in tools))
+
+
+def without_foreign(chapters: DataFrame, topic: str, lists: dict[str, list[str]] = FOREIGN_TOOLS) -> DataFrame:
+    """Chapters (text) without the sentences that name a tool foreign to the topic, and `stripped`, the number of these. A
+    sentence ends with . ! or ?, and begins after such a mark or in a line of its own. Tools are looked for without a b at
+    their ends, as the behaviour being matched does, so sentences with a bench plane stay. Null texts stay null."""
+    tools = foreign_tools(topic, lists)
+    if not tools:
+        return chapters.withColumn("stripped", F.lit(0))
+    one = lambda names: rf"(?iU)\b(?:{'|'.join(names)})\b"
+    text = F.coalesce("text", F.lit(""))
+    found = one([t.strip("b") for t in tools])
+    # parts that end with a mark or a line; a part is looked at once, so the work is linear in the text
+    parts = F.transform(F.split(text, r"(?<=[.!?\n])"), lambda p: F.when(~(p.rlike(r"[.!?]$") & p.rlike(found)), p))
+    cut = X.with_(parts, lambda v: F.struct(F.size(F.filter(v, lambda p: p.isNull())).alias("n"), F.array_join(F.transform(v, lambda p: F.coalesce(p, F.lit(" "))), "").alias("text")))
+    out = chapters.withColumn("stripped", F.when(text.rlike(one(tools)), cut).otherwise(F.struct(F.lit(0).alias("n"), text.alias("text"))))
+    squeezed = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("stripped.text"), " {2,}", " "), r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+    return out.withColumns({"text": F.when(F.col("stripped.n") > 0, squeezed).otherwise(F.col("text")), "stripped": F.col("stripped.n")})
+
+
+def with_sources(chapters: DataFrame, claims: DataFrame, files: DataFrame) -> DataFrame:
+    """Chapters (chapter, text) with a section behind that lists the files (chapter, file) in order, the flagged ones of claims
+    (chapter, claim_id, text, confidence), and how many were verified. The lists are a chapter's own output; they are gathered
+    by chapter before the text joins."""
+    f = files.groupBy("chapter").agg(F.array_sort(F.collect_set("file")).alias("files"))
+    flagged = F.array_sort(F.collect_list(F.when(F.col("confidence") == "flagged", F.struct("claim_id", "text"))))
+    c = claims.groupBy("chapter").agg(flagged.alias("flagged"), F.count_if(F.col("confidence") == "verified").alias("verified"), F.count("*").alias("n"))
+    empty = F.array().cast("array<string>")
+    listed = F.concat(F.lit("**Source files used:**\n\n"), F.array_join(F.transform("files", lambda x: F.concat(F.lit("- `"), x, F.lit("`"))), "\n"), F.lit("\n"))
+    warned = F.concat(
+        F.lit("\n**⚠ "), F.size("flagged").cast("string"), F.lit(" claim(s) could not be verified against source material:**\n\n"),
+        F.array_join(F.transform("flagged", lambda x: F.concat(F.lit("- *"), x["text"], F.lit("*"))), "\n"),
+        F.lit("\n\n*These claims may be accurate but were not found in the collected source files. Verify independently before relying on them.*"),
+    )
+    checked = F.concat(F.lit("\n*"), F.col("verified").cast("string"), F.lit("/"), F.col("n").cast("string"), F.lit(" claims cross-referenced to source material.*"))
+    parts = F.array_compact(F.array(F.lit("\n\n---\n\n### Chapter Sources & Verification\n"), F.when(F.size("files") > 0, listed), F.when(F.size("flagged") > 0, warned), F.when(F.col("verified") > 0, checked)))
+    j = chapters.join(f, "chapter", "left").join(c, "chapter", "left").withColumn("files", F.coalesce("files", empty))
+    return j.select("chapter", F.concat(F.coalesce("text", F.lit("")), F.array_join(parts, "\n")).alias("text"))
