@@ -20,10 +20,25 @@ DOCS = "doc_id long, text string, y int, score double, key string"
 def test_warc_round_trip(spark, tmp_path):
     evil = "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
     rows = [(1, "http://a/", "<p>é</p>", 0), (2, "http://b/\r\nX: y", "<p>é</p>", 0), (3, None, None, 0), (4, "u", "", 0), (5, "e", evil, 0), (6, "e", evil + "x", 0), (None, "n", "null id", 0)]
-    path = f"file://{tmp_path}/w"
-    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string, digest int").repartition(2), path)
-    got = {r.page_id: r for r in warc.read(spark, path).collect()}
-    assert len(got) == len(rows)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
+    for n, (least, kind) in enumerate([("128MB", "gzip"), ("128MB", "none"), ("97b", "none"), ("700b", "none")]):
+        path = f"file://{tmp_path}/w{n}"
+        warc.write(pages.repartition(2), path, compression=kind)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", least)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        try:
+            assert warc.pieces(spark, path).select("archive", "block").distinct().count() >= (8 if least == "97b" else 2)
+            check_warc(rows, warc.read(spark, path).collect())
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    warc.write(pages.limit(0), f"file://{tmp_path}/none")
+    assert warc.read(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def check_warc(rows, read):
+    got = {r.page_id: r for r in read}
+    assert len(read) == len(got) == len(rows)
     for i, _, h, _ in rows:
         raw = (h or "").encode()
         assert got[i].payload_bytes == len(raw)
@@ -35,7 +50,11 @@ def test_warc_round_trip(spark, tmp_path):
 
 def test_pointer_jumping_keeps_the_chain_only():
     at, after = np.array([0, 10, 15, 30, 44]), np.array([10, 30, 44, 50, 60])
-    assert warc.reachable(at, after).tolist() == [True, True, False, True, False]
+    jump, leaves = warc.jumps(at, after, np.ones(5, bool))
+    assert jump.tolist() == [1, 3, 4, 3, 4] and leaves.tolist() == [False, False, False, True, True]
+    assert warc.reachable(jump, 0).tolist() == [True, True, False, True, False]
+    assert warc.ends_of(jump).tolist() == [3, 3, 4, 3, 4]
+    assert warc.jumps(at, after, np.array([True, True, True, False, True]))[0].tolist() == [1, 1, 4, 3, 4]
 
 
 def test_topk_against_brute_force(spark):
