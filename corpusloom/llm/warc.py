@@ -82,12 +82,13 @@ def candidates(p: DataFrame) -> DataFrame:
     rest = F.substring(data, F.col("from") + 1, F.octet_length(data)).cast("string")
     p = p.withColumn("inner", F.when(F.contains(rest, crlf), F.substring_index(rest, "\r\n\r\n", 1)))
     size = F.octet_length(data).cast("long")
+    # the lines that end a record may begin with the end of a magic
     tail = lambda end: F.substring(data, (end - 3).cast("int"), F.lit(4)) == crlf.cast("binary")
     closed = F.coalesce((F.col("record") <= size) & tail(F.col("record")), F.lit(False))
     begin = F.col("from") + F.octet_length("inner") + 4
     h = F.col("head")
     return p.select(
-        "archive", "block", "n", size.alias("size"), F.coalesce((size >= 4) & tail(size), F.lit(False)).alias("ends"), "record", closed.alias("closed"), begin.cast("long").alias("begin"),
+        "archive", "block", "n", size.alias("size"), (F.coalesce((size >= 4) & tail(size), F.lit(False)) | (value == "\r\n")).alias("ends"), "record", closed.alias("closed"), begin.cast("long").alias("begin"),
         number(field(h, "WARC-Record-ID")).alias("page_id"), field(h, "WARC-Target-URI").alias("url"), field(F.col("inner"), "Content-Length").try_cast("long").alias("payload_bytes"),
         F.regexp_replace(field(h, "WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"), field(h, "WARC-Type").alias("record_type"), number(field(h, "WARC-Refers-To")).alias("refers_to"),
         F.when(closed & (field(h, "WARC-Type") == "response"), base32_sha1(F.substring(data, begin + 1, (F.col("record") - 4 - begin).cast("int")))).alias("found"),
