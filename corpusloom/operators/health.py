@@ -55,3 +55,15 @@ def over_stripping(effects: DataFrame, cycles: DataFrame) -> DataFrame:
     top = Window.partitionBy("run", "cycle", "filter").orderBy(F.desc("curr"), "stat")
     r = filter_ratios(effects, cycles).withColumn("i", F.row_number().over(top)).where("i = 1")
     return r.where((F.col("curr") >= LEAST_COUNT) & (F.col("ratio") >= JUMP) & F.col("quality_dropped")).select("run", "cycle", "filter", "stat", "prev", "curr")
+
+
+def unstable(errors: DataFrame, least: int = 5) -> DataFrame:
+    """run, cycle, errors and event of the alerts about a model: in each cycle the first of errors (run, cycle, ts, event) at which
+    the run has had `least` of them, earlier cycles counted. Cycles are counted first, and of a cycle only its first few errors
+    are ranked, so a run with most of the errors is no large group."""
+    n = errors.groupBy("run", "cycle").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("run").orderBy("cycle").rowsBetween(Window.unboundedPreceding, -1)
+    n = n.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    n = n.withColumn("i", F.greatest(F.lit(1), least - F.col("before")).cast("int")).where("n >= i")
+    first = errors.withColumn("i", F.row_number().over(Window.partitionBy("run", "cycle").orderBy("ts", "event"))).where(F.col("i") <= least)
+    return n.join(first, ["run", "cycle", "i"]).select("run", "cycle", (F.col("before") + F.col("i")).alias("errors"), "event")

@@ -95,6 +95,13 @@ def alert_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).where(F.col("event_type").isin("error", "signup")).groupBy("cycle", F.col("event_type").alias("kind")).agg(F.min("event_id").alias("first"))
 
 
+@query(f"WITH {EV}, r AS (SELECT user_id AS run, cycle, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM e WHERE event_type = 'error') SELECT run, cycle, CAST(min(i) AS BIGINT) AS errors, arg_min(event_id, i) AS event FROM r WHERE i >= 5 GROUP BY run, cycle")
+def model_unstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts about runs (users) whose model has failed five times, once a cycle."""
+    e = events(spark, sf_dir).where("event_type = 'error'")
+    return health.unstable(e.select(F.col("user_id").alias("run"), "cycle", "ts", F.col("event_id").alias("event")))
+
+
 @query(f"WITH {EV}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS i FROM e) SELECT user_id, CAST(count(*) AS BIGINT) AS n, round(avg(CASE WHEN event_type = 'view' THEN 1.0 ELSE 0.0 END), 6) AS reference_ratio, round(avg(coalesce(value, 0)), 6) AS density FROM n WHERE i <= 20 GROUP BY user_id")
 def drift_last20(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = events(spark, sf_dir).withColumn("i", F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))).where(f"i <= {DRIFT_WINDOW}")

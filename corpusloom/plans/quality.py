@@ -141,6 +141,19 @@ def source_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used(spark, sf_dir).select("source_name", F.round((F.col("used") + 1) / (F.greatest("saved", F.lit(1)) + 1), 6).alias("priority"))
 
 
+_ORDER = "(VALUES " + ", ".join(f"({i}, '{s[0]}')" for i, s in enumerate(SOURCES)) + ") o(place, source_name)"
+
+
+@query(f"WITH {USED}, p AS (SELECT place, o.source_name, CASE WHEN saved IS NULL THEN 1.0 ELSE round((used + 1) / (greatest(saved, 1) + 1), 6) END AS priority FROM {_ORDER} LEFT JOIN u ON u.source_name = o.source_name) SELECT CAST(row_number() OVER (ORDER BY priority DESC, place) AS INTEGER) AS turn, source_name, priority FROM p")
+def source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns in which configured sources are searched: by priority, unknown ones have 1, ties as configured. As many rows
+    as sources, so one task orders them."""
+    known = source_priority(spark, sf_dir)
+    order = source_config(spark).select("source_name").withColumn("place", F.array_position(X.arr([s[0] for s in SOURCES]), F.col("source_name")))
+    p = order.join(known, "source_name", "left").withColumn("priority", F.coalesce("priority", F.lit(1.0)))
+    return p.select(F.row_number().over(Window.orderBy(F.desc("priority"), "place")).alias("turn"), "source_name", "priority")
+
+
 @query(f"WITH {VAULT} SELECT lang, CAST(count(*) FILTER (low_trust) AS BIGINT) AS low_files, CAST(count(*) FILTER (NOT low_trust) AS BIGINT) AS high_files, CAST(floor(100 * (count(*) FILTER (low_trust)) / count(*)) AS BIGINT) AS low_percent FROM vault JOIN labels USING (doc_id) GROUP BY lang")
 def reliability_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = vault(spark, sf_dir).select("doc_id", "lang", "low_trust").join(load(spark, sf_dir, "labels"), "doc_id")

@@ -30,3 +30,12 @@ def test_filters(spark):
     assert got == {("forums", "claims", "stripped"): (5, 50, 10.0, True), ("forums", "claims", "new"): (0, 7, None, True), ("forums", "terms", "replaced"): (0, 2, None, True), ("fine", "claims", "stripped"): (10, 12, 1.2, False)}
     assert [tuple(r) for r in H.over_stripping(effects, cycles).collect()] == [("forums", 2, "claims", "stripped", 5, 50)]
     assert H.health(*(d.limit(0) for d in runs(spark)), []).count() == 0
+
+
+def test_a_model_is_unstable_once_a_cycle_from_its_fifth_error_on(spark):
+    from corpusloom.operators import health
+
+    rows = [("a", 1, t, t) for t in (3, 1, 2)] + [("a", 2, t, t) for t in (10, 11, 11, 12)] + [("a", 3, 20, 20), ("b", 1, 1, 1), ("c", 1, None, 7)] + [("c", 1, 5, i) for i in range(6)]
+    got = health.unstable(spark.createDataFrame(rows, "run string, cycle int, ts int, event int")).collect()
+    assert sorted(map(tuple, got)) == [("a", 2, 5, 11), ("a", 3, 8, 20), ("c", 1, 5, 3)]
+    assert health.unstable(spark.createDataFrame([], "run string, cycle int, ts int, event int")).count() == 0
