@@ -9,6 +9,7 @@ content deletes the file: what a cleanup asks for. The target must be a folder t
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +31,7 @@ class FileWriter(DataSourceWriter):
         self.target = options["path"].removeprefix("file://")
         self.keep, self.dry = (options.get(k, "false").lower() == "true" for k in ("keep", "dry_run"))
         self.stage = os.path.join(self.target, f".staged-{uuid.uuid4().hex}")
+        os.makedirs(self.stage)  # here and not in tasks: one that still runs after an abort must not make it anew
 
     def write(self, rows: Iterator[Row]) -> Staged:
         names = []
@@ -38,7 +40,6 @@ class FileWriter(DataSourceWriter):
                 raise ValueError(f"not the name of a file: {r.name!r}")
             place = None
             if r.content is not None:
-                os.makedirs(self.stage, exist_ok=True)
                 place = os.path.join(self.stage, uuid.uuid4().hex)
                 with open(place, "w", encoding="utf-8") as f:
                     f.write(r.content)
@@ -60,10 +61,10 @@ class FileWriter(DataSourceWriter):
         self._clear()
 
     def _clear(self) -> None:
-        if os.path.isdir(self.stage):
-            for name in os.listdir(self.stage):
-                os.remove(os.path.join(self.stage, name))
-            os.rmdir(self.stage)
+        for _ in range(10):  # a task that still runs may add a file meanwhile
+            shutil.rmtree(self.stage, ignore_errors=True)
+            if not os.path.isdir(self.stage):
+                break
 
 
 class Files(DataSource):
