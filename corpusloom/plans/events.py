@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import numbers as N
 from ..functions.lists import DRIFT_WINDOW
 from ..operators import health
 from ..registry import query
@@ -75,7 +76,9 @@ SCORES = f"{EV}, q AS (SELECT user_id, cycle, avg(value) AS score FROM e GROUP B
 
 
 def deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = events(spark, sf_dir).groupBy("user_id", "cycle").agg(F.avg("value").alias("score"))
+    """Differences of scores from cycle to cycle; thresholds are met to the last bit, so values are added in order of time."""
+    e = load(spark, sf_dir, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("cycle"), "ts", "event_id", "value")
+    q = N.running(e, "value", ["user_id", "cycle"], ["ts", "event_id"]).groupBy("user_id", "cycle").agg(N.last_mean("value").alias("score"))
     return q.withColumn("delta", F.col("score") - F.lag("score").over(Window.partitionBy("user_id").orderBy("cycle")))
 
 
