@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import markdown as M
+from ..functions import numbers as N
 from ..functions import records
 from ..functions import text as X
 from ..functions.lists import SKIP_DOMAINS
@@ -59,7 +60,7 @@ def stop_rule(score: Column, before: Column, cycle: Column, new_files: Column, g
     """The first rule that ends the loop after a cycle, null to go on."""
     return (
         F.when(score >= USABLE, "usable").when(cycle >= MAX_CYCLES, "max cycles").when((cycle > 1) & (new_files == 0), "no new files")
-        .when(F.round(score - before, 4) < LEAST_RISE, "plateau").when(gaps == 0, "no gap nodes")
+        .when(N.rounded(score - before, 4) < LEAST_RISE, "plateau").when(gaps == 0, "no gap nodes")
     )
 
 
@@ -67,7 +68,9 @@ def stop_rule(score: Column, before: Column, cycle: Column, new_files: Column, g
 def stop_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each run stops and why; a run is a user, a cycle a day."""
     kind, w = F.col("event_type"), Window.partitionBy("user_id").orderBy("day")
-    d = load(spark, sf_dir, "events").groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.round(F.avg("value") / 200, 4).alias("score"), F.count_if(kind == "view").alias("new_files"), F.count_if(kind == GAP).alias("gaps"))
+    e = load(spark, sf_dir, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", "event_id", "event_type", "value")
+    e = N.running(e, "value", ["user_id", "day"], ["ts", "event_id"])
+    d = e.groupBy("user_id", "day").agg(N.rounded(N.last_mean("value") / 200, 4).alias("score"), F.count_if(kind == "view").alias("new_files"), F.count_if(kind == GAP).alias("gaps"))
     c = d.select("user_id", "score", "new_files", "gaps", F.row_number().over(w).alias("cycle"), F.lag("score").over(w).alias("before"))
     f = c.select("user_id", "cycle", stop_rule(*[F.col(x) for x in ("score", "before", "cycle", "new_files", "gaps")]).alias("rule")).where("rule IS NOT NULL")
     return f.groupBy("user_id").agg(F.min("cycle").alias("cycle"), F.min_by("rule", "cycle").alias("rule"))

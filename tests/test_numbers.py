@@ -3,6 +3,8 @@
 import datetime
 import random
 
+import duckdb
+
 from corpusloom import catalog
 
 DAY = datetime.datetime(2024, 1, 1)
@@ -33,3 +35,16 @@ def test_plateaus_at_the_threshold_go_by_the_order_of_time(spark, tmp_path):
             want.add(user)
     got = {x["user_id"] for x in catalog.QUERIES["plateau_alerts"](spark, saved(spark, tmp_path, rows)).collect()}
     assert 0 < len(want) < 600 and got == want
+
+
+def test_stop_rules_round_as_their_sql(spark, tmp_path):
+    rows = []
+    for user in range(1500):  # a cent more each; half of the scores end in 5 at the fifth place
+        for day, value in ((0, user / 100), (1, (user + 1000) / 100), (1, None)):
+            rows += [(user, day, "view", value), (user, day, "signup", None)]
+    path = saved(spark, tmp_path, rows)
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/events.parquet/*.parquet'")
+    cur = c.execute(catalog.ORACLE["stop_rules"])
+    cols = [d[0] for d in cur.description]
+    assert sorted(map(tuple, catalog.QUERIES["stop_rules"](spark, path).select(*cols).collect())) == sorted(cur.fetchall())
