@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lists import IDLE_WORDS
+from ..sources.scratch import stored
 
 TOKEN = r"[a-z][a-z-]{2,}"
 LEAST_USES, LEAD, LONG = 6, 2, 4
@@ -107,8 +108,10 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def harmonised(chapters: DataFrame, best: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key (long), text and replacements of each chapter (key, book, text), rewritten by its book's table. A chapter meets
-    the variants that it has, not its book's whole table."""
+    the variants that it has, not its book's whole table. That table and the chapters' own ones are stored first, so Spark
+    knows how small they are, and neither phrases nor texts are dealt anew where they are; phrases that don't change go at once."""
     rows = chapters.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), "book")
-    used = phrases(rows, "id", "book").select("id", "book", F.col("phrase").alias("variant")).distinct().join(best, ["book", "variant"])
-    lists = used.groupBy("id", "book").agg(F.collect_list(F.struct("variant", "best")).alias("forms"))
+    best = stored(best.select("book", "variant", "best"), "forms")
+    used = phrases(rows, "id", "book").select("id", "book", F.col("phrase").alias("variant")).join(best, ["book", "variant"])
+    lists = stored(used.groupBy("id", "book").agg(F.collect_set(F.struct("variant", "best")).alias("forms")), "used")
     return rows.join(lists, ["id", "book"], "left").select("id", "text", "forms").mapInArrow(_rewrite, "id long, text string, replacements long").withColumnRenamed("id", key)

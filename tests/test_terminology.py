@@ -66,3 +66,10 @@ def test_the_longest_variant_at_a_place_gives_way():
     assert T.rewritten("Edge bevel tool, edge bevel; EDGE  bevel; re-edge bevel Oil-can oil-cans.", best) == ("Beveller, edge-bevel; EDGE  bevel; re-edge bevel Oil can oil-cans.", 3)
     many = {f"word{i} thing": f"word{i}-thing" for i in range(20_000)}
     assert T.rewritten("word7 thing and word19999 thing " * 2000, many)[1] == 4000
+
+
+def test_neither_phrases_nor_texts_are_dealt_anew_for_a_small_table(spark):
+    rows = spark.createDataFrame([(1, 1, "Saddle stitch " * 8 + "and saddle-stitch leather. saddle-stitch saddle-stitch")], "id long, book long, text string")
+    out = T.harmonised(rows, T.preferred(T.variants(rows)), "id")
+    assert out.first().replacements == 3
+    assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
