@@ -72,10 +72,12 @@ class Index:
         tiny = parts.where(F.length("part") < GRAM)
         if not tiny.isEmpty():
             vocabulary = self.table("grams").select("token", F.explode(F.concat(F.split("token", ""), F.transform(F.sequence(F.lit(1), F.greatest(F.length("token") - 1, F.lit(1))), lambda i: F.substring("token", i, 2)))).alias("part"))
-            tokens = tokens.unionByName(vocabulary.distinct().join(tiny, "part").select("part", "token"))
+            tokens = tokens.unionByName(vocabulary.join(tiny, "part").select("part", "token"))
         tokens = stored(tokens.distinct(), "tokens")
-        found = tokens.join(self.table("postings", self._asked(tokens, "token")).drop("bucket"), "token")
-        return found.select("part", "file", "heading").distinct()
+        # a file has many tokens that hold a part: its postings meet in one task before parts multiply them
+        listed = tokens.groupBy("token").agg(F.collect_set("part").alias("parts"))
+        found = self.table("postings", self._asked(tokens, "token")).drop("bucket").join(listed, "token").select("file", "heading", "parts").repartition("file")
+        return found.select(F.explode("parts").alias("part"), "file", "heading").distinct()
 
     def matches(self, terms: DataFrame) -> DataFrame:
         """term, file and heading (-1: the text) of all terms in all files."""
@@ -114,13 +116,15 @@ def slot_matches(chapters: DataFrame, slots: DataFrame) -> DataFrame:
 def ranked(index: Index, chapters: DataFrame, lexicon: list[str], classes: DataFrame) -> DataFrame:
     """chapter, rank, file, raw and score of the files that a chapter draws on. classes: file and slot, as classified."""
     terms = stored(chapter_terms(chapters, lexicon), "terms")
-    hits = stored(terms.join(index.matches(terms), "term"), "hits")
-    in_text = hits.where("heading = -1").groupBy("chapter", "file").agg(F.count("*").alias("n"), F.count_if("listed").alias("listed"))
-    in_heads = hits.where("heading >= 0").groupBy("chapter", "file").agg(F.count_distinct("heading").alias("heads"))
+    # matches are dealt by file before chapters multiply them: what a chapter has of a file is then counted in place
+    hits = index.matches(terms).repartition("file").join(terms, "term")
+    in_text = F.col("heading") == -1
+    heads = F.expr("bit_count(bit_or(CASE WHEN heading >= 0 THEN shiftleft(1, heading) END))")  # X.headings gives 25 at most
+    counted = hits.groupBy("chapter", "file").agg(F.count_if(in_text).alias("n"), F.count_if(in_text & F.col("listed")).alias("listed"), heads.alias("heads"))
     tagged = classes.join(slot_matches(chapters, classes), "slot").select("chapter", F.col("file").cast("long").alias("file")).distinct().withColumn("tagged", F.lit(True))
     none = lambda c: F.coalesce(c, F.lit(0))
     raw = none("listed") * 3 + none("heads") * 2 + F.least(none("n"), F.lit(10))
-    all_ = in_text.join(in_heads, ["chapter", "file"], "full").join(tagged, ["chapter", "file"], "full").withColumn("raw", raw)
+    all_ = counted.join(tagged, ["chapter", "file"], "full").withColumn("raw", raw)
     all_ = all_.withColumn("raw", F.when(F.col("tagged"), F.floor(F.col("raw") * 1.5) + 2).otherwise(F.col("raw"))).where("raw > 0")
     scored = stored(all_.join(index.table("files"), "file").select("chapter", "file", "raw", F.round(F.col("raw") / F.sqrt(F.greatest("words", F.lit(1))), 9).alias("score")), "scored")
     best = scored.groupBy("chapter").agg(F.max("score").alias("best"))
