@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from functools import reduce
 from operator import or_
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lists import IDLE_WORDS
 from ..sources.scratch import stored
+from . import ngrams
 
 TOKEN = r"[a-z][a-z-]{2,}"
 LEAST_USES, LEAD, LONG = 6, 2, 4
@@ -63,9 +65,39 @@ def phrases(rows: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     return each.select(*keys, F.explode(F.array(made(_compound(a), a, F.col("x")), both, three)).alias("p")).where("p IS NOT NULL").select(*keys, "p.phrase", "p.key")
 
 
+def _lemma(word: str) -> str:
+    if len(word) >= 5:
+        for end, other in (("ing", ""), ("ed", ""), ("ies", "y"), ("es", ""), ("s", "")):
+            if word.endswith(end):
+                return word[: len(word) - len(end)] + other
+    return word
+
+
+def _parts(word: str) -> list[str]:
+    return [_lemma(p) for p in word.split("-") if p]
+
+
+def _means(word: str) -> bool:
+    return word not in IDLE_WORDS
+
+
+def _whole(word: str) -> bool:
+    """Whether a word is a compound that counts as a phrase."""
+    parts = word.split("-")
+    content = [p for p in parts if _means(p)]
+    return 2 <= len(parts) <= 3 and min(map(len, parts)) >= 3 and len(content) >= 2 and any(len(p) > LONG for p in content)
+
+
+def _counts(words: ngrams.Vocabulary, columns: list) -> np.ndarray:
+    return words.whole[columns[0]] if len(columns) == 1 else words.tells(columns)
+
+
 def variants(books: DataFrame, text: str = "text") -> DataFrame:
-    """book, key, phrase and its uses n. Rows are a book's chapters."""
-    return phrases(books, "book", text=text).groupBy("book", "key", "phrase").agg(F.count("*").alias("n"))
+    """book, key, phrase and its uses n, of phrases whose key has LEAST_USES and another phrase: no other can be a variant or
+    have one. Rows are a book's chapters."""
+    counts = ngrams.frequent(books, F.col("book"), F.col(text), _counts, _parts, _means, _whole, 3, LEAST_USES, False)
+    key = F.array_join(F.transform(F.filter(F.split("phrase", "[- ]+"), lambda w: w != ""), X.lemma), " ")
+    return counts.select(F.col("book").cast(books.schema["book"].dataType).alias("book"), key.alias("key"), "phrase", "n")
 
 
 def preferred(counts: DataFrame) -> DataFrame:

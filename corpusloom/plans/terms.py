@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lists import IDLE_WORDS
-from ..operators import terminology
+from ..operators import ngrams, terminology
 from ..registry import query
 from ..sources.tables import load
 
@@ -32,11 +34,16 @@ def acronyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 NGRAM = "t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z][a-z-]{2,}') AS w FROM documents), g AS (SELECT w[i] || ' ' || w[i + 1] AS term FROM (SELECT w, unnest(range(1, len(w))) AS i FROM t)), c AS (SELECT term, count(*) AS n FROM g WHERE length(term) >= 10 GROUP BY term HAVING count(*) >= 2)"
 
 
+def _long_pair(words: ngrams.Vocabulary, columns: list) -> np.ndarray:
+    """Ten characters, the blank included."""
+    size = pc.binary_length(words.words).to_numpy()
+    return sum(size[c] for c in columns) >= 9 if len(columns) == 2 else np.zeros(len(columns[0]), bool)
+
+
 def bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of neighbouring words, across sentences and lines, that occur twice or more."""
-    t = load(spark, sf_dir, "documents").select(F.regexp_extract_all(F.lower("text"), F.lit("([a-z][a-z-]{2,})"), 1).alias("w")).where("size(w) > 1")
-    g = t.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat(F.element_at("w", i), F.lit(" "), F.element_at("w", i + 1)))).alias("term"))
-    return g.where(F.length("term") >= 10).groupBy("term").agg(F.count("*").alias("n")).where("n >= 2")
+    found = ngrams.frequent(load(spark, sf_dir, "documents"), F.lit(""), F.col("text"), _long_pair, lambda w: [w], bool, bool, 2, 2, True)
+    return found.where("n >= 2").select(F.col("phrase").alias("term"), "n")
 
 
 @query(f"WITH {NGRAM} SELECT term, CAST(n AS BIGINT) AS n FROM c")

@@ -73,3 +73,26 @@ def test_neither_phrases_nor_texts_are_dealt_anew_for_a_small_table(spark):
     out = T.harmonised(rows, T.preferred(T.variants(rows)), "id")
     assert out.first().replacements == 3
     assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_are_packed_by_batch_and_exact(spark):
+    """Phrases that no other can replace never reach the table of counts, and a phrase costs a record a batch; before, each was a row."""
+    r = random.Random(3)
+    text = " ".join(r.choice("abcdefgh") * 2 + r.choice(["stitch", "stitches", "oiling", "oil"]) + str(r.randrange(10)) for _ in range(400)) + " saddle stitch" * 5 + " saddle-stitch saddle stitches "
+    rows = spark.createDataFrame([(b, text) for b in ("x", None, "x")], "book string, text string").coalesce(1)
+    got = {(v.book, v.phrase): (v.key, v.n) for v in T.variants(rows).collect()}
+    assert got["x", "saddle stitch"] == ("saddle stitch", 10) and got[None, "saddle-stitch"] == ("saddle stitch", 1) and got[None, "saddle stitches"] == ("saddle stitch", 1)
+    total, forms = Counter(), Counter()
+    for (book, _), (key, n) in got.items():
+        total[book, key] += n
+        forms[book, key] += 1
+    assert min(total.values()) >= 6 and min(forms.values()) >= 2
+    assert "HashAggregate" not in T.variants(rows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_are_counted_within_a_text(spark):
+    from corpusloom.operators import ngrams
+
+    rows = spark.createDataFrame([("Alpha beta; alpha",), ("beta alpha beta alpha",), (None,), ("",), ("--",)], "text string")
+    got = ngrams.frequent(rows, T.F.lit(""), T.F.col("text"), lambda v, c: T.np.full(len(c[0]), len(c) == 2), lambda w: [w], bool, bool, 2, 2, True)
+    assert sorted((x.phrase, x.n) for x in got.collect()) == [("alpha beta", 2), ("beta alpha", 3)]
