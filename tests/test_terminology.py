@@ -96,3 +96,10 @@ def test_pairs_are_counted_within_a_text(spark):
     rows = spark.createDataFrame([("Alpha beta; alpha",), ("beta alpha beta alpha",), (None,), ("",), ("--",)], "text string")
     got = ngrams.frequent(rows, T.F.lit(""), T.F.col("text"), lambda v, c: T.np.full(len(c[0]), len(c) == 2), lambda w: [w], bool, bool, 2, 2, True)
     assert sorted((x.phrase, x.n) for x in got.collect()) == [("alpha beta", 2), ("beta alpha", 3)]
+
+
+def test_pairs_of_words_have_no_table_of_counts_in_a_task(spark):
+    from corpusloom.plans import terms
+
+    for q in (terms.term_ngrams, terms.canonical_map):
+        assert "HashAggregate" not in q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
