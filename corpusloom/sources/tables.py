@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import batches
 from ..functions.lists import SOURCES
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table. What Python sees of it comes in small batches: a batch of 10,000 long texts, as pandas and as results, is too
+    much for the workers beside an executor."""
+    batches.small(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
