@@ -73,18 +73,20 @@ def word_count(text: Column) -> Column:
 
 
 def ocr_metrics(text: Column) -> Column:
-    """n tokens, their mean length, the share that look like words, and the share of short lines."""
+    """n tokens, their mean length, the share that look like words, and the share of short lines. What is neither letter nor
+    white space becomes one sign, in one pass over the text, so that no word is searched by itself."""
 
     def measured(x: Column) -> Column:
         t, lines = x["t"], x["lines"]
         n = F.size(t)
         chars = F.aggregate(t, F.lit(0).cast("bigint"), lambda a, w: a + F.length(w))
-        real = F.size(F.filter(t, lambda w: (F.length(w) >= 2) & (F.length(F.regexp_replace(w, r"\P{L}", "")) / F.length(w) >= 0.6)))
+        real = F.size(F.filter(t, lambda w: (F.length(w) >= 2) & (F.length(F.replace(w, F.lit("\x01"), F.lit(""))) / F.length(w) >= 0.6)))
         short = F.size(F.filter(lines, lambda x: F.length(x) < 15))
         return F.struct(n.alias("n"), (chars / n).alias("mean_length"), (real / n).alias("real_share"), (short / F.size(lines)).alias("short_lines"))
 
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\f"))), lambda x: x != "")
-    return with_(F.struct(tokens(text).alias("t"), lines.alias("lines")), measured)
+    lines = lambda signs: F.filter(F.transform(F.split(signs, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\f"))), lambda x: x != "")
+    signs = F.regexp_replace(text, r"[^\p{L} \t\n\r\f\x0B]", "\x01")
+    return with_(with_(signs, lambda s: F.struct(tokens(s).alias("t"), lines(s).alias("lines"))), measured)
 
 
 def bad_window(text: Column) -> Column:

@@ -17,8 +17,7 @@ TOPIC_KEYWORDS = {"en": ["tion", "with", "that"], "fr": ["ment", "elle", "pour"]
 
 
 def title_blocked(title: Column) -> Column:
-    low = F.lower(title)
-    return F.exists(X.arr(TITLE_BLOCKED), lambda t: F.contains(low, t))
+    return X.with_(F.lower(title), lambda low: F.exists(X.arr(TITLE_BLOCKED), lambda t: F.contains(low, t)))
 
 
 def instructional(text: Column) -> Column:
@@ -27,9 +26,9 @@ def instructional(text: Column) -> Column:
 
 
 def keyword_hits(text: str = "text") -> Column:
-    low = F.lower(text)
     keys = F.create_map(*[x for k, v in TOPIC_KEYWORDS.items() for x in (F.lit(k), X.arr(v))])
-    return F.size(F.filter(F.coalesce(keys[F.col("lang")], F.array().cast("array<string>")), lambda k: F.contains(low, k)))
+    mine = F.coalesce(keys[F.col("lang")], F.array().cast("array<string>"))
+    return F.size(X.with_(F.lower(text), lambda low: F.filter(mine, lambda k: F.contains(low, k))))
 
 
 def dense_enough(text: str = "text", lexicon: list[str] = LEXICON) -> Column:
@@ -55,7 +54,7 @@ def sample(text: Column) -> Column:
 
 
 def first_line(text: Column) -> Column:
-    return F.split_part(text, F.lit("\n"), F.lit(1))
+    return F.substring_index(text, "\n", 1)
 
 
 def by_rules(vault: DataFrame) -> DataFrame:

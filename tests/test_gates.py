@@ -56,3 +56,11 @@ def test_guards(spark):
     assert got == {"c": 1200}
     c = spark.createDataFrame([("i1", 1), ("i2", 2)], "identifier string, n int")
     assert [r.n for r in verdicts.not_skipped(c, c.where("n = 1").union(c.where("n = 1"))).collect()] == [2]
+
+
+def test_texts_are_lowered_and_split_once_not_for_each_term(spark):
+    d = spark.createDataFrame([(1, "The Holy Bible\nand \x01more", "en"), (2, "A manual\nof the bible with that and this motion", "en"), (3, None, "fr"), (4, "", "en"), (5, "mente para", "es")], "id int, text string, lang string")
+    out = d.select("id", gates.title_blocked(gates.first_line(F.col("text"))).alias("blocked"), gates.keyword_hits().alias("hits"))
+    assert [(r.blocked, r.hits) for r in out.orderBy("id").collect()] == [(True, 0), (False, 3), (None, 0), (False, 0), (False, 2)]
+    plan = out._jdf.queryExecution().analyzed().toString().lower()
+    assert "contains(lower(" not in plan and "split_part" not in plan
