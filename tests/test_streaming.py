@@ -5,6 +5,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from corpusloom.operators import simhash
@@ -102,3 +103,50 @@ def test_a_verdict_is_withdrawn_when_a_cycle_comes_between(spark, tmp_path):
     assert rows == [(1, True), (2, False)]
     for name in ("scores", "counts", "said"):
         assert spark.read.format("statestore").option("path", f"{path}/state").option("stateVarName", name).load().count() == 0
+
+
+class Store:
+    """States of one run, which count what is asked of them."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def state(self, held):
+        asked = self
+
+        class State:
+            def __getattr__(self, name):
+                def call(*args):
+                    asked.calls += 1
+                    if name == "iterator":
+                        return iter(list(held.items()))
+                    if name == "updateValue":
+                        held[args[0]] = args[1]
+                    if name == "update":
+                        held[()] = args[0]
+                    if name == "clear":
+                        held.clear()
+                    return held.get(()) if name == "get" else None
+
+                return call
+
+        return State()
+
+    def getValueState(self, name, schema):
+        return self.state({})
+
+    def getMapState(self, name, key, value):
+        return self.state({})
+
+
+def test_a_batch_asks_the_store_as_often_for_many_rows_as_for_few():
+    """Before, each count, score and verdict of a run was a call of its own."""
+    rows = lambda n: [Row(run=1, kind=k, cycle=f"{c:03}", filter=f if k == "count" else None, n=5 * 2 ** (c % 9) if k == "count" else None, score=3 - c / 20 if k == "quality" else None) for c in range(n) for k, f in (("count", "f"), ("count", "g"), ("quality", None))]
+    calls, over = [], []
+    for n in (2, 40):
+        store, p = Store(), watch.Verdicts()
+        p.init(store)
+        got = list(p.handleInputRows((1,), iter(rows(n)[: n // 2 * 3]), None)) + list(p.handleInputRows((1,), iter(rows(n)[n // 2 * 3 :]), None))
+        calls.append(store.calls)
+        over.append(sum(r.over for r in got))
+    assert over == [2, 70] and max(calls) <= 12
