@@ -166,11 +166,25 @@ PAIR_UNIT = r"°C|°F|mm|inches|inch|in|kg|lb|oz"
 PAIR = rf"(?U)({VALUE})\s*({PAIR_UNIT})(?=\s*[/(,]\s*({VALUE})\s*(°C|°F|mm|inches\b|inch\b|in\b|kg|lb|oz\b))"
 
 
+def range_ends(c: Column) -> tuple[Column, Column]:
+    """The numbers of "a-b" as strings, empty ones where there is none; a comma is a decimal point."""
+    x = F.replace(c, F.lit(","), F.lit("."))
+    return F.regexp_extract(x, r"^\s*(\d+(?:\.\d+)?)", 1), F.regexp_extract(x, r"^\s*\d+(?:\.\d+)?\s*[-–]\s*(\d+(?:\.\d+)?)", 1)
+
+
+def as_number(c: Column) -> Column:
+    """Null for an empty string, which isn't cast: a cast that fails raises and catches an exception."""
+    return F.when(c != "", c.try_cast("double"))
+
+
+def mean_of_ends(low: Column, high: Column) -> Column:
+    """The mean of both range_ends(), or the first if there is one only."""
+    return (as_number(low) + F.coalesce(as_number(high), as_number(low))) / 2
+
+
 def range_average(c: Column) -> Column:
     """The mean of "a-b", or the number of "a"; a comma is a decimal point."""
-    x = F.replace(c, F.lit(","), F.lit("."))
-    a, b = F.regexp_extract(x, r"^\s*(\d+(?:\.\d+)?)", 1), F.regexp_extract(x, r"^\s*\d+(?:\.\d+)?\s*[-–]\s*(\d+(?:\.\d+)?)", 1)
-    return F.when(a == "", None).otherwise((a.try_cast("double") + F.coalesce(b.try_cast("double"), a.try_cast("double"))) / 2)
+    return mean_of_ends(*range_ends(c))
 
 
 def lemma(word: Column) -> Column:

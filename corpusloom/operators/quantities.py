@@ -38,12 +38,14 @@ def pairs(texts: DataFrame, *keys: str) -> DataFrame:
     """keys, from, to, a, b, expected, error and warn of neighbouring quantities in two units that convert. Of ranges the means
     are compared, of kilograms and pounds single numbers. A number 0, or one that converts to 0, is no pair."""
     each = texts.select(*keys, F.inline(found(F.col("text"), X.PAIR, "a", "from", "b", "to"))).withColumns({"from": _unit(F.col("from")), "to": _unit(F.col("to"))})
+    # What is taken out of a string is a column of its own below the join: filters over it repeat a name, not the search.
+    ends = [c.alias(f"{name}_{end}") for name in ("a", "b") for end, c in zip(("low", "high"), X.range_ends(F.col(name)))]
+    each = each.select(*keys, "from", "to", *ends, F.regexp_extract("a", rf"({NUMBER})\s*$", 1).alias("a_last"), F.col("b").rlike("[-–]").alias("ranged"))
+    a_mean, y = (X.mean_of_ends(F.col(f"{name}_low"), F.col(f"{name}_high")) for name in ("a", "b"))
+    each = each.select(*keys, "from", "to", "ranged", X.as_number(F.col("a_low")).alias("a"), a_mean.alias("a_mean"), y.alias("y"), X.as_number(F.replace("a_last", F.lit(","), F.lit("."))).alias("a_last"))
     rules = texts.sparkSession.createDataFrame(CONVERSIONS, "from string, to string, factor double, shift double, single boolean")
-    ranged = F.col("b").rlike("[-–]")
-    last = F.regexp_extract("a", rf"({NUMBER})\s*$", 1)
-    a = F.when(F.col("single"), _number(last)).otherwise(X.range_average(F.col("a")))
-    first = F.when(F.col("single"), a).otherwise(_number(F.regexp_extract("a", rf"^({NUMBER})", 1)))
-    out = each.join(F.broadcast(rules), ["from", "to"]).where(~(F.col("single") & ranged) & (first != 0)).withColumns({"x": a, "y": X.range_average(F.col("b"))})
+    first, x = F.when(F.col("single"), F.col("a_last")).otherwise(F.col("a")), F.when(F.col("single"), F.col("a_last")).otherwise(F.col("a_mean"))
+    out = each.join(F.broadcast(rules), ["from", "to"]).where(~(F.col("single") & F.col("ranged")) & (first != 0)).withColumn("x", x)
     out = out.withColumn("expected", F.col("x") * F.col("factor") + F.col("shift")).where("expected <> 0").withColumn("error", F.abs(F.col("expected") - F.col("y")) / F.abs("expected"))
     return out.select(*keys, "from", "to", F.col("x").alias("a"), F.col("y").alias("b"), "expected", "error", (F.col("error") > TOLERANCE).alias("warn"))
 
