@@ -17,22 +17,31 @@ from pyspark.sql.types import LongType
 from ..functions.lists import HAMMING, SHORT_LIMIT
 
 WINDOW_CHARS = 6
+#: Windows of a text whose values are held at once.
+BLOCK = 1 << 16
 
 
 def votes(text: str) -> tuple[np.ndarray, int]:
-    """For each of 32 bits, the windows whose Adler-32 value has it; and the number of windows."""
+    """For each of 32 bits, the windows whose Adler-32 value has it; and the number of windows. They are taken in blocks, as
+    their values need some hundred times the room of the text."""
+    n = max(len(text) - WINDOW_CHARS + 1, 0)
+    total = np.zeros(32, np.int64)
+    for i in range(0, n, BLOCK):
+        total += _votes(text[i : i + BLOCK + WINDOW_CHARS - 1])
+    return total, n
+
+
+def _votes(text: str) -> np.ndarray:
     data = np.frombuffer(text.encode(), np.uint8).astype(np.int64)
     start = np.r_[np.flatnonzero((data & 0xC0) != 0x80), len(data)]
     n = len(start) - WINDOW_CHARS
-    if n <= 0:
-        return np.zeros(32, np.int64), 0
     total, moment = np.r_[0, np.cumsum(data)], np.r_[0, np.cumsum(data * np.arange(len(data)))]
     a, b = start[:n], start[WINDOW_CHARS:][:n]
     s = total[b] - total[a]
     low = (1 + s) % 65521
     high = (b - a + b * s - (moment[b] - moment[a])) % 65521
     h = (high << 16) | low
-    return np.array([int(((h >> i) & 1).sum()) for i in range(32)]), n
+    return np.array([int(((h >> i) & 1).sum()) for i in range(32)])
 
 
 def fingerprint_of(text: str | None) -> int:
