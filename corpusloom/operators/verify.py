@@ -7,7 +7,8 @@ all keywords, so a text is read once whatever the number of claims. Only (claim,
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import ahocorasick
 import pandas as pd
@@ -20,8 +21,8 @@ KEYWORDS, REACH, TOLERANCE = 6, 200, 0.15
 UNIT = "°[CF]|°|%|mm|cm|m|km|in|inch|ft|kg|g|lb|oz|psi|bar|amp|amps|A|V|hz|hp|rpm|sec|min|hr|hour"
 SPECIFIC = rf"\b\d+(?:[.,]\d+)?\s*(?:{UNIT})\b|\b[A-Z]{{2,}}[\s-]?\d+[A-Z0-9]*\b|\b\d+(?:[.,]\d+)?\b"
 NAME = r"\b[A-Z][a-z]{3,}(?:[\s-][A-Z][a-z]+)*\b"
-#: Claims of one pass over the texts.
-BLOCK = 4096
+#: Claims of one pass over the texts; pairs of claim and text that a task holds before they go out.
+BLOCK, PAIRS = 4096, 1 << 14
 
 _VALUE = re.compile(r"\b\d+(?:\.\d+)?(?:\s*(?:°F|°C|psi|amp|A|V|mm|in|ft|lb|kg|rpm|%))?\b")
 _NUMBER = re.compile(r"\b(\d+(?:\.\d+)?)\b")
@@ -83,6 +84,23 @@ def _blocks(claims: DataFrame) -> Iterator[Claims]:
         yield Claims(held)
 
 
+def _matched(block: Claims, fits) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Pairs of the block's claims and the texts they fit, PAIRS at a time: a batch of short texts has up to all of both."""
+
+    def pairs(a: ahocorasick.Automaton, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, str]]:
+        for batch in batches:
+            for source, text, more in zip(batch["source"], batch["text"], batch["more"], strict=True):
+                text = text or ""
+                yield from ((block.rows[i][0], source) for i, words in block.hits(a, text.lower()).items() if fits(block, i, words, text, more))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = pairs(block.automaton(), batches)
+        while got := list(islice(found, PAIRS)):
+            yield pd.DataFrame(got, columns=["claim_id", "source"]).astype({"claim_id": "int64", "source": "object"})
+
+    return run
+
+
 def _over(texts: DataFrame, claims: DataFrame, fits) -> DataFrame:
     """(claim_id, source) of all claims that fit a text (source, text, and perhaps numeric: values noted beside the text)."""
     out = None
@@ -91,17 +109,7 @@ def _over(texts: DataFrame, claims: DataFrame, fits) -> DataFrame:
         first = F.transform(F.coalesce("numeric", F.array().cast("array<string>")), lambda n: F.split(F.btrim(n), r"\s+")[0])
         more = F.transform(F.filter(first, lambda n: n.rlike(r"^(\d+\.?\d*|\.\d+)$")), lambda n: n.cast("double"))
     for block in _blocks(claims):
-
-        def run(batches: Iterator[pd.DataFrame], block: Claims = block) -> Iterator[pd.DataFrame]:
-            a = block.automaton()
-            for batch in batches:
-                got = []
-                for source, text, more in zip(batch["source"], batch["text"], batch["more"], strict=True):
-                    text = text or ""
-                    got += [(block.rows[i][0], source) for i, words in block.hits(a, text.lower()).items() if fits(block, i, words, text, more)]
-                yield pd.DataFrame(got, columns=["claim_id", "source"]).astype({"claim_id": "int64", "source": "object"})
-
-        part = texts.select(F.col("source").cast("string").alias("source"), "text", more.alias("more")).mapInPandas(run, "claim_id long, source string")
+        part = texts.select(F.col("source").cast("string").alias("source"), "text", more.alias("more")).mapInPandas(_matched(block, fits), "claim_id long, source string")
         out = part if out is None else out.unionByName(part)
     return texts.sparkSession.createDataFrame([], "claim_id long, source string") if out is None else out
 

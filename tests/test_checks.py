@@ -3,6 +3,7 @@
 import gzip
 import json
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corpusloom.functions import backend as B
@@ -213,3 +214,13 @@ def test_words_of_practice_sentences_end_at_letters_that_are_not_ascii(spark, tm
     c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     got = [tuple(r) for r in catalog.QUERIES["practice_tasks"](spark, str(tmp_path)).select("doc_id", "tasks").collect()]
     assert sorted(got) == sorted(c.execute(catalog.ORACLE["practice_tasks"]).fetchall()) and len(got) > 2
+
+
+def test_pairs_of_claims_and_texts_go_out_in_small_frames():
+    """Before, a batch's pairs were one frame: of 10,000 short texts and 4,096 claims up to forty million."""
+    block = verify.Claims([(i, "always so", ["always"]) for i in range(60)])
+    texts = pd.DataFrame({"source": [str(i) for i in range(2_000)], "text": ["It is always so." if i % 2 else None for i in range(2_000)], "more": [[]] * 2_000})
+    frames = list(verify._matched(block, verify._same_number)(iter([texts, texts[:0], texts])))
+    assert max(len(f) for f in frames) <= verify.PAIRS and sum(len(f) for f in frames) == 2 * 60 * 1_000
+    got = pd.concat(frames)
+    assert len(got.drop_duplicates()) == 60 * 1_000 and {int(s) % 2 for s in got.source} == {1}
