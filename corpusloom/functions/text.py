@@ -56,8 +56,13 @@ def window_density(text: Column, lexicon: list[str], width: int = 5000) -> Colum
     return with_(F.transform(windows(text, width), lambda w: density(w, lexicon)), total)
 
 
+def share(part: Column, whole: Column) -> Column:
+    """part / whole; of nothing it isn't a number, and no error."""
+    return F.when(whole == 0, F.lit(float("nan"))).otherwise(F.try_divide(part, whole))
+
+
 def letter_ratio(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"\P{L}", "")) / F.length(text)
+    return share(F.length(F.regexp_replace(text, r"\P{L}", "")), F.length(text))
 
 
 def looks_like_html(text: Column) -> Column:
