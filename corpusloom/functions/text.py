@@ -87,7 +87,7 @@ def ocr_metrics(text: Column) -> Column:
         chars = F.aggregate(t, F.lit(0).cast("bigint"), lambda a, w: a + F.length(w))
         real = F.size(F.filter(t, lambda w: (F.length(w) >= 2) & (F.length(F.replace(w, F.lit("\x01"), F.lit(""))) / F.length(w) >= 0.6)))
         short = F.size(F.filter(lines, lambda x: F.length(x) < 15))
-        return F.struct(n.alias("n"), (chars / n).alias("mean_length"), (real / n).alias("real_share"), (short / F.size(lines)).alias("short_lines"))
+        return F.struct(n.alias("n"), F.try_divide(chars, n).alias("mean_length"), share(real, n).alias("real_share"), share(short, F.size(lines)).alias("short_lines"))
 
     lines = lambda signs: F.filter(F.transform(F.split(signs, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\x0b\f"))), lambda x: x != "")
     signs = F.regexp_replace(text, r"[^\p{L} \t\n\r\f\x0B]", "\x01")

@@ -21,7 +21,7 @@ def against_sql(spark, path, name):
     return plain(got.select(*names).collect()), plain(cur.fetchall())
 
 
-@pytest.mark.parametrize("name", ["letter_ratio"])
+@pytest.mark.parametrize("name", ["letter_ratio", "ocr_metrics", "ocr_verdict", "density_multi_window", "topic_density"])
 def test_texts_without_anything(spark, tmp_path, name):
     got, want = against_sql(spark, tmp_path, name)
     assert got == want and len(got) == len(TEXTS)
