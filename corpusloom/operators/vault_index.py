@@ -1,8 +1,9 @@
 """A stored inverted index of files, and the passages that chapters get through it.
 
-The index has four tables under one path. `grams` leads from three letters to the tokens that hold them, `postings` from a
+The index has five tables under one path. `grams` leads from three letters to the tokens that hold them, `postings` from a
 token to its files (and, of headings, to their numbers); both are partitioned by a bucket of their key, and a search reads
-the buckets of what it asks for and no others. `files` has words and lengths, `texts` the texts in buckets of the file.
+the buckets of what it asks for and no others. `tokens` has each token once, `files` words and lengths, `texts` the texts in
+buckets of the file.
 
 A term matches as a part of the lower-cased text. One without blanks does so where a token holds it, so tokens decide; of
 one with blanks the files that have all its parts are looked at in `texts`. Terms under three letters go through all tokens
@@ -51,12 +52,14 @@ class Index:
         """files: file (long) and text; null is empty. Building again replaces the index."""
         rows = files.select(F.col("file").cast("long").alias("file"), F.coalesce("text", F.lit("")).alias("text"))
         self._write(rows.withColumn("bucket", _bucket(F.col("file"), self.buckets)), "texts")
+        rows = self.table("texts").drop("bucket")  # as stored: what made the texts isn't done again
         rows.select("file", X.word_count(F.col("text")).alias("words")).write.mode("overwrite").parquet(f"{self.path}/files")
         own = F.transform(F.array_distinct(X.tokens(F.lower("text"))), lambda t: F.struct(t.alias("token"), F.lit(-1).alias("heading")))
         titles = F.flatten(F.transform(X.headings(F.col("text")), lambda h, i: F.transform(F.array_distinct(X.tokens(F.lower(h))), lambda t: F.struct(t.alias("token"), i.alias("heading")))))
         postings = rows.select("file", F.explode(F.concat(own, titles)).alias("p")).select("p.token", "file", "p.heading").withColumn("bucket", _bucket(F.col("token"), self.buckets))
         self._write(postings, "postings")
-        tokens = self.table("postings").where("heading = -1").select("token").distinct()
+        self.table("postings").where("heading = -1").select("token").distinct().write.mode("overwrite").parquet(f"{self.path}/tokens")
+        tokens = self.table("tokens")
         self._write(tokens.select("token", F.explode(_grams(F.col("token"))).alias("gram")).withColumn("bucket", _bucket(F.col("gram"), self.buckets)), "grams")
         return self
 
@@ -65,28 +68,30 @@ class Index:
         return [r[0] for r in rows.select(_bucket(F.col(key), self.buckets)).distinct().collect()]
 
     def holding(self, parts: DataFrame) -> DataFrame:
-        """part, file and heading (-1: in the text) wherever a token holds a part (a word)."""
-        parts = stored(parts.select("part").distinct(), "parts")
+        """id, file and heading (-1: in the text) wherever a token holds a part (id, part: the words of a book's terms)."""
         known = parts.where(F.length("part") >= GRAM).withColumn("gram", F.substring("part", 1, GRAM))
-        tokens = known.join(self.table("grams", self._asked(known, "gram")), "gram").where(F.contains("token", F.col("part"))).select("part", "token")
+        tokens = self.table("grams", self._asked(known, "gram")).join(F.broadcast(known), "gram").where(F.contains("token", F.col("part"))).select("token", "id")
         tiny = parts.where(F.length("part") < GRAM)
-        if not tiny.isEmpty():
-            vocabulary = self.table("grams").select("token", F.explode(F.concat(F.split("token", ""), F.transform(F.sequence(F.lit(1), F.greatest(F.length("token") - 1, F.lit(1))), lambda i: F.substring("token", i, 2)))).alias("part"))
-            tokens = tokens.unionByName(vocabulary.join(tiny, "part").select("part", "token"))
-        tokens = stored(tokens.distinct(), "tokens")
+        if not tiny.isEmpty():  # each token is looked at where it is, and only what holds a part goes on
+            tokens = tokens.unionByName(self.table("tokens").join(F.broadcast(tiny), F.contains("token", F.col("part"))).select("token", "id"))
         # a file has many tokens that hold a part: its postings meet in one task before parts multiply them
-        listed = tokens.groupBy("token").agg(F.collect_set("part").alias("parts"))
-        found = self.table("postings", self._asked(tokens, "token")).drop("bucket").join(listed, "token").select("file", "heading", "parts").repartition("file")
-        return found.select(F.explode("parts").alias("part"), "file", "heading").distinct()
+        listed = stored(tokens.groupBy("token").agg(F.collect_set("id").alias("ids")), "tokens")
+        found = self.table("postings", self._asked(listed, "token")).drop("bucket").join(listed, "token").select("file", "heading", "ids").repartition("file")
+        return found.select(F.explode("ids").alias("id"), "file", "heading").distinct()
 
     def matches(self, terms: DataFrame) -> DataFrame:
-        """term, file and heading (-1: the text) of all terms in all files."""
+        """term, file and heading (-1: the text) of all terms (a book's) in all files."""
         terms = terms.select("term").distinct().where("term <> ''").withColumn("parts", X.tokens(F.col("term")))
-        parts = terms.select("term", F.size("parts").alias("n"), F.explode("parts").alias("part")).distinct()
-        found = stored(parts.join(self.holding(parts), "part"), "found")
-        single = found.where(F.col("n") == 1).where(F.col("term") == F.col("part")).select("term", "file", "heading")
-        many = found.where((F.col("n") > 1) | (F.col("term") != F.col("part"))).where("heading = -1")
-        all_parts = many.groupBy("term", "file", "n").agg(F.count_distinct("part").alias("m")).join(terms.select("term", F.size(F.array_distinct("parts")).alias("k")), "term").where("m = k").select("term", "file")
+        each = terms.select("term", ((F.size("parts") == 1) & (F.col("term") == F.get("parts", 0))).alias("alone"), F.explode(F.array_distinct("parts")).alias("part"))
+        parts = stored(each.select("part").distinct().withColumn("id", F.monotonically_increasing_id()), "parts")
+        each = stored(each.join(parts, "part").select("term", "alone", "id"), "parts")
+        found = stored(self.holding(parts), "found")
+        single = found.join(F.broadcast(each.where("alone")), "id").select("term", "file", "heading")
+        rest = each.where("NOT alone")
+        if rest.isEmpty():
+            return single
+        size = rest.groupBy("term").agg(F.count("*").alias("k"))
+        all_parts = found.where("heading = -1").join(F.broadcast(rest), "id").groupBy("term", "file").agg(F.count("*").alias("m")).join(F.broadcast(size), "term").where("m = k").select("term", "file")
         all_parts = stored(all_parts, "whole")
         if all_parts.isEmpty():
             return single
@@ -116,20 +121,20 @@ def slot_matches(chapters: DataFrame, slots: DataFrame) -> DataFrame:
 def ranked(index: Index, chapters: DataFrame, lexicon: list[str], classes: DataFrame) -> DataFrame:
     """chapter, rank, file, raw and score of the files that a chapter draws on. classes: file and slot, as classified."""
     terms = stored(chapter_terms(chapters, lexicon), "terms")
-    # matches are dealt by file before chapters multiply them: what a chapter has of a file is then counted in place
-    hits = index.matches(terms).repartition("file").join(terms, "term")
-    in_text = F.col("heading") == -1
+    # matches and slots are dealt by file before chapters multiply them: what a chapter has of a file is counted in place,
+    # and meets the file's words there
+    links = terms.select("term", "chapter", "listed", F.lit(False).alias("tag")).unionByName(slot_matches(chapters, classes).select(F.col("slot").alias("term"), "chapter", F.lit(False).alias("listed"), F.lit(True).alias("tag")))
+    tags = classes.select(F.col("slot").alias("term"), F.col("file").cast("long").alias("file"), F.lit(None).cast("int").alias("heading"), F.lit(True).alias("tag"))
+    hits = index.matches(terms).withColumn("tag", F.lit(False)).unionByName(tags).repartition("file").join(F.broadcast(links), ["term", "tag"])
+    in_text = F.coalesce(F.col("heading") == -1, F.lit(False))
     heads = F.expr("bit_count(bit_or(CASE WHEN heading >= 0 THEN shiftleft(1, heading) END))")  # X.headings gives 25 at most
-    counted = hits.groupBy("chapter", "file").agg(F.count_if(in_text).alias("n"), F.count_if(in_text & F.col("listed")).alias("listed"), heads.alias("heads"))
-    tagged = classes.join(slot_matches(chapters, classes), "slot").select("chapter", F.col("file").cast("long").alias("file")).distinct().withColumn("tagged", F.lit(True))
-    none = lambda c: F.coalesce(c, F.lit(0))
-    raw = none("listed") * 3 + none("heads") * 2 + F.least(none("n"), F.lit(10))
-    all_ = counted.join(tagged, ["chapter", "file"], "full").withColumn("raw", raw)
+    counted = hits.groupBy("chapter", "file").agg(F.count_if(in_text).alias("n"), F.count_if(in_text & F.col("listed")).alias("listed"), F.coalesce(heads, F.lit(0)).alias("heads"), F.bool_or("tag").alias("tagged"))
+    all_ = counted.withColumn("raw", F.col("listed") * 3 + F.col("heads") * 2 + F.least("n", F.lit(10)))
     all_ = all_.withColumn("raw", F.when(F.col("tagged"), F.floor(F.col("raw") * 1.5) + 2).otherwise(F.col("raw"))).where("raw > 0")
     scored = stored(all_.join(index.table("files"), "file").select("chapter", "file", "raw", F.round(F.col("raw") / F.sqrt(F.greatest("words", F.lit(1))), 9).alias("score")), "scored")
-    best = scored.groupBy("chapter").agg(F.max("score").alias("best"))
+    best = scored.groupBy("chapter").agg(F.max("score").alias("best"))  # a row for each chapter
     order = Window.partitionBy("chapter").orderBy(F.desc("score"), "file")
-    return scored.join(best, "chapter").where(F.col("score") >= SHARE * F.col("best")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= FILES).select("chapter", "rank", "file", "raw", "score")
+    return scored.join(F.broadcast(best), "chapter").where(F.col("score") >= SHARE * F.col("best")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= FILES).select("chapter", "rank", "file", "raw", "score")
 
 
 def passages(index: Index, chapters: DataFrame, lexicon: list[str], classes: DataFrame, budget: int = BUDGET) -> DataFrame:

@@ -75,6 +75,30 @@ def test_passages_are_those_of_a_plain_search(spark, tmp_path):
         assert sorted(map(tuple, V.passages(index, c, LEXICON, classes, budget).collect())) == want
 
 
+def test_texts_are_made_once_and_short_parts_read_each_token_once(spark, tmp_path):
+    made, read = spark.sparkContext.accumulator(0), []
+
+    def rows(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    class Watched(V.Index):
+        def table(self, name, bucket=None):
+            read.append((name, bucket is None))
+            return super().table(name, bucket)
+
+    files = spark.createDataFrame([(i, f"an awl{i} of hide") for i in range(40)], "file long, text string").mapInArrow(rows, "file long, text string")
+    index = Watched(spark, f"file://{tmp_path}/index", 4).build(files)
+    assert made.value == 40
+    assert index.table("tokens").count() == index.table("grams").select("token").distinct().count() == 43
+    read.clear()
+    got = index.matches(spark.createDataFrame([("of",), ("w",), ("l7",), ("hid",), ("a b",)], "term string")).collect()
+    assert ("grams", True) not in read and ("tokens", True) in read
+    want = [(t, i, -1) for i in range(40) for t in ("of", "w", "hid")] + [("l7", 7, -1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_headings(spark):
     text = "# A \nb\n#no\n  ## 1. C c\n=== D = d ===\n##### e\n==\n"
     assert spark.createDataFrame([(text,)], "t string").select(X.headings(F.col("t"))).first()[0] == ["A", "1. C c", "D  d"]
