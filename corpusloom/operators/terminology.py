@@ -39,30 +39,17 @@ def _tells(words: list[Column]) -> Column:
     return (sum((k.cast("int") for k in known[1:]), known[0].cast("int")) >= 2) & reduce(or_, long)
 
 
-def _compound(word: Column) -> Column:
-    parts = F.split(word, "-")
-    content = F.filter(parts, _known)
-    return F.contains(word, F.lit("-")) & F.size(parts).between(2, 3) & F.forall(parts, lambda p: F.length(p) >= 3) & (F.size(content) >= 2) & F.exists(content, lambda p: F.length(p) > LONG)
-
-
-def _lemmas(word: Column) -> Column:
-    """A word's lemma; of the parts of one with hyphens each."""
-    parts = F.array_join(F.transform(F.filter(F.split(word, "-"), lambda p: p != ""), X.lemma), " ")
-    return F.when(F.contains(word, F.lit("-")), parts).otherwise(X.lemma(word))
-
-
-def phrases(rows: DataFrame, *keys: str, text: str = "text") -> DataFrame:
-    """The named columns with each phrase of a text and its key. Words become rows with the two that follow: what comes
-    after is generated code."""
+def candidates(rows: DataFrame, *keys: str, text: str = "text") -> DataFrame:
+    """The named columns with each phrase of a text that a table of variants may hold: words with a hyphen, and runs of two or
+    three. Words become rows with the two that follow: what comes after is generated code, and no key is made, since the
+    table has been told by keys already."""
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(f"({TOKEN})"), 1)
     shifted = lambda n: F.slice("words", n, F.greatest(F.size("words"), F.lit(1)))
     each = rows.select(*keys, words.alias("words")).select(*keys, F.inline(F.arrays_zip("words", shifted(2).alias("next"), shifted(3).alias("last"))).alias("a", "b", "c"))
-    each = each.withColumns({"x": _lemmas(F.col("a")), "y": _lemmas(F.col("b")), "z": _lemmas(F.col("c"))})
     a, b, c = F.col("a"), F.col("b"), F.col("c")
-    made = lambda ok, phrase, key: F.when(ok, F.struct(phrase.alias("phrase"), key.alias("key")))
-    both = made(b.isNotNull() & _tells([a, b]), F.concat_ws(" ", a, b), F.concat_ws(" ", "x", "y"))
-    three = made(c.isNotNull() & _tells([a, b, c]), F.concat_ws(" ", a, b, c), F.concat_ws(" ", "x", "y", "z"))
-    return each.select(*keys, F.explode(F.array(made(_compound(a), a, F.col("x")), both, three)).alias("p")).where("p IS NOT NULL").select(*keys, "p.phrase", "p.key")
+    both = F.when(b.isNotNull() & _tells([a, b]), F.concat_ws(" ", a, b))
+    three = F.when(c.isNotNull() & _tells([a, b, c]), F.concat_ws(" ", a, b, c))
+    return each.select(*keys, F.explode(F.array(F.when(F.contains(a, F.lit("-")), a), both, three)).alias("phrase")).where("phrase IS NOT NULL")
 
 
 def _lemma(word: str) -> str:
@@ -117,6 +104,8 @@ WORD = re.compile(r"[\w-]+")
 def rewritten(text: str, best: dict[str, str]) -> tuple[str, int]:
     """The text with its preferred forms and how many places changed: the longest variant that begins at a word gives way.
     A capital at a place's beginning stays."""
+    if not best:
+        return text, 0
     places = [m.span() for m in WORD.finditer(text)]
     out, at, i, n = [], 0, 0, 0
     while i < len(places):
@@ -144,6 +133,6 @@ def harmonised(chapters: DataFrame, best: DataFrame, key: str, text: str = "text
     knows how small they are, and neither phrases nor texts are dealt anew where they are; phrases that don't change go at once."""
     rows = chapters.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), "book")
     best = stored(best.select("book", "variant", "best"), "forms")
-    used = phrases(rows, "id", "book").select("id", "book", F.col("phrase").alias("variant")).join(best, ["book", "variant"])
+    used = candidates(rows, "id", "book").withColumnRenamed("phrase", "variant").join(best, ["book", "variant"])
     lists = stored(used.groupBy("id", "book").agg(F.collect_set(F.struct("variant", "best")).alias("forms")), "used")
     return rows.join(lists, ["id", "book"], "left").select("id", "text", "forms").mapInArrow(_rewrite, "id long, text string, replacements long").withColumnRenamed("id", key)

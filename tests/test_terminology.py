@@ -75,6 +75,20 @@ def test_neither_phrases_nor_texts_are_dealt_anew_for_a_small_table(spark):
     assert "hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_variants_are_looked_up_without_keys_and_other_texts_stay_unread(spark, monkeypatch):
+    plans, stored = [], T.stored
+    monkeypatch.setattr(T, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or stored(df, name))
+    best = spark.createDataFrame([("x", "saddle stitch", "saddle-stitch"), ("x", "metal-can", "metal can"), ("x", "a bevelled edge", "bevel")], "book string, variant string, best string")
+    texts = ["Saddle stitch, metal-can. a-b metal-can of", "saddle\nstitch", "cut-cut " * 50, None, ""]
+    rows = spark.createDataFrame([(i, "x", t) for i, t in enumerate(texts)] + [(9, None, texts[0]), (10, "y", texts[0])], "id long, book string, text string")
+    got = sorted(map(tuple, T.harmonised(rows, best, "id").collect()))
+    assert got == [(0, "Saddle-stitch, metal can. a-b metal can of", 3), *[(i, t or "", 0) for i, t in enumerate(texts) if i], (9, texts[0], 0), (10, texts[0], 0)]
+    plan = dict(plans)["used"]
+    assert "lambdafunction" not in plan and "regexp_replace" not in plan
+    monkeypatch.setattr(T, "WORD", None)
+    assert T.rewritten("saddle stitch", {}) == ("saddle stitch", 0)
+
+
 def test_counts_are_packed_by_batch_and_exact(spark):
     """Phrases that no other can replace never reach the table of counts, and a phrase costs a record a batch; before, each was a row."""
     r = random.Random(3)
