@@ -26,6 +26,7 @@ from . import ngrams
 
 TOKEN = r"[a-z][a-z-]{2,}"
 LEAST_USES, LEAD, LONG = 6, 2, 4
+CELLS = 20
 
 
 def _known(word: Column) -> Column:
@@ -127,12 +128,29 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["id", "text", "replacements"])
 
 
+def _hash() -> Column:
+    return F.xxhash64(F.col("book").cast("string"), "variant")
+
+
+def _cell() -> Column:
+    return F.shiftrightunsigned(_hash(), 64 - CELLS).alias("cell")
+
+
+def marks(best: DataFrame) -> DataFrame:
+    """Bits that the hashes of book and variant set: 2**CELLS rows of 64 at most, however large the table is."""
+    bit = F.expr("shiftleft(1L, CAST(h & 63 AS INT))")
+    return best.select(_cell(), _hash().alias("h")).groupBy("cell").agg(F.bit_or(bit).alias("marks"))
+
+
 def harmonised(chapters: DataFrame, best: DataFrame, key: str, text: str = "text") -> DataFrame:
     """key (long), text and replacements of each chapter (key, book, text), rewritten by its book's table. A chapter meets
     the variants that it has, not its book's whole table. That table and the chapters' own ones are stored first, so Spark
-    knows how small they are, and neither phrases nor texts are dealt anew where they are; phrases that don't change go at once."""
+    knows how small they are, and neither phrases nor texts are dealt anew where they are; phrases that don't change go at once.
+    Where the table is large, phrases are dealt, but only those whose bit a variant has set: none that changes is lost."""
     rows = chapters.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), "book")
     best = stored(best.select("book", "variant", "best"), "forms")
-    used = candidates(rows, "id", "book").withColumnRenamed("phrase", "variant").join(best, ["book", "variant"])
+    each = candidates(rows, "id", "book").withColumnRenamed("phrase", "variant").select("id", "book", "variant", _cell(), _hash().alias("h"))
+    each = each.join(F.broadcast(marks(best)), "cell").where(F.getbit("marks", F.expr("CAST(h & 63 AS INT)")) == 1)
+    used = each.select("id", "book", "variant").join(best, ["book", "variant"])
     lists = stored(used.groupBy("id", "book").agg(F.collect_set(F.struct("variant", "best")).alias("forms")), "used")
     return rows.join(lists, ["id", "book"], "left").select("id", "text", "forms").mapInArrow(_rewrite, "id long, text string, replacements long").withColumnRenamed("id", key)

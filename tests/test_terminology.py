@@ -89,6 +89,22 @@ def test_variants_are_looked_up_without_keys_and_other_texts_stay_unread(spark,
     assert T.rewritten("saddle stitch", {}) == ("saddle stitch", 0)
 
 
+def test_a_large_table_meets_few_phrases(spark, monkeypatch):
+    """Also where Spark wouldn't broadcast the table, phrases that no variant can be go before any is dealt."""
+    plans, stored = {}, T.stored
+    monkeypatch.setattr(T, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or stored(df, name))
+    best = spark.createDataFrame([(b, f"word{chr(97 + i % 26)}{chr(97 + i // 26)} thing", f"word{i}") for b in ("x", "y") for i in range(676)], "book string, variant string, best string")
+    rows = spark.createDataFrame([(i, "xyz"[i % 3], f"word{chr(97 + i % 26)}{chr(97 + i // 26)} thing, other things") for i in range(676)] + [(9999, None, "wordaa thing")], "id long, book string, text string")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.id: r.replacements for r in T.harmonised(rows, best, "id").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == {**{i: int(i % 3 < 2) for i in range(676)}, 9999: 0}
+    assert "BroadcastHashJoin [cell" in plans["used"] and "SortMergeJoin" in plans["used"]
+
+
 def test_counts_are_packed_by_batch_and_exact(spark):
     """Phrases that no other can replace never reach the table of counts, and a phrase costs a record a batch; before, each was a row."""
     r = random.Random(3)
